@@ -141,3 +141,126 @@ SQL["partition_manifest"] = f"""WITH {CONTACTS}
 SELECT 'ALTER TABLE dw.contacts ADD IF NOT EXISTS PARTITION (source_type=''' || source_type
        || ''',update_day=''' || update_day || ''');' AS partition
 FROM (SELECT DISTINCT source_type, update_day FROM contacts)"""
+
+OUTCOMES = """outcomes AS (
+  SELECT o_custkey AS mobile, o_orderstatus AS category, o_orderkey AS project,
+         o_orderpriority AS title,
+         CASE WHEN trim(o_orderpriority) = '1-URGENT' THEN 'customer_filter_child'
+              WHEN trim(o_orderpriority) = '2-HIGH' THEN 'customer_filter_success'
+              WHEN trim(o_orderpriority) = '4-NOT SPECIFIED' THEN 'customer_filter_age'
+              WHEN trim(o_orderpriority) = '5-LOW' THEN 'customer_filter_refuse' END AS source,
+         strftime(o_orderdate, '%Y-%m-%d') AS update_day
+  FROM orders)"""
+
+CALLS = """calls AS (
+  SELECT o.o_custkey AS mobile, o.o_orderstatus AS category, l.l_suppkey AS project,
+         l.l_orderkey AS order_key,
+         CAST(CAST(trunc(l.l_quantity) AS INTEGER) AS VARCHAR) AS duration_time,
+         strftime(l.l_shipdate, '%Y-%m-%d') AS update_day
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+CLOSED = """closed AS (
+  SELECT o_custkey AS mobile, o_orderstatus AS category FROM orders WHERE o_orderpriority = '3-MEDIUM')"""
+
+CUSTOMERS = """customers AS (
+  SELECT c_custkey AS mobile, c_name AS user_name,
+         CASE WHEN c_custkey % 4 = 0 THEN ' ' WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS city_short
+  FROM customer)"""
+
+SQL["history_keys"] = f"""WITH {OUTCOMES}
+SELECT mobile FROM outcomes
+WHERE source = 'customer_filter_age' AND update_day < '2001-01-01' AND update_day >= '2000-10-01'
+GROUP BY mobile"""
+
+SQL["anti_history"] = f"""WITH {OUTCOMES}, {CUSTOMERS}
+SELECT c.* FROM customers c
+LEFT JOIN (SELECT mobile FROM outcomes WHERE update_day >= '2001-01-01') h ON c.mobile = h.mobile
+WHERE h.mobile IS NULL"""
+
+SQL["two_groups"] = f"""WITH {OUTCOMES},
+r2 AS (SELECT category, mobile FROM (
+         SELECT category, mobile,
+                dense_rank() OVER (PARTITION BY category, mobile ORDER BY title ASC NULLS FIRST) AS dr
+         FROM outcomes) WHERE dr = 2)
+SELECT o.* FROM outcomes o
+WHERE EXISTS (SELECT 1 FROM r2 WHERE r2.category = o.category AND r2.mobile = o.mobile)"""
+
+SQL["two_groups_repeat"] = f"""WITH {OUTCOMES},
+r2 AS (SELECT category, mobile FROM (
+         SELECT category, mobile,
+                dense_rank() OVER (PARTITION BY category, mobile ORDER BY title ASC NULLS FIRST) AS dr
+         FROM outcomes) WHERE dr = 2)
+SELECT o.mobile, o.category, o.project, o.title, o.source, o.update_day, count(*) AS copies
+FROM outcomes o JOIN r2 ON r2.category = o.category AND r2.mobile = o.mobile
+GROUP BY o.mobile, o.category, o.project, o.title, o.source, o.update_day"""
+
+SQL["reason_code"] = f"""WITH {OUTCOMES}
+SELECT mobile, category, project, title,
+       CASE WHEN trim(title) = '1-URGENT' THEN 'customer_filter_child'
+            WHEN trim(title) = '2-HIGH' THEN 'customer_filter_success'
+            WHEN trim(title) = '4-NOT SPECIFIED' THEN 'customer_filter_age'
+            WHEN trim(title) = '5-LOW' THEN 'customer_filter_refuse' END AS source,
+       update_day
+FROM outcomes
+WHERE update_day BETWEEN '1998-10-01' AND '1998-10-31'
+  AND title IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"""
+
+SQL["short_calls"] = f"""WITH {CALLS}
+SELECT * FROM calls
+WHERE update_day BETWEEN '1999-01-01' AND '1999-01-14' AND TRY_CAST(duration_time AS INTEGER) <= 5"""
+
+SQL["suppression_candidates"] = f"""WITH {OUTCOMES}, {CALLS},
+hist AS (SELECT * FROM outcomes WHERE update_day < '2000-05-01'),
+win AS (SELECT * FROM outcomes WHERE update_day BETWEEN '2000-05-01' AND '2000-06-30'),
+child AS (
+  SELECT w.* FROM win w
+  LEFT JOIN (SELECT mobile FROM hist WHERE source = 'customer_filter_child' AND update_day < '2000-06-30'
+             GROUP BY mobile) h ON w.mobile = h.mobile
+  WHERE w.source = 'customer_filter_child' AND h.mobile IS NULL),
+success AS (
+  SELECT w.* FROM win w
+  LEFT JOIN (SELECT mobile FROM hist WHERE source = 'customer_filter_success' AND update_day < '2000-06-30'
+             GROUP BY mobile) h ON w.mobile = h.mobile
+  WHERE w.source = 'customer_filter_success' AND h.mobile IS NULL),
+age0 AS (
+  SELECT w.* FROM win w
+  LEFT JOIN (SELECT mobile FROM hist WHERE source = 'customer_filter_age' AND update_day < '2000-06-30'
+             GROUP BY mobile) h ON w.mobile = h.mobile
+  WHERE w.source = 'customer_filter_age' AND h.mobile IS NULL),
+age_r2 AS (SELECT mobile, category FROM (
+  SELECT mobile, category,
+         dense_rank() OVER (PARTITION BY category, mobile ORDER BY project ASC NULLS FIRST) AS dr
+  FROM age0) WHERE dr = 2),
+age AS (SELECT a.* FROM age0 a LEFT JOIN age_r2 r ON a.mobile = r.mobile AND a.category = r.category
+        WHERE r.mobile IS NOT NULL),
+calls_w AS (SELECT * FROM calls WHERE update_day BETWEEN '2000-06-16' AND '2000-06-30'
+            AND TRY_CAST(duration_time AS INTEGER) <= 5),
+ref_r2 AS (SELECT mobile FROM (
+  SELECT mobile, dense_rank() OVER (PARTITION BY mobile ORDER BY project ASC NULLS FIRST) AS dr
+  FROM calls_w) WHERE dr = 2),
+refuse AS (
+  SELECT c.* FROM calls_w c
+  LEFT JOIN (SELECT mobile FROM hist WHERE source = 'customer_filter_refuse'
+             AND update_day >= '2000-04-01' AND update_day < '2000-06-30' GROUP BY mobile) h
+    ON c.mobile = h.mobile
+  WHERE c.mobile IN (SELECT mobile FROM ref_r2) AND h.mobile IS NULL)
+SELECT mobile, category, project, source, update_day AS event_day, '2000-06-30' AS update_day FROM child
+UNION ALL
+SELECT mobile, category, project, source, update_day AS event_day, '2000-06-30' AS update_day FROM success
+UNION ALL
+SELECT mobile, category, project, source, update_day AS event_day, '2000-06-30' AS update_day FROM age
+UNION ALL
+SELECT mobile, category, project, 'customer_filter_refuse' AS source, update_day AS event_day,
+       '2000-06-30' AS update_day FROM refuse"""
+
+SQL["active_suppression"] = f"""WITH {OUTCOMES}, {CLOSED}
+SELECT mobile FROM outcomes
+WHERE (source = 'customer_filter_age' OR source = 'customer_filter_success' AND update_day >= '2001-02-02')
+UNION ALL
+SELECT a.mobile FROM outcomes a
+LEFT JOIN closed b ON a.mobile = b.mobile AND a.category = b.category
+WHERE a.category = 'P' AND a.source = 'customer_filter_child' AND b.mobile IS NULL
+UNION ALL
+SELECT a.mobile FROM outcomes a
+LEFT JOIN (SELECT mobile FROM closed GROUP BY mobile) b ON a.mobile = b.mobile
+WHERE a.source = 'customer_filter_refuse' AND a.update_day >= '2001-05-03' AND b.mobile IS NULL"""

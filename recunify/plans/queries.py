@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from recunify.functions.blank import is_blank_trim
 from recunify.functions.dates import shift_day
-from recunify.operators import dedup, survivorship as sv
+from recunify.functions.blank import int_or_null
+from recunify.functions.codes import code_of
+from recunify.operators import dedup, suppression as sp, survivorship as sv
+from recunify.sources.readers import history_keys
 from recunify.sources import standins as si
 from recunify.sources.readers import read_tiers, scan_prefix
 from recunify.sinks import writers
@@ -25,14 +28,19 @@ CONTACTS_AS_OF = "2024-01-31"     # events cover 2024-01-01 .. 2024-01-30
 HOT_DAYS = 60                     # hot window of the dedup feeds
 SPLIT_DAYS = 14                   # hot/cold split used by hot_rows/cold_rows
 CONTACT_ORDER = ("update_day", "update_time", "event_id")
+SUPPRESS_AS_OF = "2000-06-30"     # daily suppression job day (orders stand-in)
+ACTIVE_AS_OF = "2001-08-01"       # segment publishing day (last order day)
+ACTIVE_CATEGORY = "P"             # category of the published target
 # --------------------------------------------------------------------------
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(fn=None, *, name: str | None = None):
+    def register(f):
+        QUERIES[name or f.__name__] = f
+        return f
+    return register(fn) if fn is not None else register
 
 
 def _contacts(spark, d):
@@ -45,7 +53,7 @@ def _tiered_contacts(spark, d):
 
 # ---------------------------------------------------------------- sources
 
-@query
+@query(name="scan_prefix")
 def scan_prefix_q(spark, d):
     return scan_prefix(_contacts(spark, d), "source_type", "pu")
 
@@ -122,5 +130,55 @@ def partition_manifest(spark, d):
                                       ["source_type", "update_day"])
 
 
-# The registry key of the prefix scan is the §7 name.
-QUERIES["scan_prefix"] = QUERIES.pop("scan_prefix_q")
+
+# ---------------------------------------------------------------- suppression
+
+@query(name="history_keys")
+def history_keys_q(spark, d):
+    return history_keys(si.outcomes(spark, d), "mobile", "source", sp.REASON_AGE,
+                        "update_day", before="2001-01-01", since="2000-10-01")
+
+
+@query(name="anti_history")
+def anti_history_q(spark, d):
+    recent = si.outcomes(spark, d).where(F.col("update_day") >= "2001-01-01").select("mobile")
+    return sp.anti_history(si.customer_contacts(spark, d), recent, "mobile")
+
+
+@query
+def two_groups(spark, d):
+    return sp.seen_in_two_groups(si.outcomes(spark, d), ["category", "mobile"], "title")
+
+
+@query
+def two_groups_repeat(spark, d):
+    return sp.seen_in_two_groups_copies(si.outcomes(spark, d), ["category", "mobile"], "title")
+
+
+@query
+def reason_code(spark, d):
+    o = si.outcomes(spark, d)
+    titles = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
+    feed = o.where(F.col("update_day").between("1998-10-01", "1998-10-31") & F.col("title").isin(titles))
+    return feed.withColumn("source", code_of("title", si.REASON_BY_TITLE))
+
+
+@query
+def short_calls(spark, d):
+    c = si.calls(spark, d)
+    return c.where(F.col("update_day").between("1999-01-01", "1999-01-14")
+                   & (int_or_null("duration_time") <= 5))
+
+
+@query
+def suppression_candidates(spark, d):
+    o = si.outcomes(spark, d)
+    start = shift_day(SUPPRESS_AS_OF, -60)
+    history = o.where(F.col("update_day") < start)   # earlier suppression rows
+    return sp.suppression_candidates(o, history, si.calls(spark, d), SUPPRESS_AS_OF)
+
+
+@query
+def active_suppression(spark, d):
+    return sp.active_suppression(si.outcomes(spark, d), si.closed_deals(spark, d),
+                                 ACTIVE_AS_OF, category_value=ACTIVE_CATEGORY)

@@ -12,16 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recunify.functions.codes import code_of
 from recunify.functions.dates import day_of, time_of
 from recunify.sources.readers import read_table
 
 # ---- fixed values -------------------------------------------------------
-# Suppression reason codes written into the suppression table (must equal
-# the reference's codes for tables shared with it).
-REASON_AGE = "customer_filter_age"
-REASON_CHILD = "customer_filter_child"
-REASON_SUCCESS = "customer_filter_success"
-REASON_REFUSE = "customer_filter_refuse"
+from recunify.operators.suppression import (  # noqa: E402  (reason codes)
+    REASON_AGE, REASON_CHILD, REASON_REFUSE, REASON_SUCCESS)
 
 # Stand-in: order priority plays the outcome title.  3-MEDIUM has no reason
 # (CASE without ELSE -> NULL) and marks closed deals instead.
@@ -98,11 +95,7 @@ def target_categories(spark: SparkSession) -> DataFrame:
 
 
 def reason_of(title) -> F.Column:
-    expr = None
-    for t, r in REASON_BY_TITLE.items():
-        cond = F.trim(F.col(title)) == t
-        expr = F.when(cond, F.lit(r)) if expr is None else expr.when(cond, F.lit(r))
-    return expr
+    return code_of(title, REASON_BY_TITLE)
 
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
