@@ -264,3 +264,177 @@ UNION ALL
 SELECT a.mobile FROM outcomes a
 LEFT JOIN (SELECT mobile FROM closed GROUP BY mobile) b ON a.mobile = b.mobile
 WHERE a.source = 'customer_filter_refuse' AND a.update_day >= '2001-05-03' AND b.mobile IS NULL"""
+
+GOLDEN_PARTS = """golden AS (
+  SELECT p_partkey AS mobile, p_type AS source_type,
+         CASE WHEN p_partkey % 4 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END AS age,
+         CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST(p_size % 18 AS VARCHAR) END AS child_age,
+         CASE WHEN p_partkey % 5 = 0 THEN CAST(p_size % 15 AS VARCHAR) ELSE '' END AS child_deduced_age,
+         CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size - 2 AS VARCHAR) ELSE '' END AS age_start,
+         CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size + 2 AS VARCHAR) ELSE '' END AS age_end,
+         CASE WHEN p_partkey % 7 = 0 THEN ' ' WHEN p_partkey % 11 = 0 THEN NULL ELSE p_brand END AS city_short
+  FROM part)"""
+
+RULES = """rules AS (
+  SELECT * FROM (VALUES ('S%', '5', '8', '30', '33', 't1'), ('P%', '1', '3', '', '', 't1'),
+                        ('E%', '', '', '', '', 't2'), ('M%', '', '', '15', '18', 't2'),
+                        ('L%', '4', '', '', '', 't3'), ('L%', 'x', ' 3 ', '', '', 't4'))
+         AS r(source, minage, maxage, minparentage, maxparentage, targettable))"""
+
+TARGET_CATEGORIES = """target_categories AS (
+  SELECT * FROM (VALUES ('t1', 'F'), ('t2', 'O'), ('t3', 'P'), ('t4', 'F')) AS t(targettable, category))"""
+
+
+def _set(c: str) -> str:
+    return f"({c} IS NOT NULL AND trim({c}) <> '' AND regexp_matches({c}, '^[0-9]+$'))"
+
+
+def _bound(c: str) -> str:
+    return f"CASE WHEN {_set(c)} THEN TRY_CAST({c} AS INTEGER) END"
+
+
+def _bt(x: str, lo: str, hi: str) -> str:
+    return f"{x} BETWEEN {lo} AND {hi}"
+
+
+_AGE, _CH, _DE = "TRY_CAST(g.age AS INTEGER)", "TRY_CAST(g.child_age AS INTEGER)", \
+    "TRY_CAST(g.child_deduced_age AS INTEGER)"
+_ST, _EN = "TRY_CAST(g.age_start AS INTEGER)", "TRY_CAST(g.age_end AS INTEGER)"
+_BOTH = " OR ".join([_bt(_CH, "r.mn", "r.mx"), _bt(_DE, "r.mn", "r.mx"),
+                     _bt(_AGE, "r.pmn", "r.pmx"), _bt(_CH, "r.pmn", "r.pmx"), _bt(_DE, "r.pmn", "r.pmx"),
+                     _bt("r.mn", _ST, _EN), _bt("r.mx", _ST, _EN),
+                     _bt("r.pmn", _ST, _EN), _bt("r.pmx", _ST, _EN)])
+_PARENTS = " OR ".join([_bt(_AGE, "r.pmn", "r.pmx"), _bt(_CH, "r.pmn", "r.pmx"), _bt(_DE, "r.pmn", "r.pmx"),
+                        _bt("r.pmn", _ST, _EN), _bt("r.pmx", _ST, _EN)])
+_KIDS = " OR ".join([_bt(_AGE, "r.mn", "r.mx"), _bt(_CH, "r.mn", "r.mx"), _bt(_DE, "r.mn", "r.mx"),
+                     _bt("r.mn", _ST, _EN), _bt("r.mx", _ST, _EN)])
+
+SEGMENTS = f"""{GOLDEN_PARTS}, {RULES},
+r AS (SELECT targettable, source,
+             ({_set('minage')} OR {_set('maxage')}) AS kids,
+             ({_set('minparentage')} OR {_set('maxparentage')}) AS parents,
+             {_bound('minage')} AS mn, {_bound('maxage')} AS mx,
+             {_bound('minparentage')} AS pmn, {_bound('maxparentage')} AS pmx
+      FROM rules),
+segs AS (
+  SELECT DISTINCT r.targettable, g.*
+  FROM golden g JOIN r
+    ON g.source_type LIKE r.source
+   AND CASE WHEN r.parents AND r.kids THEN ({_BOTH})
+            WHEN r.parents THEN ({_PARENTS})
+            WHEN r.kids THEN ({_KIDS})
+            ELSE TRUE END)"""
+
+SQL["segment_rules"] = f"WITH {SEGMENTS}\nSELECT * FROM segs"
+SQL["segment_rules_join"] = SQL["segment_rules"]
+
+SUPPRESSION_ALL = f"""{OUTCOMES}, {CLOSED},
+supp_common AS (
+  SELECT mobile FROM outcomes
+  WHERE (source = 'customer_filter_age' OR source = 'customer_filter_success' AND update_day >= '2001-02-02')
+  UNION ALL
+  SELECT a.mobile FROM outcomes a
+  LEFT JOIN (SELECT mobile FROM closed GROUP BY mobile) b ON a.mobile = b.mobile
+  WHERE a.source = 'customer_filter_refuse' AND a.update_day >= '2001-05-03' AND b.mobile IS NULL),
+supp_child AS (
+  SELECT a.mobile, a.category FROM outcomes a
+  LEFT JOIN closed b ON a.mobile = b.mobile AND a.category = b.category
+  WHERE a.source = 'customer_filter_child' AND b.mobile IS NULL)"""
+
+SUPPRESSED = f"""{SEGMENTS}, {TARGET_CATEGORIES}, {SUPPRESSION_ALL},
+kept AS (
+  SELECT s.* FROM segs s LEFT JOIN target_categories tc ON s.targettable = tc.targettable
+  WHERE NOT EXISTS (SELECT 1 FROM supp_common c WHERE c.mobile = s.mobile)
+    AND NOT EXISTS (SELECT 1 FROM supp_child c WHERE c.mobile = s.mobile AND c.category = tc.category))"""
+
+SQL["suppress_segment"] = f"WITH {SUPPRESSED}\nSELECT * FROM kept"
+
+SQL["publish_segments"] = f"""WITH {SUPPRESSED},
+dim AS (SELECT CAST(n_nationkey AS VARCHAR) AS tel, max(n_name) AS city FROM nation GROUP BY 1)
+SELECT k.targettable, k.mobile, k.source_type, k.age, k.child_age, k.child_deduced_age,
+       k.age_start, k.age_end,
+       CASE WHEN k.city_short IS NULL OR trim(k.city_short) = '' THEN d.city ELSE k.city_short END AS city_short
+FROM kept k LEFT JOIN dim d ON substr(CAST(k.mobile AS VARCHAR), 1, 2) = d.tel
+WHERE NOT ((CASE WHEN k.city_short IS NULL OR trim(k.city_short) = '' THEN d.city ELSE k.city_short END) IS NULL
+           OR trim(CASE WHEN k.city_short IS NULL OR trim(k.city_short) = '' THEN d.city ELSE k.city_short END) = '')"""
+
+SQL["prefix_fill"] = f"""WITH {CUSTOMERS},
+dim AS (SELECT 'Customer#0000' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS tel, max(n_name) AS city
+        FROM nation GROUP BY 1)
+SELECT c.mobile, c.user_name,
+       CASE WHEN c.city_short IS NULL OR trim(c.city_short) = '' THEN d.city ELSE c.city_short END AS city_short
+FROM customers c LEFT JOIN dim d ON substr(c.user_name, 1, 15) = d.tel"""
+
+SQL["targets"] = """SELECT DISTINCT p_type AS targettable FROM part
+WHERE regexp_matches(p_type, 'A|P') AND p_type NOT IN ('LARGE')"""
+
+META = """tables AS (
+  SELECT 'dw_region' AS databasename, 'region_' || CAST(r_regionkey AS VARCHAR) AS tablename,
+         r_name AS tbcomment, 'parquet' AS storage, 'dw_region' AS databasepath,
+         'region_' || CAST(r_regionkey AS VARCHAR) AS dbtablepath,
+         'dw_region.region_' || CAST(r_regionkey AS VARCHAR) AS dbtable
+  FROM region),
+cols AS (
+  SELECT 'dw_region.region_' || CAST(n_regionkey AS VARCHAR) AS dbtable, lower(n_name) AS dswhcolname,
+         lower(n_name) AS buiscolname, 'string' AS buiscoltype, n_name AS buiscolcomment,
+         n_nationkey AS buiscolrank
+  FROM nation)"""
+
+SQL["table_catalog"] = f"""WITH {META}
+SELECT t.*, c.dswhcolname, c.buiscolname, c.buiscoltype, c.buiscolcomment, c.buiscolrank
+FROM tables t JOIN cols c ON t.dbtable = c.dbtable"""
+
+SQL["render_ddl"] = f"""WITH {META},
+ddl_cols AS (
+  SELECT dbtable,
+         string_agg(buiscolname || ' ' || buiscoltype || ' COMMENT ''' || buiscolcomment || '''',
+                    ',' || chr(10) ORDER BY buiscolrank) AS cols
+  FROM cols GROUP BY dbtable)
+SELECT t.dbtable,
+       'CREATE EXTERNAL TABLE IF NOT EXISTS ' || t.databasename || '.' || t.tablename || '(' || chr(10)
+       || d.cols || chr(10) || ')COMMENT ''' || t.tbcomment || '''' || chr(10)
+       || 'STORED AS ' || t.storage || chr(10)
+       || 'LOCATION ''/warehouse/' || t.databasepath || '/' || t.dbtablepath || '''' AS ddl
+FROM tables t JOIN ddl_cols d ON t.dbtable = d.dbtable"""
+
+SQL["seed_columns"] = f"""WITH {META}
+SELECT t.dbtable, c.dswhcolname, c.buiscolname, c.buiscoltype, c.buiscolcomment, c.buiscolrank
+FROM tables t CROSS JOIN (SELECT * FROM cols WHERE dbtable = 'dw_region.region_0') c"""
+
+SQL["ingest_report"] = f"""WITH {CONTACTS}
+SELECT '20240115' AS day, source_type, count(*) AS counts, count(DISTINCT contact_id) AS distinct_num,
+       '[ingest notice]' || chr(10) || 'day: 20240115' || chr(10) || 'source: ' || source_type || chr(10)
+       || 'rows: ' || CAST(count(*) AS VARCHAR) || chr(10)
+       || 'distinct: ' || CAST(count(DISTINCT contact_id) AS VARCHAR) AS message
+FROM contacts WHERE update_day = '2024-01-15' GROUP BY source_type"""
+
+SQL["range_text"] = """WITH p AS (
+  SELECT p_partkey, CAST(p_size AS VARCHAR) || '-' || CAST(p_size + 3 AS VARCHAR) || 'yrs' AS age_text FROM part)
+SELECT p_partkey, age_text,
+       CASE WHEN age_text <> '' THEN string_split(regexp_replace(age_text, '[^0-9]+', '-', 'g'), '-')[1] END AS age_start,
+       CASE WHEN age_text <> '' THEN string_split(regexp_replace(age_text, '[^0-9]+', '-', 'g'), '-')[2] END AS age_end
+FROM p"""
+
+SQL["align_layout"] = """SELECT user_id AS mobile, '' AS user_name, event_type AS source_type,
+       strftime(ts, '%Y-%m-%d') AS update_day FROM events
+UNION ALL
+SELECT c_custkey AS mobile, c_name AS user_name, 'customer' AS source_type, '2024-01-01' AS update_day
+FROM customer"""
+
+SQL["archive_cold"] = f"""WITH {CONTACTS}
+SELECT contact_id AS mobile, '' AS user_name, '' AS age, '' AS age_start, '' AS age_end,
+       source, source_type, update_day, update_time
+FROM contacts WHERE source_type IN ('view', 'click') AND update_day < '2024-01-17'
+UNION ALL
+SELECT contact_id AS mobile, '' AS user_name, attr_b AS age,
+       CASE WHEN attr_b <> '' THEN string_split(regexp_replace(attr_b, '[^0-9]+', '-', 'g'), '-')[1] ELSE '' END,
+       CASE WHEN attr_b <> '' THEN string_split(regexp_replace(attr_b, '[^0-9]+', '-', 'g'), '-')[2] ELSE '' END,
+       source, source_type, update_day, update_time
+FROM contacts WHERE source_type IN ('signup', 'error', 'purchase') AND update_day < '2024-01-17'"""
+
+SQL["overwrite_full"] = f"""WITH {CONTACTS}
+SELECT * FROM contacts WHERE source_type = 'click'"""
+
+SQL["overwrite_partitions"] = f"""WITH {CONTACTS}
+SELECT * FROM contacts
+WHERE source_type NOT IN ('click', 'view') OR NOT (attr_a IS NULL OR trim(attr_a) = '')"""

@@ -22,6 +22,11 @@ from recunify.sources.readers import history_keys
 from recunify.sources import standins as si
 from recunify.sources.readers import read_tiers, scan_prefix
 from recunify.sinks import writers
+from recunify.functions.ranges import range_bounds
+from recunify.operators import catalog, report, segments as sg
+from recunify.plans import jobs
+from recunify.session import scratch_path
+from recunify.sources.readers import align, read_table, union_all
 
 # ---- fixed parameters of the stand-in queries ----------------------------
 CONTACTS_AS_OF = "2024-01-31"     # events cover 2024-01-01 .. 2024-01-30
@@ -182,3 +187,141 @@ def suppression_candidates(spark, d):
 def active_suppression(spark, d):
     return sp.active_suppression(si.outcomes(spark, d), si.closed_deals(spark, d),
                                  ACTIVE_AS_OF, category_value=ACTIVE_CATEGORY)
+
+
+# ---------------------------------------------------------------- segments
+
+def _segments(spark, d, how="columns"):
+    return sg.segment_rows(si.golden_parts(spark, d), si.segment_rules(spark), how=how)
+
+
+@query
+def segment_rules(spark, d):
+    return _segments(spark, d)
+
+
+@query
+def segment_rules_join(spark, d):
+    return _segments(spark, d, how="join")
+
+
+def _all_target_suppression(spark, d):
+    return sp.active_suppression(si.outcomes(spark, d), si.closed_deals(spark, d),
+                                 ACTIVE_AS_OF, category_value=None)
+
+
+@query
+def suppress_segment(spark, d):
+    segs = _segments(spark, d).join(F.broadcast(si.target_categories(spark)), "targettable", "left")
+    return sp.suppress(segs, _all_target_suppression(spark, d)).drop("category")
+
+
+@query
+def prefix_fill(spark, d):
+    c = si.customer_contacts(spark, d)
+    return sg.lookup_fill(c, si.prefix_dimension(spark, d), F.substring("user_name", 1, 15),
+                          "tel", "city_short")
+
+
+@query
+def publish_segments(spark, d):
+    key_prefix = F.substring(F.col("mobile").cast("string"), 1, 2)
+    return jobs.segment_job(si.golden_parts(spark, d), si.segment_rules(spark),
+                            si.target_categories(spark), si.outcomes(spark, d),
+                            si.closed_deals(spark, d), si.nation_prefix_dimension(spark, d),
+                            key_prefix, ACTIVE_AS_OF)
+
+
+# ---------------------------------------------------------------- catalog
+
+@query
+def targets(spark, d):
+    instructs = read_table(spark, d, "part").select(F.col("p_type").alias("targettable"))
+    return catalog.targets(instructs, "A|P", exclude=["LARGE"])
+
+
+@query
+def table_catalog(spark, d):
+    return catalog.table_catalog(si.table_metadata(spark, d), si.column_metadata(spark, d))
+
+
+@query
+def render_ddl(spark, d):
+    return catalog.render_ddl(si.table_metadata(spark, d), si.column_metadata(spark, d),
+                              root="/warehouse")
+
+
+@query
+def seed_columns(spark, d):
+    cols = si.column_metadata(spark, d)
+    template = cols.where(F.col("dbtable") == "dw_region.region_0")
+    tables = catalog.with_dbtable(si.table_metadata(spark, d)).select("dbtable")
+    return catalog.seed_columns(template, tables)
+
+
+# ---------------------------------------------------------------- report / layout
+
+@query
+def ingest_report(spark, d):
+    return report.ingest_report(_contacts(spark, d), "2024-01-15", key="contact_id")
+
+
+@query
+def range_text(spark, d):
+    p = read_table(spark, d, "part")
+    text = F.concat(p.p_size.cast("string"), F.lit("-"), (p.p_size + 3).cast("string"), F.lit("yrs"))
+    p = p.select("p_partkey", text.alias("age_text"))
+    start, end = range_bounds("age_text")
+    return p.select("p_partkey", "age_text", start.alias("age_start"), end.alias("age_end"))
+
+
+LAYOUT = ["mobile", "user_name", "source_type", "update_day"]
+
+
+@query
+def align_layout(spark, d):
+    ev = read_table(spark, d, "events")
+    cu = read_table(spark, d, "customer")
+    a = align(ev, LAYOUT, renames={"mobile": "user_id", "source_type": "event_type",
+                                   "update_day": F.date_format("ts", "yyyy-MM-dd")})
+    b = align(cu, LAYOUT, renames={"mobile": "c_custkey", "user_name": "c_name"},
+              constants={"source_type": "customer", "update_day": "2024-01-01"})
+    return union_all([a, b])
+
+
+WAREHOUSE_LAYOUT = ["mobile", "user_name", "age", "age_start", "age_end", "source",
+                    "source_type", "update_day", "update_time"]
+
+
+@query
+def archive_cold(spark, d):
+    c = _contacts(spark, d)
+    behavior = c.where(F.col("source_type").isin("view", "click"))
+    testing = c.where(F.col("source_type").isin("signup", "error", "purchase"))
+    feeds = [
+        {"df": behavior, "renames": {"mobile": "contact_id"}},
+        {"df": testing, "renames": {"mobile": "contact_id", "age": "attr_b"},
+         "range": ("attr_b", "age_start", "age_end")},
+    ]
+    return jobs.archive_cold(feeds, WAREHOUSE_LAYOUT, CONTACTS_AS_OF, SPLIT_DAYS)
+
+
+# ---------------------------------------------------------------- sinks (round trips)
+
+@query
+def overwrite_full(spark, d):
+    path = scratch_path(spark, "overwrite_full")
+    c = _contacts(spark, d)
+    writers.overwrite_full(c, path)
+    writers.overwrite_full(c.where(F.col("source_type") == "click"), path)
+    return spark.read.parquet(path)
+
+
+@query
+def overwrite_partitions(spark, d):
+    path = scratch_path(spark, "overwrite_partitions")
+    c = _contacts(spark, d)
+    writers.overwrite_partitions(c, path, ["source_type"])
+    newer = c.where(F.col("source_type").isin("click", "view") & ~is_blank_trim("attr_a"))
+    writers.overwrite_partitions(newer, path, ["source_type"], files_per_partition=2)
+    return spark.read.parquet(path)

@@ -78,6 +78,8 @@ def golden_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 5 == 0, (size % 15).cast("string")).otherwise(F.lit("")).alias("child_deduced_age"),
         F.when(k % 2 == 0, (size - 2).cast("string")).otherwise(F.lit("")).alias("age_start"),
         F.when(k % 2 == 0, (size + 2).cast("string")).otherwise(F.lit("")).alias("age_end"),
+        F.when(k % 7 == 0, F.lit(" ")).when(k % 11 == 0, F.lit(None)).otherwise(F.col("p_brand"))
+        .cast("string").alias("city_short"),
     )
 
 
@@ -145,6 +147,14 @@ def prefix_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nation_prefix_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key-prefix stand-in for the golden parts: leading digits of the key
+    -> nation name (the reference maps a 7-digit phone prefix to a city)."""
+    n = read_table(spark, sf_dir, "nation")
+    return n.select(F.col("n_nationkey").cast("string").alias("tel"),
+                    F.col("n_name").alias("city_short"))
+
+
 def customer_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as contacts whose city (market segment) is sometimes blank."""
     c = read_table(spark, sf_dir, "customer")
