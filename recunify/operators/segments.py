@@ -87,24 +87,58 @@ def _age_clause(kids: Column | bool, parents: Column | bool,
             .when(kids, only_kids).otherwise(F.lit(True)))
 
 
-def _row_values(prefix: str = ""):
-    g = lambda c: int_or_null(F.col(prefix + c))
+AGE_COLUMNS = ("age", "child_age", "child_deduced_age", "age_start", "age_end")
+_INT = "__int_"
+
+
+def _row_values(precomputed: bool = False):
+    if precomputed:
+        g = lambda c: F.col(_INT + c)
+    else:
+        g = lambda c: int_or_null(F.col(c))
     return dict(age=g("age"), child=g("child_age"), deduced=g("child_deduced_age"),
                 start=g("age_start"), end=g("age_end"))
 
 
-def rule_predicate(rule: dict, source_type: str = "source_type") -> Column:
-    """Column predicate of one rule (values taken from the rule row)."""
-    bound = {}
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def rule_sql(rule: dict, source_type: str = "source_type", precomputed: bool = True) -> str:
+    """SQL predicate text of one rule.  Bounds are validated integers
+    (P9) or NULL; the pattern is quoted as a string literal.  One SQL text
+    per target keeps driver-side expression building cheap."""
+    b = {}
     for f in ("minage", "maxage", "minparentage", "maxparentage"):
         v = rule.get(f)
-        bound[f] = F.lit(int(v) if _int_text(v) else None).cast("int")
+        b[f] = str(int(v)) if _int_text(v) else "CAST(NULL AS INT)"
     kids = _int_text(rule.get("minage")) or _int_text(rule.get("maxage"))
     parents = _int_text(rule.get("minparentage")) or _int_text(rule.get("maxparentage"))
-    like = F.col(source_type).like(rule["source"])
-    clause = _age_clause(kids, parents, bound["minage"], bound["maxage"],
-                         bound["minparentage"], bound["maxparentage"], **_row_values())
-    return like & clause
+    if precomputed:
+        v = {c: f"`{_INT}{c}`" for c in AGE_COLUMNS}
+    else:
+        v = {c: f"try_cast(`{c}` AS INT)" for c in AGE_COLUMNS}
+    age, ch, de, st, en = (v["age"], v["child_age"], v["child_deduced_age"],
+                           v["age_start"], v["age_end"])
+    mn, mx, pmn, pmx = b["minage"], b["maxage"], b["minparentage"], b["maxparentage"]
+    bt = lambda x, lo, hi: f"({x} >= {lo} AND {x} <= {hi})"
+    if parents and kids:
+        terms = [bt(ch, mn, mx), bt(de, mn, mx), bt(age, pmn, pmx), bt(ch, pmn, pmx),
+                 bt(de, pmn, pmx), bt(mn, st, en), bt(mx, st, en), bt(pmn, st, en), bt(pmx, st, en)]
+    elif parents:
+        terms = [bt(age, pmn, pmx), bt(ch, pmn, pmx), bt(de, pmn, pmx), bt(pmn, st, en), bt(pmx, st, en)]
+    elif kids:
+        terms = [bt(age, mn, mx), bt(ch, mn, mx), bt(de, mn, mx), bt(mn, st, en), bt(mx, st, en)]
+    else:
+        terms = []
+    like = f"`{source_type}` LIKE {_sql_str(rule['source'])}"
+    return like if not terms else f"({like} AND ({' OR '.join(terms)}))"
+
+
+def rule_predicate(rule: dict, source_type: str = "source_type",
+                   precomputed: bool = True) -> Column:
+    """Column predicate of one rule."""
+    return F.expr(rule_sql(rule, source_type, precomputed))
 
 
 def compile_rules(rules: DataFrame, target_col: str = "targettable") -> dict[str, Column]:
@@ -118,8 +152,8 @@ def compile_rules(rules: DataFrame, target_col: str = "targettable") -> dict[str
         d = r.asDict()
         if d["source"] is None:
             continue   # a rule without a pattern selects nothing
-        by_target.setdefault(d[target_col], []).append(rule_predicate(d))
-    return {t: reduce(or_, preds) for t, preds in sorted(by_target.items())}
+        by_target.setdefault(d[target_col], []).append(rule_sql(d))
+    return {t: F.expr(" OR ".join(preds)) for t, preds in sorted(by_target.items())}
 
 
 def segment_rows(golden: DataFrame, rules: DataFrame, target_col: str = "targettable",
@@ -129,8 +163,13 @@ def segment_rows(golden: DataFrame, rules: DataFrame, target_col: str = "targett
         preds = compile_rules(rules, target_col)
         if not preds:
             return golden.select(F.lit(None).cast("string").alias(target_col), *golden.columns).limit(0)
-        hits = F.array_compact(F.array(*[F.when(p, F.lit(t)) for t, p in preds.items()]))
-        return (golden.select(F.explode(hits).alias(target_col), *golden.columns))
+        # Integer views of the age columns are computed once per row, then
+        # every target's predicate reads them; a plain explode + NULL filter
+        # keeps the whole projection inside whole-stage codegen.
+        ints = golden.select(*golden.columns, *[int_or_null(c).alias(_INT + c) for c in AGE_COLUMNS])
+        hits = F.array(*[F.when(p, F.lit(t)) for t, p in preds.items()])
+        return (ints.select(F.explode(hits).alias(target_col), *golden.columns)
+                .where(F.col(target_col).isNotNull()))
     if how == "join":
         n = rules.count()
         if n > MAX_RULES:
@@ -150,7 +189,8 @@ def segment_rows(golden: DataFrame, rules: DataFrame, target_col: str = "targett
             F.col("r_kids"), F.col("r_parents"), F.col("r_min"), F.col("r_max"),
             F.col("r_pmin"), F.col("r_pmax"), **_row_values())
         j = golden.join(F.broadcast(r), cond, "inner")
-        return j.select(target_col, *golden.columns).dropDuplicates([target_col, key])
+        # golden rows are unique per key, so whole-row distinct = distinct (target, key)
+        return j.select(target_col, *golden.columns).distinct()
     raise ValueError(f"unknown evaluation {how!r}")
 
 
