@@ -101,15 +101,18 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
     (= ``as_of``: the partition the rows are written to).
     """
     start = shift_day(as_of, -outcome_days)
-    win = outcomes.where(F.col(day).between(start, as_of))
-
-    def branch(code: str) -> DataFrame:
-        rows = win.where(F.col(reason) == code)
-        return anti_history(rows, history_keys(history, key, reason, code, day, before=as_of), key)
-
-    child = branch(REASON_CHILD)
-    success = branch(REASON_SUCCESS)
-    age = seen_in_two_groups(branch(REASON_AGE), [category, key], project)
+    codes = [REASON_CHILD, REASON_SUCCESS, REASON_AGE]
+    win = outcomes.where(F.col(day).between(start, as_of) & F.col(reason).isin(codes))
+    # One history pass for the three outcome reasons: distinct (key, reason)
+    # seen before today, removed with a single anti join on both columns.
+    seen = (history.where((F.col(day) < as_of) & F.col(reason).isin(codes))
+            .select(key, reason).distinct())
+    fresh = anti_history(win, seen, [key, reason])
+    is_age = F.col(reason) == REASON_AGE
+    two = two_group_keys(fresh.where(is_age), [category, key], project).withColumn("__two", F.lit(True))
+    # age rows must be seen in >= 2 projects; other reasons pass unchanged
+    outcomes_kept = (fresh.join(two, [category, key], "left")
+                     .where(~is_age | F.col("__two").isNotNull()).drop("__two"))
 
     short = calls.where(F.col(day).between(shift_day(as_of, -call_days), as_of)
                         & (int_or_null(duration) <= max_seconds))
@@ -122,7 +125,7 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
         return df.select(key, category, project, reason, F.col(day).alias("event_day"),
                          F.lit(as_of).alias("update_day"))
 
-    return union_all([layout(child), layout(success), layout(age), layout(refuse)])
+    return union_all([layout(outcomes_kept), layout(refuse)])
 
 
 def active_suppression(filter_table: DataFrame, closed: DataFrame, as_of: str,
