@@ -37,6 +37,9 @@ def latest_dedup(df: DataFrame, keys: Sequence[str], order: Sequence,
                  days: int | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Newest row per ``keys`` among rows of the last ``days`` days.
 
+    ``order`` columns are compared descending, most significant first; end
+    them with a unique tie-break where the feed has one.
+
     ``columns`` is the output projection (P2: the metadata column list);
     default is every input column.
     """
@@ -44,8 +47,12 @@ def latest_dedup(df: DataFrame, keys: Sequence[str], order: Sequence,
         if day_col is None or days is None:
             raise ValueError("as_of needs day_col and days")
         df = hot(df, day_col, shift_day(as_of, -days))
-    w = Window.partitionBy(*keys).orderBy(*[_c(o).desc() for o in order])
     out_cols = list(columns) if columns is not None else df.columns
+    # A hash of the whole row closes remaining ties, so a retried task picks
+    # the same survivor (row_number over a non-unique order is otherwise
+    # free to differ between attempts).
+    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns])
+    w = Window.partitionBy(*keys).orderBy(*[_c(o).desc() for o in order], tiebreak.desc())
     return (df.withColumn("__rn", F.row_number().over(w))
               .where(F.col("__rn") == 1)
               .select(*out_cols))
