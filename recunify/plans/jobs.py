@@ -53,3 +53,36 @@ def segment_job(golden: DataFrame, rules: DataFrame, target_categories: DataFram
     """3.3: every target's published rows in one plan."""
     supp = suppression.active_suppression(filter_table, closed, as_of, category_value=None)
     return segments.publish_segments(golden, rules, target_categories, supp, dim, dim_key_expr)
+
+
+def daily_suppression_job(spark, outcomes: DataFrame, calls: DataFrame, filter_path: str,
+                          as_of: str, **params) -> int:
+    """3.2 (suppression part): compute day ``as_of``'s new suppression rows
+    and write them as partition ``update_day=as_of`` of the table at
+    ``filter_path``, which is also the history the job reads.
+
+    History is read with ``update_day < as_of`` and only partition
+    ``as_of`` is overwritten, so re-running a day gives the same table.
+    The result is checkpointed (reliably, in the shared checkpoint folder)
+    before the write, so the write never reads the files it replaces and a
+    lost executor recomputes from the checkpoint, not from the sources.
+    Returns the number of rows written.
+    """
+    from recunify.sinks.writers import overwrite_partitions, stage
+    try:
+        history = spark.read.parquet(filter_path)
+    except Exception:  # first run: no table yet
+        history = outcomes.limit(0).select("mobile", "source", "update_day")
+    history = history.where(F.col("update_day") < as_of)
+    cands = suppression.suppression_candidates(outcomes, history, calls, as_of, **params)
+    staged = stage(cands, "suppression", how="checkpoint")
+    overwrite_partitions(staged, filter_path, ["update_day"])
+    return staged.count()
+
+
+def golden_table_job(warehouse: DataFrame, path: str, key: str, columns,
+                     tiers: Mapping[int, Sequence[str]], tier_rules: Mapping[int, str],
+                     order: Sequence[str], files: int | None = None) -> None:
+    """3.1 end to end: golden rows -> full overwrite of the golden table (K1)."""
+    from recunify.sinks.writers import overwrite_full
+    overwrite_full(golden_job(warehouse, key, columns, tiers, tier_rules, order), path, files)
