@@ -438,3 +438,20 @@ SELECT * FROM contacts WHERE source_type = 'click'"""
 SQL["overwrite_partitions"] = f"""WITH {CONTACTS}
 SELECT * FROM contacts
 WHERE source_type NOT IN ('click', 'view') OR NOT (attr_a IS NULL OR trim(attr_a) = '')"""
+
+SQL["outcome_feed"] = f"""WITH {OUTCOMES}
+SELECT mobile, '' AS user_name, category, project, title,
+       CASE WHEN trim(title) = '1-URGENT' THEN 'customer_filter_child'
+            WHEN trim(title) = '2-HIGH' THEN 'customer_filter_success'
+            WHEN trim(title) = '4-NOT SPECIFIED' THEN 'customer_filter_age'
+            WHEN trim(title) = '5-LOW' THEN 'customer_filter_refuse' END AS source,
+       'OPERATOR_customer' AS source_type, update_day, '20_00_00' AS update_time
+FROM outcomes
+WHERE update_day BETWEEN '1998-10-01' AND '1998-10-07' AND title IN ('1-URGENT', '2-HIGH')"""
+
+SQL["column_map"] = f"""WITH {META}
+SELECT dswhcolname, buiscolname FROM cols
+WHERE dbtable = 'dw_region.region_1' AND buiscolname NOT IN ('mobile', 'source', 'source_type', 'nation_6')"""
+
+SQL["golden_mapped"] = ("SELECT contact_id, attr_a AS first_attr, attr_b AS second_attr, source, source_type FROM ("
+                        + SQL["golden_record"] + ")")

@@ -86,3 +86,34 @@ def golden_table_job(warehouse: DataFrame, path: str, key: str, columns,
     """3.1 end to end: golden rows -> full overwrite of the golden table (K1)."""
     from recunify.sinks.writers import overwrite_full
     overwrite_full(golden_job(warehouse, key, columns, tiers, tier_rules, order), path, files)
+
+
+# ---- fixed values -------------------------------------------------------
+OUTCOME_SOURCE_TYPE = "OPERATOR_customer"   # source_type of outcome-feed rows
+OUTCOME_TIME = "20_00_00"                   # partition time of daily feeds
+# ------------------------------------------------------------------------
+
+
+def outcome_feed(outcomes: DataFrame, since: str, until: str, titles: Sequence[str],
+                 codes: Mapping[str, str], layout: Sequence[str],
+                 renames: Mapping[str, object] | None = None,
+                 day_col: str = "update_day", title_col: str = "title") -> DataFrame:
+    """Outcomes of the day range with one of ``titles``, coded (P4) and
+    aligned to the feed layout with the constant partition columns (P1).
+    The IN filter compares the raw title, the CASE the trimmed one."""
+    from recunify.functions.codes import code_of
+    rows = outcomes.where(F.col(day_col).between(since, until) & F.col(title_col).isin(list(titles)))
+    rows = rows.withColumn("source", code_of(title_col, codes))
+    consts = {"source_type": OUTCOME_SOURCE_TYPE, "update_time": OUTCOME_TIME}
+    return align(rows, layout, renames, consts)
+
+
+def columns_from_metadata(column_map_df: DataFrame, limit: int = 10_000) -> dict[str, str]:
+    """{target name: warehouse name} from a column-map DataFrame
+    (metadata: bounded by the number of columns of one table)."""
+    rows = column_map_df.select("dswhcolname", "buiscolname").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError("column map is too large to be metadata")
+    if not rows:
+        raise ValueError("no mapped columns for this table")
+    return {r.buiscolname: r.dswhcolname for r in rows}

@@ -325,3 +325,40 @@ def overwrite_partitions(spark, d):
     newer = c.where(F.col("source_type").isin("click", "view") & ~is_blank_trim("attr_a"))
     writers.overwrite_partitions(newer, path, ["source_type"], files_per_partition=2)
     return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------- feed / metadata-driven
+
+FEED_LAYOUT = ["mobile", "user_name", "category", "project", "title", "source",
+               "source_type", "update_day", "update_time"]
+
+
+@query
+def outcome_feed(spark, d):
+    return jobs.outcome_feed(si.outcomes(spark, d), "1998-10-01", "1998-10-07",
+                             ["1-URGENT", "2-HIGH"], si.REASON_BY_TITLE, FEED_LAYOUT)
+
+
+@query
+def column_map(spark, d):
+    return catalog.column_map(si.column_metadata(spark, d), "dw_region.region_1",
+                              skip=["mobile", "source", "source_type", "nation_6"])
+
+
+def _contact_column_meta(spark):
+    # column metadata of the golden contacts table: warehouse name -> target name
+    return spark.createDataFrame(
+        [("golden.contacts", "attr_a", "first_attr", "string", "first", 1),
+         ("golden.contacts", "attr_b", "second_attr", "string", "second", 2),
+         ("golden.contacts", "source", "source", "string", "sources", 3)],
+        "dbtable string, dswhcolname string, buiscolname string, buiscoltype string, "
+        "buiscolcomment string, buiscolrank int")
+
+
+@query
+def golden_mapped(spark, d):
+    mapping = jobs.columns_from_metadata(
+        catalog.column_map(_contact_column_meta(spark), "golden.contacts"))
+    rules = {1: sv.ANY, 2: sv.LATEST, 3: sv.LATEST}
+    return jobs.golden_job(_contacts(spark, d), "contact_id", mapping, si.CONTACT_TIERS,
+                           rules, CONTACT_ORDER)
