@@ -26,7 +26,7 @@ from recunify.functions.ranges import range_bounds
 from recunify.operators import catalog, report, segments as sg
 from recunify.plans import jobs
 from recunify.session import scratch_path
-from recunify.sources.readers import align, read_table, union_all
+from recunify.sources.readers import align, literal_frame, read_table, union_all
 
 # ---- fixed parameters of the stand-in queries ----------------------------
 CONTACTS_AS_OF = "2024-01-31"     # events cover 2024-01-01 .. 2024-01-30
@@ -347,7 +347,8 @@ def column_map(spark, d):
 
 def _contact_column_meta(spark):
     # column metadata of the golden contacts table: warehouse name -> target name
-    return spark.createDataFrame(
+    return literal_frame(
+        spark,
         [("golden.contacts", "attr_a", "first_attr", "string", "first", 1),
          ("golden.contacts", "attr_b", "second_attr", "string", "second", 2),
          ("golden.contacts", "source", "source", "string", "sources", 3)],

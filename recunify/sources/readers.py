@@ -87,3 +87,18 @@ def align(df: DataFrame, layout: Sequence[str], renames: Mapping[str, str] | Non
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     """UNION ALL by column name."""
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def literal_frame(spark, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A small metadata table (rules, mappings) as a JVM-side DataFrame.
+
+    ``spark.createDataFrame(list)`` scans a Python RDD, which starts Python
+    workers in every query that touches the table; inlining literal structs
+    keeps the plan JVM-only.  Only for metadata of a few hundred rows.
+    """
+    st = spark.createDataFrame([], schema).schema      # parses the DDL; runs no job
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

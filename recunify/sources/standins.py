@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from recunify.functions.codes import code_of
 from recunify.functions.dates import day_of, time_of
-from recunify.sources.readers import read_table
+from recunify.sources.readers import literal_frame, read_table
 
 # ---- fixed values -------------------------------------------------------
 from recunify.operators.suppression import (  # noqa: E402  (reason codes)
@@ -85,15 +85,15 @@ def golden_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def segment_rules(spark: SparkSession) -> DataFrame:
     """Rule metadata table (``metadata_instructs`` layout)."""
-    return spark.createDataFrame(
-        SEGMENT_RULES,
+    return literal_frame(
+        spark, SEGMENT_RULES,
         "source string, minage string, maxage string, minparentage string, "
         "maxparentage string, targettable string",
     ).withColumn("targetdatabase", F.lit("seg"))
 
 
 def target_categories(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TARGET_CATEGORY, "targettable string, category string")
+    return literal_frame(spark, TARGET_CATEGORY, "targettable string, category string")
 
 
 def reason_of(title) -> F.Column:
