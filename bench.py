@@ -7,7 +7,7 @@ Runs each query of ``HEADLINE`` at ``$BENCH_SF_DIR`` (default
 Each query is executed fully with the ``noop`` sink (every row computed,
 nothing collected to the driver).  One untimed warm-up pass loads classes
 and the parquet footers; the timed figure is the best of ``$BENCH_REPEAT``
-runs (default 2).
+runs (default 3).
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ def _shuffles(df) -> int:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     from recunify.session import local_session
     from recunify.plans.queries import QUERIES
 
