@@ -229,8 +229,10 @@ def publish_segments(golden: DataFrame, rules: DataFrame, target_categories: Dat
     category_value=None)``.
     """
     segs = segment_rows(golden, rules, target_col, key)
-    tc = target_categories.select(target_col, category).dropDuplicates([target_col])
-    segs = segs.join(F.broadcast(tc), target_col, "left")
+    # one row per target (first category wins); joined without a hint: AQE
+    # broadcasts it from its runtime size, like any other small side
+    tc = target_categories.groupBy(target_col).agg(F.min(category).alias(category))
+    segs = segs.join(tc, target_col, "left")
     kept = suppress(segs, suppression, key, category).drop(category)
     return drop_blank(lookup_fill(kept, dim, dim_key_expr, dim_key, city), city)
 

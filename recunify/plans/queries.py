@@ -212,7 +212,7 @@ def _all_target_suppression(spark, d):
 
 @query
 def suppress_segment(spark, d):
-    segs = _segments(spark, d).join(F.broadcast(si.target_categories(spark)), "targettable", "left")
+    segs = _segments(spark, d).join(si.target_categories(spark), "targettable", "left")
     return sp.suppress(segs, _all_target_suppression(spark, d)).drop("category")
 
 
