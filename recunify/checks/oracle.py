@@ -455,3 +455,6 @@ WHERE dbtable = 'dw_region.region_1' AND buiscolname NOT IN ('mobile', 'source',
 
 SQL["golden_mapped"] = ("SELECT contact_id, attr_a AS first_attr, attr_b AS second_attr, source, source_type FROM ("
                         + SQL["golden_record"] + ")")
+
+SQL["latest_dedup_mapped"] = ("SELECT contact_id, source_type, attr_a, attr_b, update_day FROM ("
+                              + SQL["latest_dedup"] + ")")

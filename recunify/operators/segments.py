@@ -215,11 +215,23 @@ def drop_blank(df: DataFrame, column: str) -> DataFrame:
     return df.where(~is_blank_trim(column))
 
 
+def check_categories(rules: DataFrame, target_categories: DataFrame,
+                     target_col: str = "targettable", category: str = "category") -> None:
+    """Every target with rules needs a category (the reference's lookup
+    failed on a missing one).  Both inputs are metadata."""
+    wanted = {r[0] for r in rules.select(target_col).distinct().limit(MAX_RULES + 1).collect()}
+    have = {r[0] for r in target_categories.where(F.col(category).isNotNull())
+            .select(target_col).distinct().limit(MAX_RULES + 1).collect()}
+    missing = sorted(t for t in wanted - have if t is not None)
+    if missing:
+        raise ValueError(f"targets without a category: {missing}")
+
+
 def publish_segments(golden: DataFrame, rules: DataFrame, target_categories: DataFrame,
                      suppression: DataFrame, dim: DataFrame, dim_key_expr: Column,
                      dim_key: str = "tel", city: str = "city_short",
                      target_col: str = "targettable", key: str = "mobile",
-                     category: str = "category") -> DataFrame:
+                     category: str = "category", strict: bool = True) -> DataFrame:
     """C9 for every target in one pass: segment -> minus suppression (for
     all categories and for the target's own category) -> city filled from
     the dimension -> rows with a blank city dropped.
@@ -228,6 +240,8 @@ def publish_segments(golden: DataFrame, rules: DataFrame, target_categories: Dat
     target); ``suppression`` comes from ``active_suppression(...,
     category_value=None)``.
     """
+    if strict:
+        check_categories(rules, target_categories, target_col, category)
     segs = segment_rows(golden, rules, target_col, key)
     # one row per target (first category wins); joined without a hint: AQE
     # broadcasts it from its runtime size, like any other small side

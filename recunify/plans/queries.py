@@ -363,3 +363,14 @@ def golden_mapped(spark, d):
     rules = {1: sv.ANY, 2: sv.LATEST, 3: sv.LATEST}
     return jobs.golden_job(_contacts(spark, d), "contact_id", mapping, si.CONTACT_TIERS,
                            rules, CONTACT_ORDER)
+
+
+@query
+def latest_dedup_mapped(spark, d):
+    """C3 with the P2 projection: output columns come from column metadata
+    (target table's columns in rank order, plus the key and source columns)."""
+    meta = catalog.column_map(_contact_column_meta(spark), "golden.contacts")
+    mapped = list(jobs.columns_from_metadata(meta).values())
+    cols = ["contact_id", "source_type"] + mapped + ["update_day"]
+    return dedup.latest_dedup(_contacts(spark, d), ["source_type", "contact_id"], CONTACT_ORDER,
+                              day_col="update_day", as_of=CONTACTS_AS_OF, days=HOT_DAYS, columns=cols)

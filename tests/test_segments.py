@@ -71,3 +71,15 @@ def test_range_bounds(spark):
     s2, e2 = range_bounds("t", strip_ends=True)
     got2 = [(r.s, r.e) for r in df.select(s2.alias("s"), e2.alias("e")).collect()]
     assert got2[4] == ("3", "6") and got2[1] == ("3", None)
+
+
+def test_missing_category_is_a_clear_error(spark):
+    import pytest
+    from recunify.operators import suppression as sp
+    g = si.golden_parts(spark, SF01)
+    rules = si.segment_rules(spark)
+    cats = spark.createDataFrame([("t1", "F")], "targettable string, category string")
+    supp = sp.active_suppression(si.outcomes(spark, SF01), si.closed_deals(spark, SF01), "2001-08-01")
+    with pytest.raises(ValueError, match="t2"):
+        sg.publish_segments(g, rules, cats, supp, si.nation_prefix_dimension(spark, SF01),
+                            F.substring(F.col("mobile").cast("string"), 1, 2))
