@@ -56,14 +56,26 @@ def any_value(c) -> Column:
     return F.max(_c(c))
 
 
+def _pick(c, *ordering) -> Column:
+    """Value of the row with the largest ``(filled, *ordering, value)``.
+
+    ``max`` over one struct keeps a single buffer per column (``max_by``
+    would keep the value and the ordering separately); the value as last
+    field makes ties deterministic.
+    """
+    v = _c(c)
+    fields = [filled_flag(v).alias("f")] + [o.alias(f"o{i}") for i, o in enumerate(ordering)]
+    return F.max(F.struct(*fields, v.alias("v"))).getField("v")
+
+
 def latest_non_empty(c, order: Sequence) -> Column:
     """Filled first, then latest by ``order`` (all descending)."""
-    return F.max_by(_c(c), F.struct(filled_flag(c), *[_c(o) for o in order]))
+    return _pick(c, *[_c(o) for o in order])
 
 
 def by_priority(c, priority) -> Column:
     """Filled first, then highest ``priority``."""
-    return F.max_by(_c(c), F.struct(filled_flag(c), _c(priority)))
+    return _pick(c, _c(priority))
 
 
 def provenance(c) -> Column:
@@ -134,14 +146,14 @@ def golden_record(df: DataFrame, key: str, columns, tier_col: str,
     tier = F.col(tier_col)
     latest_tiers = [t for t, r in tier_rules.items() if r == LATEST]
     is_latest = tier.isin(latest_tiers) if latest_tiers else F.lit(False)
-    # Recency fields count only inside 'latest' tiers; inside 'any' tiers
-    # they are NULL so the value itself (last field) decides.
-    rec = [F.when(is_latest, _c(o)).alias(f"o{i}") for i, o in enumerate(order)]
-    aggs = []
-    for src, dst in pairs:
-        v = _c(src)
-        ordering = F.struct(filled_flag(v).alias("f"), tier.alias("t"), *rec, v.alias("v"))
-        aggs.append(F.max_by(v, ordering).alias(dst))
+    # The shared part of every column's ordering -- tier, then recency --
+    # is built once per row.  Recency counts only inside 'latest' tiers;
+    # inside 'any' tiers it is NULL so the value itself (last field) decides.
+    rec = F.struct(tier.alias("t"), *[F.when(is_latest, _c(o)).alias(f"o{i}")
+                                      for i, o in enumerate(order)])
+    needed = {src for src, _ in pairs} | set(source_cols) | {key, tier_col}
+    df = df.select(*[F.col(c) for c in df.columns if c in needed], rec.alias("__rec"))
+    aggs = [_pick(src, F.col("__rec")).alias(dst) for src, dst in pairs]
     # Provenance per tier, then the set of tier strings (whole strings,
     # sorted), as the tiered pipeline produces it.
     tiers = sorted(tier_rules)

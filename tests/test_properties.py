@@ -71,4 +71,4 @@ def test_hot_key_third_of_rows(spark):
     with contextlib.redirect_stdout(buf):
         one.explain()
     plan = buf.getvalue()
-    assert "partial_max_by" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "partial_max(" in plan and plan.count("Exchange hashpartitioning") == 1
