@@ -255,7 +255,8 @@ def write_segments(df: DataFrame, root: str, target_col: str = "targettable",
                    files_per_target: int | None = None) -> None:
     """K1 per target: each target is a folder ``root/<target_col>=<t>``,
     fully replaced by dynamic overwrite (targets absent from ``df`` keep
-    their previous rows, as the reference keeps a target whose job failed)."""
-    out = df.repartition(files_per_target, target_col) if files_per_target else df
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(target_col).parquet(root))
+    their previous rows, as the reference keeps a target whose job failed).
+    ``files_per_target`` spreads each target over that many salted writers,
+    so one large target is not written by a single task."""
+    from recunify.sinks.writers import overwrite_partitions
+    overwrite_partitions(df, root, [target_col], files_per_partition=files_per_target)
