@@ -154,25 +154,23 @@ def golden_record(df: DataFrame, key: str, columns, tier_col: str,
     needed = {src for src, _ in pairs} | set(source_cols) | {key, tier_col}
     df = df.select(*[F.col(c) for c in df.columns if c in needed], rec.alias("__rec"))
     aggs = [_pick(src, F.col("__rec")).alias(dst) for src, dst in pairs]
-    # Provenance: one set of (tier, value) per source column and the set of
-    # tiers present; per-tier strings are cut from them after the shuffle,
-    # then the set of tier strings (whole strings, sorted) is joined, as the
-    # tiered pipeline produces it.
+    # Provenance per tier (a set of plain strings per tier: cheaper to
+    # buffer and shuffle than one set of (tier, value) structs), then the
+    # set of tier strings (whole strings, sorted), as the tiered pipeline
+    # produces it.
     tiers = sorted(tier_rules)
     for s in source_cols:
-        aggs.append(F.collect_set(F.struct(tier.alias("t"), F.col(s).alias("v"))).alias(f"__{s}"))
-    aggs.append(F.collect_set(tier).alias("__tiers"))
+        for t in tiers:
+            aggs.append(F.array_join(F.array_sort(F.collect_set(F.when(tier == t, F.col(s)))), ",")
+                        .alias(f"__{s}_{t}"))
+    for t in tiers:
+        aggs.append(F.max(F.when(tier == t, F.lit(True))).alias(f"__has_{t}"))
     g = df.groupBy(key).agg(*aggs)
     out = [F.col(key)] + [F.col(dst) for _, dst in pairs]
     for s in source_cols:
-        per_tier = []
-        for t in tiers:
-            vals = F.transform(F.filter(F.col(f"__{s}"), lambda x: (x["t"] == t) & x["v"].isNotNull()),
-                               lambda x: x["v"])
-            per_tier.append(F.when(F.array_contains(F.col("__tiers"), t),
-                                   F.array_join(F.array_sort(vals), ",")))
+        parts = F.array(*[F.when(F.col(f"__has_{t}"), F.col(f"__{s}_{t}")) for t in tiers])
         out.append(F.array_join(F.array_sort(F.array_distinct(
-            F.filter(F.array(*per_tier), lambda x: x.isNotNull()))), ",").alias(s))
+            F.filter(parts, lambda x: x.isNotNull()))), ",").alias(s))
     return g.select(*out)
 
 
