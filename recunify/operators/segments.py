@@ -157,10 +157,12 @@ def compile_rules(rules: DataFrame, target_col: str = "targettable") -> dict[str
 
 
 def segment_rows(golden: DataFrame, rules: DataFrame, target_col: str = "targettable",
-                 key: str = "mobile", how: str = "columns") -> DataFrame:
-    """(target, golden row) for every target whose rules the row satisfies."""
+                 key: str = "mobile", how: str = "columns",
+                 compiled: dict[str, Column] | None = None) -> DataFrame:
+    """(target, golden row) for every target whose rules the row satisfies.
+    ``compiled`` reuses the output of ``compile_rules``."""
     if how == "columns":
-        preds = compile_rules(rules, target_col)
+        preds = compiled if compiled is not None else compile_rules(rules, target_col)
         if not preds:
             return golden.select(F.lit(None).cast("string").alias(target_col), *golden.columns).limit(0)
         # Integer views of the age columns are computed once per row, then
@@ -215,11 +217,15 @@ def drop_blank(df: DataFrame, column: str) -> DataFrame:
     return df.where(~is_blank_trim(column))
 
 
-def check_categories(rules: DataFrame, target_categories: DataFrame,
+def check_categories(rules, target_categories: DataFrame,
                      target_col: str = "targettable", category: str = "category") -> None:
     """Every target with rules needs a category (the reference's lookup
-    failed on a missing one).  Both inputs are metadata."""
-    wanted = {r[0] for r in rules.select(target_col).distinct().limit(MAX_RULES + 1).collect()}
+    failed on a missing one).  Both inputs are metadata; ``rules`` may be
+    the rule DataFrame or the target names already compiled."""
+    if isinstance(rules, DataFrame):
+        wanted = {r[0] for r in rules.select(target_col).distinct().limit(MAX_RULES + 1).collect()}
+    else:
+        wanted = set(rules)
     have = {r[0] for r in target_categories.where(F.col(category).isNotNull())
             .select(target_col).distinct().limit(MAX_RULES + 1).collect()}
     missing = sorted(t for t in wanted - have if t is not None)
@@ -240,9 +246,10 @@ def publish_segments(golden: DataFrame, rules: DataFrame, target_categories: Dat
     target); ``suppression`` comes from ``active_suppression(...,
     category_value=None)``.
     """
+    preds = compile_rules(rules, target_col)
     if strict:
-        check_categories(rules, target_categories, target_col, category)
-    segs = segment_rows(golden, rules, target_col, key)
+        check_categories(list(preds), target_categories, target_col, category)
+    segs = segment_rows(golden, rules, target_col, key, compiled=preds)
     # one row per target (first category wins); joined without a hint: AQE
     # broadcasts it from its runtime size, like any other small side
     tc = target_categories.groupBy(target_col).agg(F.min(category).alias(category))

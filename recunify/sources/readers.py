@@ -15,8 +15,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Parquet table ``<sf_dir>/<name>.parquet``.
+
+    One DataFrame per (application, path) is reused, so a job that reads a
+    table several times lists its files and reads its footers once (the
+    inputs are immutable for the life of a job).
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    k = (spark.sparkContext.applicationId, path)
+    df = _READS.get(k)
+    if df is None:
+        df = spark.read.parquet(path)
+        _READS[k] = df
+    return df
 
 
 def scan_prefix(df: DataFrame, column: str, prefix: str) -> DataFrame:
@@ -89,16 +104,31 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def literal_frame(spark, rows: Sequence[Sequence], schema: str) -> DataFrame:
-    """A small metadata table (rules, mappings) as a JVM-side DataFrame.
+    """A small metadata table (rules, mappings) as a local relation.
 
-    ``spark.createDataFrame(list)`` scans a Python RDD, which starts Python
-    workers in every query that touches the table; inlining literal structs
-    keeps the plan JVM-only.  Only for metadata of a few hundred rows.
+    ``schema`` is ``"name type, name type, ..."`` with simple types.  One
+    ``VALUES`` statement builds it: no Python RDD (``createDataFrame(list)``
+    would start Python workers in every query touching the table) and one
+    call to the JVM.  Only for metadata of a few hundred rows.
     """
-    st = spark.createDataFrame([], schema).schema      # parses the DDL; runs no job
+    fields = [f.strip().split(None, 1) for f in schema.split(",")]
     if not rows:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)])
-               for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+        cols = ", ".join(f"CAST(NULL AS {t}) AS `{n}`" for n, t in fields)
+        return spark.sql(f"SELECT {cols} WHERE FALSE")
+    for r in rows:
+        if len(r) != len(fields):
+            raise ValueError(f"row {r!r} does not match schema {schema!r}")
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f"CAST(col{i + 1} AS {t}) AS `{n}`" for i, (n, t) in enumerate(fields))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values}")
