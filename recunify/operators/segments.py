@@ -243,8 +243,8 @@ def publish_segments(golden: DataFrame, rules: DataFrame, target_categories: Dat
     the dimension -> rows with a blank city dropped.
 
     ``target_categories`` (target, category) is metadata (one row per
-    target); ``suppression`` comes from ``active_suppression(...,
-    category_value=None)``.
+    target); ``suppression`` is the pair from ``active_suppression_parts``
+    (or the table from ``active_suppression(..., category_value=None)``).
     """
     preds = compile_rules(rules, target_col)
     if strict:

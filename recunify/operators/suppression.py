@@ -128,6 +128,32 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
     return union_all([layout(outcomes_kept), layout(refuse)])
 
 
+def active_suppression_parts(filter_table: DataFrame, closed: DataFrame, as_of: str,
+                             key: str = "mobile", category: str = "category",
+                             reason: str = "source", day: str = "update_day",
+                             success_days: int = 180, refuse_days: int = 90
+                             ) -> tuple[DataFrame, DataFrame]:
+    """C7 for every category at once, as two key sets:
+
+    * ``common`` (key): suppressed for every category -- age rows (any day),
+      success rows of the last ``success_days`` days, refuse rows of the
+      last ``refuse_days`` days whose key has no closed deal anywhere;
+    * ``per_category`` (key, category): child rows whose (key, category)
+      has no closed deal.
+
+    Duplicates are kept (UNION ALL semantics); anti joins ignore them.
+    """
+    r, d = F.col(reason), F.col(day)
+    common = filter_table.where(
+        (r == REASON_AGE) | ((r == REASON_SUCCESS) & (d >= shift_day(as_of, -success_days))))
+    refuse = anti_history(
+        filter_table.where((r == REASON_REFUSE) & (d >= shift_day(as_of, -refuse_days))),
+        closed.select(key).distinct(), key)
+    child = anti_history(filter_table.where(r == REASON_CHILD), closed.select(key, category),
+                         [key, category])
+    return (union_all([common.select(key), refuse.select(key)]), child.select(key, category))
+
+
 def active_suppression(filter_table: DataFrame, closed: DataFrame, as_of: str,
                        category_value: str | None = None, key: str = "mobile",
                        category: str = "category", reason: str = "source",
@@ -142,33 +168,27 @@ def active_suppression(filter_table: DataFrame, closed: DataFrame, as_of: str,
       deal in any category.
 
     UNION ALL of keys (duplicates kept, as an anti join ignores them).  With
-    ``category_value=None`` the child branch keeps every category and the
-    output carries a ``category`` column (NULL = applies to all
-    categories), so one pass serves every target; see ``suppress``.
+    ``category_value=None`` the output carries a ``category`` column (NULL =
+    applies to all categories); to apply it, prefer passing
+    ``active_suppression_parts(...)`` to ``suppress``.
     """
-    r, d = F.col(reason), F.col(day)
-    common = filter_table.where(
-        (r == REASON_AGE) | ((r == REASON_SUCCESS) & (d >= shift_day(as_of, -success_days))))
-    child = filter_table.where(r == REASON_CHILD)
-    if category_value is not None:
-        child = child.where(F.col(category) == category_value)
-    child = anti_history(child, closed.select(key, category), [key, category])
-    closed_keys = closed.select(key).distinct()
-    refuse = anti_history(
-        filter_table.where((r == REASON_REFUSE) & (d >= shift_day(as_of, -refuse_days))),
-        closed_keys, key)
+    common, per_cat = active_suppression_parts(filter_table, closed, as_of, key, category,
+                                               reason, day, success_days, refuse_days)
     if category_value is not None:
-        return union_all([common.select(key), child.select(key), refuse.select(key)])
-    null_cat = F.lit(None).cast("string").alias(category)
-    return union_all([common.select(key, null_cat), child.select(key, category),
-                      refuse.select(key, null_cat)])
+        return union_all([common, per_cat.where(F.col(category) == category_value).select(key)])
+    return union_all([common.select(key, F.lit(None).cast("string").alias(category)),
+                      per_cat])
 
 
-def suppress(rows: DataFrame, suppression: DataFrame, key: str = "mobile",
+def suppress(rows: DataFrame, suppression, key: str = "mobile",
              category: str = "category") -> DataFrame:
     """Drop rows whose key is suppressed for every category, or for the
-    row's own category (``suppression`` from ``active_suppression`` with
-    ``category_value=None``)."""
-    common = suppression.where(F.col(category).isNull()).select(key)
-    per_cat = suppression.where(F.col(category).isNotNull()).select(key, category)
+    row's own category.  ``suppression`` is the pair from
+    ``active_suppression_parts`` (or the single table from
+    ``active_suppression(category_value=None)``)."""
+    if isinstance(suppression, DataFrame):
+        common = suppression.where(F.col(category).isNull()).select(key)
+        per_cat = suppression.where(F.col(category).isNotNull()).select(key, category)
+    else:
+        common, per_cat = suppression
     return anti_history(anti_history(rows, common, key), per_cat, [key, category])

@@ -51,7 +51,7 @@ def segment_job(golden: DataFrame, rules: DataFrame, target_categories: DataFram
                 filter_table: DataFrame, closed: DataFrame, dim: DataFrame,
                 dim_key_expr, as_of: str) -> DataFrame:
     """3.3: every target's published rows in one plan."""
-    supp = suppression.active_suppression(filter_table, closed, as_of, category_value=None)
+    supp = suppression.active_suppression_parts(filter_table, closed, as_of)
     return segments.publish_segments(golden, rules, target_categories, supp, dim, dim_key_expr)
 
 

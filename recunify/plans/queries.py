@@ -206,8 +206,8 @@ def segment_rules_join(spark, d):
 
 
 def _all_target_suppression(spark, d):
-    return sp.active_suppression(si.outcomes(spark, d), si.closed_deals(spark, d),
-                                 ACTIVE_AS_OF, category_value=None)
+    return sp.active_suppression_parts(si.outcomes(spark, d), si.closed_deals(spark, d),
+                                       ACTIVE_AS_OF)
 
 
 @query
