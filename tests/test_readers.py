@@ -23,6 +23,6 @@ def test_align_fills_and_renames(spark):
 
 
 def test_read_tiers_first_matching_prefix(spark):
-    df = literal_frame(spark, [("MSO_a",), ("NET_b",), ("zzz",)], "source_type string")
-    got = sorted((r.source_type, r.tier) for r in read_tiers(df, "source_type", {1: ("MSO",), 2: ("NET",)}).collect())
-    assert got == [("MSO_a", 1), ("NET_b", 2)]
+    df = literal_frame(spark, [("OWN_a",), ("NET_b",), ("zzz",)], "source_type string")
+    got = sorted((r.source_type, r.tier) for r in read_tiers(df, "source_type", {1: ("OWN",), 2: ("NET",)}).collect())
+    assert got == [("NET_b", 2), ("OWN_a", 1)]
