@@ -6,7 +6,6 @@ text.  Used by the tests and by ``python -m recunify.checks.compare``.
 
 from __future__ import annotations
 
-import glob
 import math
 import os
 import sys

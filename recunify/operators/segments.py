@@ -36,7 +36,6 @@ from __future__ import annotations
 
 from functools import reduce
 from operator import or_
-from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F

@@ -13,20 +13,18 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recunify.functions.blank import is_blank_trim
-from recunify.functions.dates import shift_day
-from recunify.functions.blank import int_or_null
+from recunify.functions.blank import int_or_null, is_blank_trim
 from recunify.functions.codes import code_of
-from recunify.operators import dedup, suppression as sp, survivorship as sv
-from recunify.sources.readers import history_keys
-from recunify.sources import standins as si
-from recunify.sources.readers import read_tiers, scan_prefix
-from recunify.sinks import writers
+from recunify.functions.dates import shift_day
 from recunify.functions.ranges import range_bounds
-from recunify.operators import catalog, report, segments as sg
+from recunify.operators import catalog, dedup, report, segments as sg
+from recunify.operators import suppression as sp, survivorship as sv
 from recunify.plans import jobs
 from recunify.session import scratch_path
-from recunify.sources.readers import align, literal_frame, read_table, union_all
+from recunify.sinks import writers
+from recunify.sources import standins as si
+from recunify.sources.readers import (align, history_keys, literal_frame, read_table, read_tiers,
+                                      scan_prefix, union_all)
 
 # ---- fixed parameters of the stand-in queries ----------------------------
 CONTACTS_AS_OF = "2024-01-31"     # events cover 2024-01-01 .. 2024-01-30
