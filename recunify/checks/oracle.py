@@ -369,16 +369,16 @@ SQL["targets"] = """SELECT DISTINCT p_type AS targettable FROM part
 WHERE regexp_matches(p_type, 'A|P') AND p_type NOT IN ('LARGE')"""
 
 META = """tables AS (
-  SELECT 'dw_region' AS databasename, 'region_' || CAST(r_regionkey AS VARCHAR) AS tablename,
-         r_name AS tbcomment, 'parquet' AS storage, 'dw_region' AS databasepath,
-         'region_' || CAST(r_regionkey AS VARCHAR) AS dbtablepath,
-         'dw_region.region_' || CAST(r_regionkey AS VARCHAR) AS dbtable
-  FROM region),
+  SELECT 'dw_cust' AS databasename, 'cust_' || CAST(c_custkey AS VARCHAR) AS tablename,
+         c_name AS tbcomment, 'parquet' AS storage, 'dw_cust' AS databasepath,
+         'cust_' || CAST(c_custkey AS VARCHAR) AS dbtablepath,
+         'dw_cust.cust_' || CAST(c_custkey AS VARCHAR) AS dbtable
+  FROM customer),
 cols AS (
-  SELECT 'dw_region.region_' || CAST(n_regionkey AS VARCHAR) AS dbtable, lower(n_name) AS dswhcolname,
-         lower(n_name) AS buiscolname, 'string' AS buiscoltype, n_name AS buiscolcomment,
-         n_nationkey AS buiscolrank
-  FROM nation)"""
+  SELECT 'dw_cust.cust_' || CAST(o_custkey AS VARCHAR) AS dbtable, 'o_' || CAST(o_orderkey AS VARCHAR) AS dswhcolname,
+         'o_' || CAST(o_orderkey AS VARCHAR) AS buiscolname, 'string' AS buiscoltype,
+         o_orderpriority AS buiscolcomment, o_orderkey AS buiscolrank
+  FROM orders)"""
 
 SQL["table_catalog"] = f"""WITH {META}
 SELECT t.*, c.dswhcolname, c.buiscolname, c.buiscoltype, c.buiscolcomment, c.buiscolrank
@@ -399,7 +399,7 @@ FROM tables t JOIN ddl_cols d ON t.dbtable = d.dbtable"""
 
 SQL["seed_columns"] = f"""WITH {META}
 SELECT t.dbtable, c.dswhcolname, c.buiscolname, c.buiscoltype, c.buiscolcomment, c.buiscolrank
-FROM tables t CROSS JOIN (SELECT * FROM cols WHERE dbtable = 'dw_region.region_0') c"""
+FROM tables t CROSS JOIN (SELECT * FROM cols WHERE dbtable = 'dw_cust.cust_0') c"""
 
 SQL["ingest_report"] = f"""WITH {CONTACTS}
 SELECT '20240115' AS day, source_type, count(*) AS counts, count(DISTINCT contact_id) AS distinct_num,
@@ -451,7 +451,7 @@ WHERE update_day BETWEEN '1998-10-01' AND '1998-10-07' AND title IN ('1-URGENT',
 
 SQL["column_map"] = f"""WITH {META}
 SELECT dswhcolname, buiscolname FROM cols
-WHERE dbtable = 'dw_region.region_1' AND buiscolname NOT IN ('mobile', 'source', 'source_type', 'nation_6')"""
+WHERE dbtable = 'dw_cust.cust_1' AND buiscolname NOT IN ('mobile', 'source', 'source_type')"""
 
 SQL["golden_mapped"] = ("SELECT contact_id, attr_a AS first_attr, attr_b AS second_attr, source, source_type FROM ("
                         + SQL["golden_record"] + ")")

@@ -252,7 +252,7 @@ def render_ddl(spark, d):
 @query
 def seed_columns(spark, d):
     cols = si.column_metadata(spark, d)
-    template = cols.where(F.col("dbtable") == "dw_region.region_0")
+    template = cols.where(F.col("dbtable") == "dw_cust.cust_0")
     tables = catalog.with_dbtable(si.table_metadata(spark, d)).select("dbtable")
     return catalog.seed_columns(template, tables)
 
@@ -339,8 +339,7 @@ def outcome_feed(spark, d):
 
 @query
 def column_map(spark, d):
-    return catalog.column_map(si.column_metadata(spark, d), "dw_region.region_1",
-                              skip=["mobile", "source", "source_type", "nation_6"])
+    return catalog.column_map(si.column_metadata(spark, d), "dw_cust.cust_1")
 
 
 def _contact_column_meta(spark):

@@ -165,27 +165,30 @@ def customer_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Table catalog stand-in: one table per region (``metadata_business``)."""
-    r = read_table(spark, sf_dir, "region")
-    name = F.concat(F.lit("region_"), F.col("r_regionkey").cast("string"))
-    return r.select(
-        F.lit("dw_region").alias("databasename"),
+    """Table-catalog stand-in (``metadata_business`` layout): every customer
+    is a table, so the catalog grows with the data."""
+    c = read_table(spark, sf_dir, "customer")
+    name = F.concat(F.lit("cust_"), F.col("c_custkey").cast("string"))
+    return c.select(
+        F.lit("dw_cust").alias("databasename"),
         name.alias("tablename"),
-        F.col("r_name").alias("tbcomment"),
+        F.col("c_name").alias("tbcomment"),
         F.lit("parquet").alias("storage"),
-        F.lit("dw_region").alias("databasepath"),
+        F.lit("dw_cust").alias("databasepath"),
         name.alias("dbtablepath"),
     )
 
 
 def column_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column metadata stand-in: each nation is a column of its region's table."""
-    n = read_table(spark, sf_dir, "nation")
-    return n.select(
-        F.concat(F.lit("dw_region.region_"), F.col("n_regionkey").cast("string")).alias("dbtable"),
-        F.lower("n_name").alias("dswhcolname"),
-        F.lower("n_name").alias("buiscolname"),
+    """Column-metadata stand-in (``metadata_col_type`` layout): each order is
+    a column of its customer's table, ranked by order key."""
+    o = read_table(spark, sf_dir, "orders")
+    name = F.concat(F.lit("o_"), F.col("o_orderkey").cast("string"))
+    return o.select(
+        F.concat(F.lit("dw_cust.cust_"), F.col("o_custkey").cast("string")).alias("dbtable"),
+        name.alias("dswhcolname"),
+        name.alias("buiscolname"),
         F.lit("string").alias("buiscoltype"),
-        F.col("n_name").alias("buiscolcomment"),
-        F.col("n_nationkey").alias("buiscolrank"),
+        F.col("o_orderpriority").alias("buiscolcomment"),
+        F.col("o_orderkey").alias("buiscolrank"),
     )

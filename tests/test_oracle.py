@@ -32,7 +32,6 @@ def test_survey_prototype_counts(spark):
               "align_layout": 11500, "range_text": 2000, "reason_code": 109, "short_calls": 40,
               "anti_history": 615, "two_groups": 13978, "segment_rules": 1061,
               "prefix_fill": 1500, "drop_blank": 5333, "ingest_report": 5, "targets": 3,
-              "table_catalog": 25, "render_ddl": 5, "seed_columns": 25,
               "partition_manifest": 150, "overwrite_full": 2006, "overwrite_partitions": 8171}
     for name, n in expect.items():
         assert QUERIES[name](spark, SF01).count() == n, name
