@@ -119,10 +119,10 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
     short = short.withColumn(reason, F.lit(REASON_REFUSE))
     refused = history_keys(history, key, reason, REASON_REFUSE, day, before=as_of,
                            since=shift_day(as_of, -refuse_days))
-    # Both refuse conditions are per key (>= 2 projects; not refused in the
-    # window), so the anti join goes first and shrinks what the two-group
-    # aggregate and its semi join have to read.
-    refuse = seen_in_two_groups(anti_history(short, refused, key), [key], project)
+    # Both refuse conditions are per key, so their order is free; the anti
+    # join goes last because placed first it is pushed into both inputs of
+    # the two-group rule and the refused-key set is built twice.
+    refuse = anti_history(seen_in_two_groups(short, [key], project), refused, key)
 
     def layout(df: DataFrame) -> DataFrame:
         return df.select(key, category, project, reason, F.col(day).alias("event_day"),
