@@ -126,12 +126,17 @@ def golden_record(df: DataFrame, key: str, columns, tier_col: str,
                   tier_rules: Mapping[int, str],
                   order: Sequence = ("update_day", "update_time"),
                   source_cols: Sequence[str] = ("source", "source_type"),
-                  single_pass: bool = True) -> DataFrame:
+                  single_pass: bool = True, flatten_provenance: bool = False) -> DataFrame:
     """Golden row per key from rows tagged with their tier.
 
     ``tier_rules`` maps tier number (higher wins) to ``any`` or ``latest``.
     ``order`` lists the recency columns, most significant first; put a
     unique tie-break last so the pick is deterministic.
+
+    Provenance follows the reference by default: the distinct *tier
+    strings* are joined, so a value seen in two tiers appears twice
+    ("a,b" and "a" give "a,a,b").  ``flatten_provenance=True`` lists each
+    value once instead (the sorted distinct values over all tiers).
     """
     pairs = _pairs(columns)
     if not pairs:
@@ -141,8 +146,15 @@ def golden_record(df: DataFrame, key: str, columns, tier_col: str,
             raise ValueError(f"tier {t}: rule must be 'any' or 'latest', got {r!r}")
     df = df.where(F.col(key).isNotNull() & F.col(tier_col).isin(list(tier_rules)))
     if not single_pass:
+        if flatten_provenance and source_cols:
+            base = _golden_record_tiered(df, key, pairs, tier_col, tier_rules, order, ())
+            return base.join(df.groupBy(key).agg(*[provenance(s).alias(s) for s in source_cols]), key)
         return _golden_record_tiered(df, key, pairs, tier_col, tier_rules, order, source_cols)
+    return _golden_single_pass(df, key, pairs, tier_col, tier_rules, order, source_cols,
+                               flatten_provenance)
+
 
+def _golden_single_pass(df, key, pairs, tier_col, tier_rules, order, source_cols, flat):
     tier = F.col(tier_col)
     latest_tiers = [t for t, r in tier_rules.items() if r == LATEST]
     is_latest = tier.isin(latest_tiers) if latest_tiers else F.lit(False)
@@ -154,11 +166,16 @@ def golden_record(df: DataFrame, key: str, columns, tier_col: str,
     needed = {src for src, _ in pairs} | set(source_cols) | {key, tier_col}
     df = df.select(*[F.col(c) for c in df.columns if c in needed], rec.alias("__rec"))
     aggs = [_pick(src, F.col("__rec")).alias(dst) for src, dst in pairs]
+    out = [F.col(key)] + [F.col(dst) for _, dst in pairs]
+    tiers = sorted(tier_rules)
+    if flat:
+        # flattened: the sorted distinct values over all tiers
+        aggs += [provenance(s).alias(s) for s in source_cols]
+        return df.groupBy(key).agg(*aggs).select(*out, *source_cols)
     # Provenance per tier (a set of plain strings per tier: cheaper to
     # buffer and shuffle than one set of (tier, value) structs), then the
     # set of tier strings (whole strings, sorted), as the tiered pipeline
     # produces it.
-    tiers = sorted(tier_rules)
     for s in source_cols:
         for t in tiers:
             aggs.append(F.array_join(F.array_sort(F.collect_set(F.when(tier == t, F.col(s)))), ",")
@@ -166,7 +183,6 @@ def golden_record(df: DataFrame, key: str, columns, tier_col: str,
     for t in tiers:
         aggs.append(F.max(F.when(tier == t, F.lit(True))).alias(f"__has_{t}"))
     g = df.groupBy(key).agg(*aggs)
-    out = [F.col(key)] + [F.col(dst) for _, dst in pairs]
     for s in source_cols:
         parts = F.array(*[F.when(F.col(f"__has_{t}"), F.col(f"__{s}_{t}")) for t in tiers])
         out.append(F.array_join(F.array_sort(F.array_distinct(

@@ -74,3 +74,16 @@ def test_empty_mapping_is_an_error(spark):
     import pytest
     with pytest.raises(ValueError):
         sv.golden_tier(_df(spark, EDGE), "k", [], sv.ANY)
+
+
+def test_flattened_provenance(spark):
+    rows = [("k", "v", "2024-01-01", "00_00_00", 1, 1, "a", "T"),
+            ("k", "v", "2024-01-01", "00_00_00", 2, 1, "b", "T"),
+            ("k", "v", "2024-01-02", "00_00_00", 3, 2, "a", "T")]
+    df = _df(spark, rows)
+    lit = sv.golden_record(df, "k", ["v"], "tier", RULES, ORDER).first()
+    assert lit.source == "a,a,b"               # tier strings "a,b" and "a", set-ed whole
+    for single in (True, False):
+        flat = sv.golden_record(df, "k", ["v"], "tier", RULES, ORDER, single_pass=single,
+                                flatten_provenance=True).first()
+        assert flat.source == "a,b" and flat.source_type == "T" and flat.v == "v"
