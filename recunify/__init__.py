@@ -12,8 +12,8 @@ from recunify.operators.suppression import (active_suppression, active_suppressi
                                             suppression_candidates)
 from recunify.operators.survivorship import (ANY, LATEST, PRIORITY, golden_record, golden_tier,
                                              merge_tiers, provenance)
-from recunify.plans.jobs import (archive_cold, daily_suppression_job, golden_job,
-                                 golden_table_job, outcome_feed, segment_job)
+from recunify.plans.jobs import (archive_cold, daily_suppression_job, daily_update_job, golden_job,
+                                 golden_table_job, outcome_feed, segment_job, segment_publish_job)
 from recunify.sinks.writers import (overwrite_full, overwrite_partitions, partition_manifest,
                                     stage)
 from recunify.sources.readers import align, history_keys, read_tiers, scan_prefix

@@ -117,3 +117,52 @@ def columns_from_metadata(column_map_df: DataFrame, limit: int = 10_000) -> dict
     if not rows:
         raise ValueError("no mapped columns for this table")
     return {r.buiscolname: r.dswhcolname for r in rows}
+
+
+def daily_update_job(spark, as_of: str, outcomes: DataFrame, calls: DataFrame,
+                     hot_feeds: Mapping[str, DataFrame], cold_feeds: Sequence[dict],
+                     paths: Mapping[str, str], key: str = "mobile",
+                     order: Sequence[str] = ("import_date_day", "import_date_time"),
+                     day_col: str = "import_date_day", hot_days: int = 60,
+                     feed_titles: Sequence[str] = (), feed_codes: Mapping[str, str] | None = None,
+                     feed_layout: Sequence[str] = (), warehouse_layout: Sequence[str] = (),
+                     hot_files: int | None = 10) -> DataFrame:
+    """3.2 end to end for day ``as_of``; returns the ingest reports.
+
+    * outcome feed of the day -> partition overwrite of ``paths["updated"]``;
+    * new suppression rows -> ``paths["filter"]`` (idempotent, see
+      ``daily_suppression_job``);
+    * each hot feed (name -> rows): latest row per (source_type, key) in the
+      last ``hot_days`` days -> full overwrite of ``paths[name]``, then its
+      ingest report for the day;
+    * cold rows of ``cold_feeds`` -> partition overwrite of
+      ``paths["warehouse"]`` (by source_type, update_day, update_time).
+    """
+    from recunify.operators.report import ingest_report
+    from recunify.sinks.writers import overwrite_full, overwrite_partitions
+    if feed_titles:
+        feed = outcome_feed(outcomes, as_of, as_of, feed_titles, feed_codes or {}, feed_layout)
+        overwrite_partitions(feed, paths["updated"], ["source_type", "update_day", "update_time"])
+    daily_suppression_job(spark, outcomes, calls, paths["filter"], as_of)
+    reports = []
+    for name, rows in hot_feeds.items():
+        latest = dedup.latest_dedup(rows, ["source_type", key], order, day_col=day_col,
+                                    as_of=as_of, days=hot_days)
+        overwrite_full(latest, paths[name], files=hot_files)
+        written = spark.read.parquet(paths[name])
+        reports.append(ingest_report(written, as_of, key=key, day_col=day_col)
+                       .withColumn("table", F.lit(name)))
+    if cold_feeds:
+        cold = archive_cold(cold_feeds, warehouse_layout, as_of, hot_days, day_col)
+        overwrite_partitions(cold, paths["warehouse"], ["source_type", "update_day", "update_time"])
+    return union_all(reports) if reports else None
+
+
+def segment_publish_job(golden: DataFrame, rules: DataFrame, target_categories: DataFrame,
+                        filter_table: DataFrame, closed: DataFrame, dim: DataFrame,
+                        dim_key_expr, as_of: str, root: str,
+                        files_per_target: int | None = 20) -> None:
+    """3.3 end to end: every target's rows, written as one folder per target."""
+    segments.write_segments(
+        segment_job(golden, rules, target_categories, filter_table, closed, dim, dim_key_expr, as_of),
+        root, files_per_target=files_per_target)

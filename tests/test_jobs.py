@@ -34,3 +34,37 @@ def test_golden_table_job_round_trip(spark):
     back = spark.read.parquet(path)
     want = QUERIES["golden_record"](spark, SF001)
     assert back.exceptAll(want).count() == 0 and want.exceptAll(back).count() == 0
+
+
+def test_daily_update_job_end_to_end(spark):
+    from recunify.plans.queries import FEED_LAYOUT, WAREHOUSE_LAYOUT
+    c = si.contacts(spark, SF001)
+    hot_feed = c.select(F.col("contact_id").alias("mobile"), "source_type", "attr_a",
+                        F.col("update_day").alias("import_date_day"),
+                        F.col("update_time").alias("import_date_time"), "event_id")
+    cold_feed = {"df": hot_feed.withColumn("source", F.lit("feed")),
+                 "renames": {"update_day": "import_date_day", "update_time": "import_date_time"}}
+    paths = {n: scratch_path(spark, n) for n in ("updated", "filter", "behavior", "warehouse")}
+    reports = jobs.daily_update_job(
+        spark, "2024-01-31", si.outcomes(spark, SF001), si.calls(spark, SF001),
+        {"behavior": hot_feed}, [cold_feed], paths,
+        order=("import_date_day", "import_date_time", "event_id"), hot_days=14,
+        feed_titles=["1-URGENT", "2-HIGH"], feed_codes=si.REASON_BY_TITLE,
+        feed_layout=FEED_LAYOUT, warehouse_layout=WAREHOUSE_LAYOUT)
+    hot = spark.read.parquet(paths["behavior"])
+    assert hot.count() == hot.select("source_type", "mobile").distinct().count() > 0
+    assert reports.count() == 0          # no rows dated 2024-01-31 in the feed
+    wh = spark.read.parquet(paths["warehouse"])
+    assert wh.count() == c.where(F.col("update_day") < "2024-01-17").count()
+
+
+def test_segment_publish_job_writes_each_target(spark):
+    root = scratch_path(spark, "seg_pub")
+    jobs.segment_publish_job(si.golden_parts(spark, SF001), si.segment_rules(spark),
+                             si.target_categories(spark), si.outcomes(spark, SF001),
+                             si.closed_deals(spark, SF001), si.nation_prefix_dimension(spark, SF001),
+                             F.substring(F.col("mobile").cast("string"), 1, 2), "2001-08-01", root,
+                             files_per_target=2)
+    back = spark.read.parquet(root)
+    want = QUERIES["publish_segments"](spark, SF001)
+    assert back.count() == want.count() > 0
