@@ -86,7 +86,8 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
                            project: str = "project", reason: str = "source",
                            day: str = "update_day", duration: str = "duration_time",
                            outcome_days: int = 60, call_days: int = 14,
-                           refuse_days: int = 90, max_seconds: int = 5) -> DataFrame:
+                           refuse_days: int = 90, max_seconds: int = 5,
+                           call_key_length: int | None = None) -> DataFrame:
     """New suppression rows for day ``as_of``.
 
     * child / success: outcomes of the last ``outcome_days`` days with that
@@ -95,7 +96,8 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
       (category, key);
     * refuse: calls of the last ``call_days`` days lasting <= ``max_seconds``
       from keys called by >= 2 projects, minus keys refused in the last
-      ``refuse_days`` days.
+      ``refuse_days`` days.  ``call_key_length`` keeps only calls whose key
+      text has that length (11 for mobile numbers in the original feed).
 
     Output layout: key, category, project, reason, event_day, update_day
     (= ``as_of``: the partition the rows are written to).
@@ -116,6 +118,8 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
 
     short = calls.where(F.col(day).between(shift_day(as_of, -call_days), as_of)
                         & (int_or_null(duration) <= max_seconds))
+    if call_key_length is not None:
+        short = short.where(F.length(F.col(key).cast("string")) == call_key_length)
     short = short.withColumn(reason, F.lit(REASON_REFUSE))
     refused = history_keys(history, key, reason, REASON_REFUSE, day, before=as_of,
                            since=shift_day(as_of, -refuse_days))

@@ -71,3 +71,24 @@ def test_active_suppression_precedence(spark):
     assert got == ["a", "ch", "r", "s_new"]
     allc = {(r.mobile, r.category) for r in sp.active_suppression(t, closed, "2001-08-01").collect()}
     assert ("ch", "P") in allc and ("ch_other", "Q") in allc and ("a", None) in allc
+
+
+def test_candidates_refuse_branch_fixture(spark):
+    out_schema = "mobile string, category string, project string, source string, update_day string"
+    empty_outcomes = spark.createDataFrame([], out_schema)
+    history = spark.createDataFrame([("13900000003", "c", "p", sp.REASON_REFUSE, "2024-03-01")], out_schema)
+    calls = spark.createDataFrame([
+        ("13900000001", "c", "p1", "3", "2024-04-25"),
+        ("13900000001", "c", "p2", "4", "2024-04-26"),    # two projects, short: kept
+        ("13900000002", "c", "p1", "3", "2024-04-25"),
+        ("13900000002", "c", "p1", "9", "2024-04-26"),    # second call too long: one project only
+        ("13900000003", "c", "p1", "1", "2024-04-25"),
+        ("13900000003", "c", "p2", "1", "2024-04-26"),    # refused 2024-03-01 (< 90 days): dropped
+        ("1390000004", "c", "p1", "1", "2024-04-25"),
+        ("1390000004", "c", "p2", "1", "2024-04-26"),     # 10 digits: dropped by the length rule
+        ("13900000005", "c", "p1", "", "2024-04-25"),
+        ("13900000005", "c", "p2", "2", "2024-04-26"),    # '' duration is not a number: one project
+    ], "mobile string, category string, project string, duration_time string, update_day string")
+    got = sp.suppression_candidates(empty_outcomes, history, calls, "2024-04-30", call_key_length=11)
+    assert sorted((r.mobile, r.project) for r in got.collect()) == [("13900000001", "p1"), ("13900000001", "p2")]
+    assert {r.update_day for r in got.collect()} == {"2024-04-30"}
