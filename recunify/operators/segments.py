@@ -110,7 +110,8 @@ def rule_sql(rule: dict, source_type: str = "source_type", precomputed: bool = T
     b = {}
     for f in ("minage", "maxage", "minparentage", "maxparentage"):
         v = rule.get(f)
-        b[f] = str(int(v)) if _int_text(v) else "CAST(NULL AS INT)"
+        # a set bound that overflows INT casts to NULL, like try_cast does
+        b[f] = str(int(v)) if _int_text(v) and int(v) <= 2**31 - 1 else "CAST(NULL AS INT)"
     kids = _int_text(rule.get("minage")) or _int_text(rule.get("maxage"))
     parents = _int_text(rule.get("minparentage")) or _int_text(rule.get("maxparentage"))
     if precomputed:

@@ -83,3 +83,12 @@ def test_missing_category_is_a_clear_error(spark):
     with pytest.raises(ValueError, match="t2"):
         sg.publish_segments(g, rules, cats, supp, si.nation_prefix_dimension(spark, SF01),
                             F.substring(F.col("mobile").cast("string"), 1, 2))
+
+
+def test_overflowing_bound_is_null_in_both_forms(spark):
+    g = _golden(spark, [("a", "S1", "40", "", "", "", "", "c"), ("b", "S1", "", "", "", "1", "5", "c")])
+    rules = _rules(spark, [("S%", "2", "99999999999", "", "", "t")])
+    # kids rule: max bound overflows -> NULL, so only 'min inside [age_start, age_end]' can match
+    got = _targets(sg.segment_rows(g, rules))
+    assert got == [("t", "b")]
+    assert _targets(sg.segment_rows(g, rules, how="join")) == got
