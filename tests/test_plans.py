@@ -46,3 +46,22 @@ def test_filters_reach_the_scan(spark):
 def test_no_python_udfs(spark, name):
     p = _plan(QUERIES[name](spark, SF001), "simple")
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_filters_prune_partitions_on_a_partitioned_warehouse(spark):
+    """On the real layout (source_type / update_day partitions, as K2 writes
+    it) the prefix scan and the hot-window filter prune directories."""
+    from recunify.operators import dedup
+    from recunify.session import scratch_path
+    from recunify.sinks.writers import overwrite_partitions
+    from recunify.sources import standins as si
+    from recunify.sources.readers import scan_prefix
+    path = scratch_path(spark, "partitioned_wh")
+    overwrite_partitions(si.contacts(spark, SF001), path, ["source_type", "update_day"])
+    wh = spark.read.parquet(path)
+    q = dedup.hot(scan_prefix(wh, "source_type", "pu"), "update_day", "2024-01-17")
+    p = _plan(q, "formatted")
+    part = [ln for ln in p.splitlines() if ln.startswith("PartitionFilters")][0]
+    assert "StartsWith(source_type" in part and "update_day" in part and ">= 2024-01-17" in part, p
+    assert q.count() == si.contacts(spark, SF001).where(
+        "source_type LIKE 'pu%' AND update_day >= '2024-01-17'").count()
