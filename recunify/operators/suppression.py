@@ -37,27 +37,69 @@ def anti_history(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     return df.join(keys, on=on, how="left_anti")
 
 
-def two_group_keys(df: DataFrame, group: Sequence[str], project: str) -> DataFrame:
-    """Group keys whose rows hold at least two distinct projects.
+HOT_ROWS = 5_000_000   # a group with more rows than this is spread over SALTS join keys
+SALTS = 64
 
-    Equivalent to "some row has dense_rank() = 2 over (partition by group
-    order by project)", where NULL sorts first and is a project of its own.
-    """
+
+def _group_stats(df: DataFrame, group: Sequence[str], project: str) -> DataFrame:
     p = F.col(project)
-    agg = df.groupBy(*group).agg(
+    return df.groupBy(*group).agg(
         F.min(p).alias("__lo"), F.max(p).alias("__hi"),
         F.count(F.lit(1)).alias("__n"), F.count(p).alias("__nn"))
+
+
+def _two(stats: DataFrame) -> DataFrame:
     two = (F.col("__lo") < F.col("__hi")) | ((F.col("__nn") > 0) & (F.col("__nn") < F.col("__n")))
-    return agg.where(two).select(*group)
+    return stats.where(two)
 
 
-def seen_in_two_groups(df: DataFrame, group: Sequence[str], project: str) -> DataFrame:
+def two_group_keys(df: DataFrame, group: Sequence[str], project: str) -> DataFrame:
+    """Group keys whose rows hold at least two distinct projects.
+
+    Equivalent to "some row has dense_rank() = 2 over (partition by group
+    order by project)", where NULL sorts first and is a project of its own.
+    """
+    return _two(_group_stats(df, group, project)).select(*group)
+
+
+def group_join(df: DataFrame, keys: DataFrame, group: Sequence[str], how: str,
+               hot_rows: int | None = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+    """Join rows back to one-row-per-group ``keys`` (which carry the group
+    size ``__n``) without letting a hot group land in one task.
+
+    Groups with more than ``hot_rows`` rows are *hot*.  Their rows get a
+    deterministic salt (row hash modulo ``salts``) and their key row is
+    replicated once per salt, so the join on (group, salt) spreads them over
+    ``salts`` partitions; other groups use salt 0 and are not replicated.
+    The hot-group list is broadcast: it has at most rows / ``hot_rows``
+    entries.  (AQE's own skew split does not apply here, because the key side
+    arrives already partitioned by the aggregate, with no shuffle stage of
+    its own.)  ``how`` is ``left_semi``, ``left_anti`` or ``inner``.
+    """
+    group = list(group)
+    payload = [c for c in keys.columns if c not in group and c != "__n"]
+    if hot_rows is None:
+        return df.join(keys.select(*group, *payload), group, how)
+    hot = keys.where(F.col("__n") > hot_rows).select(*group, F.lit(True).alias("__hot"))
+    salted = df.join(F.broadcast(hot), group, "left").withColumn(
+        "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
+                                                F.lit(salts)).cast("int")).otherwise(F.lit(0)))
+    copies = F.when(F.col("__n") > hot_rows, F.sequence(F.lit(0), F.lit(salts - 1))) \
+        .otherwise(F.array(F.lit(0)))
+    right = keys.select(*group, *payload, F.explode(copies).alias("__salt"))
+    return salted.join(right, group + ["__salt"], how).drop("__hot", "__salt")
+
+
+def seen_in_two_groups(df: DataFrame, group: Sequence[str], project: str,
+                       hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Rows of ``df`` whose group holds >= 2 distinct projects (one copy each)."""
-    return df.join(two_group_keys(df, group, project), on=list(group), how="left_semi")
+    keys = _two(_group_stats(df, group, project)).select(*group, "__n")
+    return group_join(df, keys, group, "left_semi", hot_rows)
 
 
 def seen_in_two_groups_copies(df: DataFrame, group: Sequence[str], project: str,
-                              copies_col: str = "copies") -> DataFrame:
+                              copies_col: str = "copies",
+                              hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """The reference's literal form joins each row to every rank-2 row of its
     group (left join + IS NOT NULL = inner), repeating it once per rank-2 row.
 
@@ -67,18 +109,19 @@ def seen_in_two_groups_copies(df: DataFrame, group: Sequence[str], project: str,
     otherwise the second-smallest distinct project.
     """
     p = F.col(project)
-    per_value = df.groupBy(*group, project).agg(F.count(F.lit(1)).alias("__n"))
+    per_value = df.groupBy(*group, project).agg(F.count(F.lit(1)).alias("__k"))
     first = per_value.groupBy(*group).agg(
-        F.min(p).alias("__m1"), F.max(p.isNull()).alias("__has_null"))
-    second = (per_value.join(first, on=list(group)).where(p > F.col("__m1"))
+        F.min(p).alias("__m1"), F.max(p.isNull()).alias("__has_null"),
+        F.sum("__k").alias("__n"))
+    second = (per_value.join(first.select(*group, "__m1"), on=list(group)).where(p > F.col("__m1"))
               .groupBy(*group).agg(F.min(p).alias("__m2")))
     rank2 = (first.join(second, on=list(group), how="left")
-             .select(*group, F.when(F.col("__has_null"), F.col("__m1"))
+             .select(*group, "__n", F.when(F.col("__has_null"), F.col("__m1"))
                      .otherwise(F.col("__m2")).alias(project))
              .where(p.isNotNull()))
     counts = rank2.join(per_value, on=list(group) + [project]).select(
-        *group, F.col("__n").alias(copies_col))
-    return df.join(counts, on=list(group), how="inner")
+        *group, "__n", F.col("__k").alias(copies_col))
+    return group_join(df, counts, group, "inner", hot_rows)
 
 
 def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataFrame,

@@ -72,3 +72,30 @@ def test_hot_key_third_of_rows(spark):
         one.explain()
     plan = buf.getvalue()
     assert "partial_max(" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_hot_group_is_salted_in_the_join_back(spark):
+    """A group holding a third of the rows is spread over SALTS join keys in
+    the join back to its group key, with the same result as the plain join."""
+    n = 60000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("g"),
+        (F.col("id") % 7).cast("string").alias("p"), F.col("id"))
+    salted = sp.seen_in_two_groups(df, ["g"], "p", hot_rows=1000)
+    plain = sp.seen_in_two_groups(df, ["g"], "p", hot_rows=None)
+    assert sorted(r.id for r in salted.collect()) == sorted(r.id for r in plain.collect())
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        salted.explain()
+    assert "__salt" in buf.getvalue()
+    # the hot group's rows carry many distinct salts -> many join partitions
+    keys = sp._two(sp._group_stats(df, ["g"], "p")).select("g", "__n")
+    hot = keys.where("__n > 1000").select("g", F.lit(True).alias("__hot"))
+    salts = (df.join(F.broadcast(hot), "g", "left").where("__hot")
+               .select(F.pmod(F.xxhash64("g", "p", "id"), F.lit(sp.SALTS)).alias("s")).distinct().count())
+    assert salts == sp.SALTS
+    copies = sp.seen_in_two_groups_copies(df, ["g"], "p", hot_rows=1000)
+    copies_plain = sp.seen_in_two_groups_copies(df, ["g"], "p", hot_rows=None)
+    assert sorted(map(tuple, copies.collect())) == sorted(map(tuple, copies_plain.collect()))
