@@ -7,7 +7,7 @@ from recunify.operators.report import ingest_report
 from recunify.operators.segments import (drop_blank, lookup_fill, publish_segments, segment_rows,
                                          write_segments)
 from recunify.operators.suppression import (active_suppression, active_suppression_parts,
-                                            anti_history, seen_in_two_groups,
+                                            anti_history, group_join, key_join, seen_in_two_groups,
                                             seen_in_two_groups_copies, suppress,
                                             suppression_candidates)
 from recunify.operators.survivorship import (ANY, LATEST, PRIORITY, golden_record, golden_tier,

@@ -32,9 +32,36 @@ REASON_REFUSE = "customer_filter_refuse"
 # ------------------------------------------------------------------------
 
 
-def anti_history(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    """Rows of ``df`` whose key(s) do not appear in ``keys`` (NULL keys stay)."""
-    return df.join(keys, on=on, how="left_anti")
+def key_join(left: DataFrame, keys: DataFrame, on, how: str,
+             hot_rows: int | None = None, salts: int = 64) -> DataFrame:
+    """``left.join(keys, on, how)`` that can salt hot keys of ``left``.
+
+    With ``hot_rows`` set, keys holding more than ``hot_rows`` rows of
+    ``left`` are found with one extra aggregation (their list is broadcast:
+    at most rows / ``hot_rows`` entries); their rows get a deterministic
+    salt (row hash modulo ``salts``) and their rows in ``keys`` are
+    replicated once per salt, so a key holding a third of ``left`` is
+    joined by ``salts`` tasks.  Same result as the plain join for
+    ``left_semi``, ``left_anti``, ``inner`` and ``left`` joins.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    if hot_rows is None:
+        return left.join(keys, on=on, how=how)
+    hot = (left.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+           .where(F.col("__n") > hot_rows).select(*on, F.lit(True).alias("__hot")))
+    salted = left.join(F.broadcast(hot), on, "left").withColumn(
+        "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]),
+                                                F.lit(salts)).cast("int")).otherwise(F.lit(0)))
+    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = keys.join(F.broadcast(hot), on, "left").select(
+        *[F.col(c) for c in keys.columns], F.explode(copies).alias("__salt"))
+    return salted.join(right, on + ["__salt"], how).drop("__hot", "__salt")
+
+
+def anti_history(df: DataFrame, keys: DataFrame, on, hot_rows: int | None = None) -> DataFrame:
+    """Rows of ``df`` whose key(s) do not appear in ``keys`` (NULL keys stay).
+    ``hot_rows`` salts keys holding more rows than that (see ``key_join``)."""
+    return key_join(df, keys, on, "left_anti", hot_rows)
 
 
 HOT_ROWS = 5_000_000   # a group with more rows than this is spread over SALTS join keys
@@ -231,7 +258,7 @@ def active_suppression(filter_table: DataFrame, closed: DataFrame, as_of: str,
 
 
 def suppress(rows: DataFrame, suppression, key: str = "mobile",
-             category: str = "category") -> DataFrame:
+             category: str = "category", hot_rows: int | None = None) -> DataFrame:
     """Drop rows whose key is suppressed for every category, or for the
     row's own category.  ``suppression`` is the pair from
     ``active_suppression_parts`` (or the single table from
@@ -241,4 +268,4 @@ def suppress(rows: DataFrame, suppression, key: str = "mobile",
         per_cat = suppression.where(F.col(category).isNotNull()).select(key, category)
     else:
         common, per_cat = suppression
-    return anti_history(anti_history(rows, common, key), per_cat, [key, category])
+    return anti_history(anti_history(rows, common, key, hot_rows), per_cat, [key, category], hot_rows)

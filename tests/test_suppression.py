@@ -92,3 +92,17 @@ def test_candidates_refuse_branch_fixture(spark):
     got = sp.suppression_candidates(empty_outcomes, history, calls, "2024-04-30", call_key_length=11)
     assert sorted((r.mobile, r.project) for r in got.collect()) == [("13900000001", "p1"), ("13900000001", "p2")]
     assert {r.update_day for r in got.collect()} == {"2024-04-30"}
+
+
+def test_salted_key_join_equals_plain_join(spark):
+    rows = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 11 == 0, F.lit(None))
+        .otherwise((F.col("id") % 400).cast("string")).alias("k"), F.col("id"))
+    keys = spark.createDataFrame([("hot",), ("hot",), ("7",), ("8",), (None,)], "k string")
+    for how in ("left_anti", "left_semi"):
+        plain = sorted(r.id for r in sp.key_join(rows, keys, "k", how).collect())
+        salted = sp.key_join(rows, keys, "k", how, hot_rows=1000)
+        assert sorted(r.id for r in salted.collect()) == plain
+    payload = spark.createDataFrame([("hot", 1), ("hot", 2), ("7", 3)], "k string, v int")
+    plain = sorted(map(tuple, sp.key_join(rows, payload, "k", "inner").collect()))
+    assert sorted(map(tuple, sp.key_join(rows, payload, "k", "inner", hot_rows=1000).collect())) == plain
