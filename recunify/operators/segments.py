@@ -197,7 +197,8 @@ def segment_rows(golden: DataFrame, rules: DataFrame, target_col: str = "targett
 
 
 def lookup_fill(df: DataFrame, dim: DataFrame, key_expr: Column, dim_key: str,
-                value_col: str, dim_value: str | None = None) -> DataFrame:
+                value_col: str, dim_value: str | None = None,
+                hot_rows: int | None = None) -> DataFrame:
     """Fill ``value_col`` from a dimension when it is blank (after trim).
 
     The dimension is de-duplicated per key first (max value) so the left
@@ -207,7 +208,15 @@ def lookup_fill(df: DataFrame, dim: DataFrame, key_expr: Column, dim_key: str,
     """
     dim_value = dim_value or value_col
     d = dim.groupBy(dim_key).agg(F.max(dim_value).alias("__dim_value"))
-    j = df.join(d, key_expr == F.col(dim_key), "left")
+    if hot_rows is not None:
+        # salt a hot prefix (see suppression.key_join) when the dimension is
+        # too large to broadcast
+        from recunify.operators.suppression import key_join
+        keyed = df.withColumn("__lookup_key", key_expr)
+        j = key_join(keyed, d.withColumnRenamed(dim_key, "__lookup_key"), "__lookup_key", "left",
+                     hot_rows)
+    else:
+        j = df.join(d, key_expr == F.col(dim_key), "left")
     filled = F.when(is_blank_trim(value_col), F.col("__dim_value")).otherwise(F.col(value_col))
     return j.select(*[filled.alias(c) if c == value_col else F.col(c) for c in df.columns])
 

@@ -92,3 +92,14 @@ def test_overflowing_bound_is_null_in_both_forms(spark):
     got = _targets(sg.segment_rows(g, rules))
     assert got == [("t", "b")]
     assert _targets(sg.segment_rows(g, rules, how="join")) == got
+
+
+def test_lookup_fill_salted_equals_plain(spark):
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("1390000")).otherwise(F.col("id").cast("string")).alias("mobile"),
+        F.when(F.col("id") % 3 == 0, F.lit(" ")).otherwise(F.lit("kept")).alias("city_short"))
+    dim = spark.createDataFrame([("1390000", "X"), ("1", "Y")], "tel string, city_short string")
+    key = F.substring("mobile", 1, 7)
+    plain = sorted(map(tuple, sg.lookup_fill(df, dim, key, "tel", "city_short").collect()))
+    salted = sorted(map(tuple, sg.lookup_fill(df, dim, key, "tel", "city_short", hot_rows=100).collect()))
+    assert salted == plain and len(plain) == 20000
