@@ -157,7 +157,8 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
                            day: str = "update_day", duration: str = "duration_time",
                            outcome_days: int = 60, call_days: int = 14,
                            refuse_days: int = 90, max_seconds: int = 5,
-                           call_key_length: int | None = None) -> DataFrame:
+                           call_key_length: int | None = None,
+                           hot_rows: int | None = None) -> DataFrame:
     """New suppression rows for day ``as_of``.
 
     * child / success: outcomes of the last ``outcome_days`` days with that
@@ -168,6 +169,7 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
       from keys called by >= 2 projects, minus keys refused in the last
       ``refuse_days`` days.  ``call_key_length`` keeps only calls whose key
       text has that length (11 for mobile numbers in the original feed).
+    ``hot_rows`` salts hot keys in the history anti joins (see ``key_join``).
 
     Output layout: key, category, project, reason, event_day, update_day
     (= ``as_of``: the partition the rows are written to).
@@ -179,7 +181,7 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
     # seen before today, removed with a single anti join on both columns.
     seen = (history.where((F.col(day) < as_of) & F.col(reason).isin(codes))
             .select(key, reason).distinct())
-    fresh = anti_history(win, seen, [key, reason])
+    fresh = anti_history(win, seen, [key, reason], hot_rows)
     is_age = F.col(reason) == REASON_AGE
     two = two_group_keys(fresh.where(is_age), [category, key], project).withColumn("__two", F.lit(True))
     # age rows must be seen in >= 2 projects; other reasons pass unchanged
@@ -196,7 +198,7 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
     # Both refuse conditions are per key, so their order is free; the anti
     # join goes last because placed first it is pushed into both inputs of
     # the two-group rule and the refused-key set is built twice.
-    refuse = anti_history(seen_in_two_groups(short, [key], project), refused, key)
+    refuse = anti_history(seen_in_two_groups(short, [key], project), refused, key, hot_rows)
 
     def layout(df: DataFrame) -> DataFrame:
         return df.select(key, category, project, reason, F.col(day).alias("event_day"),
@@ -208,8 +210,8 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
 def active_suppression_parts(filter_table: DataFrame, closed: DataFrame, as_of: str,
                              key: str = "mobile", category: str = "category",
                              reason: str = "source", day: str = "update_day",
-                             success_days: int = 180, refuse_days: int = 90
-                             ) -> tuple[DataFrame, DataFrame]:
+                             success_days: int = 180, refuse_days: int = 90,
+                             hot_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """C7 for every category at once, as two key sets:
 
     * ``common`` (key): suppressed for every category -- age rows (any day),
@@ -225,9 +227,9 @@ def active_suppression_parts(filter_table: DataFrame, closed: DataFrame, as_of:
         (r == REASON_AGE) | ((r == REASON_SUCCESS) & (d >= shift_day(as_of, -success_days))))
     refuse = anti_history(
         filter_table.where((r == REASON_REFUSE) & (d >= shift_day(as_of, -refuse_days))),
-        closed.select(key).distinct(), key)
+        closed.select(key).distinct(), key, hot_rows)
     child = anti_history(filter_table.where(r == REASON_CHILD), closed.select(key, category),
-                         [key, category])
+                         [key, category], hot_rows)
     return (union_all([common.select(key), refuse.select(key)]), child.select(key, category))
 
 

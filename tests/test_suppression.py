@@ -106,3 +106,17 @@ def test_salted_key_join_equals_plain_join(spark):
     payload = spark.createDataFrame([("hot", 1), ("hot", 2), ("7", 3)], "k string, v int")
     plain = sorted(map(tuple, sp.key_join(rows, payload, "k", "inner").collect()))
     assert sorted(map(tuple, sp.key_join(rows, payload, "k", "inner", hot_rows=1000).collect())) == plain
+
+
+def test_composites_with_salting_match(spark):
+    from recunify.sources import standins as si
+    from conftest import SF01
+    o, c, cl = si.outcomes(spark, SF01), si.calls(spark, SF01), si.closed_deals(spark, SF01)
+    hist = o.where(F.col("update_day") < "2000-05-01")
+    a = sp.suppression_candidates(o, hist, c, "2000-06-30")
+    b = sp.suppression_candidates(o, hist, c, "2000-06-30", hot_rows=5)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    p1 = sp.active_suppression_parts(o, cl, "2001-08-01")
+    p2 = sp.active_suppression_parts(o, cl, "2001-08-01", hot_rows=5)
+    for x, y in zip(p1, p2):
+        assert sorted(map(tuple, x.collect()), key=str) == sorted(map(tuple, y.collect()), key=str)
