@@ -3,9 +3,11 @@
 The reference runs its daily jobs as batches over "the files of day D".
 The same work as a file stream with ``trigger(availableNow=True)``: each
 run picks up only files not yet processed (tracked in the checkpoint, on
-the shared filesystem), applies the batch transformation and writes each
-micro-batch with a dynamic partition overwrite, so a replayed batch after
-a failure rewrites the same partitions instead of appending duplicates.
+the shared filesystem) and applies the batch transformation.  Each
+micro-batch is written under its own ``ingest_batch=<id>`` partition (below
+the data's partition columns) with a dynamic partition overwrite: a batch
+replayed after a failure rewrites exactly its own files, and two batches
+carrying rows of the same day never replace each other's rows.
 """
 
 from __future__ import annotations
@@ -13,11 +15,14 @@ from __future__ import annotations
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from recunify.sinks.writers import overwrite_partitions
 
+BATCH_COL = "ingest_batch"
+
 
 def ingest_files(spark: SparkSession, source_path: str, schema: StructType, sink_path: str,
                  partition_cols: Sequence[str], checkpoint: str,
@@ -32,7 +37,8 @@ def ingest_files(spark: SparkSession, source_path: str, schema: StructType, sink
     stream = reader.load(source_path)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        overwrite_partitions(transform(batch), sink_path, partition_cols)
+        out = transform(batch).withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+        overwrite_partitions(out, sink_path, list(partition_cols) + [BATCH_COL])
 
     return (stream.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)
