@@ -13,7 +13,7 @@ confirms.  Words are lower-cased (A-Z) maximal runs of
 Patterns come to the driver in blocks of ``BLOCK_BYTES`` of benchmark text;
 each block is broadcast (so a broadcast has a fixed bound) and searched in
 its own pass over the documents; one block needs no shuffle, several are
-merged by document row.
+merged by document.
 
 Odd input: a null or empty text has no words and is not contaminated; an
 item that is null or has no words never occurs; items that share a window
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recunify.llm.text import map_slices, pick, texts_of
+from recunify.llm.text import map_slices, pick, ship_package, texts_of
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
@@ -153,23 +153,53 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", t
     first, second = next(blocks), next(blocks, None)
     if second is None:
         return _pass(slim, first, kind)
-    # rows are told apart by id and text, as ids may repeat; equal rows have equal results
-    slim = slim.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    parts = [_pass(slim, first, kind), _pass(slim, second, kind), *[_pass(slim, b, kind) for b in blocks]]
-    union = parts[0].withColumn("part", F.lit(0))
-    for k, p in enumerate(parts[1:], 1):
-        union = union.unionByName(p.withColumn("part", F.lit(k)))
-    merged = (union.groupBy("doc_id", "row_key", "n_words")
-              .agg(F.count(F.when(F.col("part") == 0, 1)).alias("copies"),
-                   F.collect_set("spans").alias("spans"),
-                   F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
+    return (_merged(slim, [first, second, *blocks], kind)
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+            .select("doc_id", "n_words", "spans", "items"))
+
+
+def _merged(slim: DataFrame, blocks, kind: str) -> DataFrame:
+    """One row for the equal rows of ``slim`` (doc_id, row_key, copies), with what all blocks found.
+    Rows are told apart by id and a hash of the text, as ids may repeat."""
+    slim = slim.withColumn("row_key", F.xxhash64("text"))
+    union = None
+    for k, sets in enumerate(blocks):
+        one = _pass(slim, sets, kind).withColumn("part", F.lit(k))
+        union = one if union is None else union.unionByName(one)
+    ship_package(slim.sparkSession)
 
     @F.udf("array<bigint>")
     def joined(lists):
         return [x for pair in merge_spans((s[i], s[i + 1]) for s in lists for i in range(0, len(s), 2)) for x in pair]
-    return (merged.withColumn("spans", joined("spans"))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-            .select("doc_id", "n_words", "spans", "items"))
+    return (union.groupBy("doc_id", "row_key", "n_words")
+            .agg(F.count(F.when(F.col("part") == 0, 1)).alias("copies"),
+                 joined(F.collect_set("spans")).alias("spans"),
+                 F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")))
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
+               item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows, with all their columns, that are not contaminated."""
+    kind = benchmark.schema[item_id].dataType.simpleString()
+    blocks = _blocks(benchmark, item_id, item_text)
+    first, second = next(blocks), next(blocks, None)
+    if second is not None:
+        found = _merged(pick(docs, doc_id=doc_id, text=text), [first, second, *blocks], kind)
+        bad = verdicts(found, "row_key").filter("contaminated").select(F.col("doc_id").alias("_bad"), "row_key")
+        return docs.join(bad, F.col(f"`{doc_id}`").eqNullSafe(F.col("_bad"))
+                         & (F.xxhash64(F.col(f"`{text}`")) == F.col("row_key")), "left_anti")
+    shared = docs.sparkSession.sparkContext.broadcast(first)  # at most BLOCK_BYTES of benchmark text
+    at = docs.columns.index(text)
+    ship_package(docs.sparkSession)
+
+    def run(b: pa.RecordBatch):
+        clean = []
+        for t in b.column(at).to_pylist():
+            w = fold_words(t or "")
+            hit = sum(z - a for a, z in scan(w, shared.value)[0])
+            clean.append(not (hit > 0 and 20 * hit >= len(w)))
+        return b.filter(pa.array(clean, pa.bool_()))
+    return map_slices(docs, docs.schema, run, text=text)
 
 
 def hit_words(spans):
@@ -178,10 +208,10 @@ def hit_words(spans):
                        F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
-def verdicts(found: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated from ``occurrences``."""
+def verdicts(found: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated from ``occurrences``; and columns named in ``more``."""
     ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
     return (found.withColumn("n_hit", hit_words(F.col("spans")))
             .select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
                     F.sha2(ids.cast("binary"), 256).alias("items_sha256"),
-                    ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated")))
+                    ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), *more))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recunify.llm.text import map_slices, pick, slices, texts_of
+from recunify.llm.text import map_slices, pick, ship_package, slices, texts_of
 
 DIM = 512
 #: Labelled documents to learn from, about; enough for prototypes of many languages.
@@ -164,3 +164,15 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: tuple[st
     return map_slices(pick(docs, doc_id=doc_id, text=text, **{k: k for k in keep}),
                       f"doc_id {kind}, " + "".join(f"{k} boolean, " for k in keep)
                       + "lang_pred string, score double, cosine double", run, step=STEP)
+
+
+def keep_known(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text has a recognised language."""
+    names, _ = model
+    at = docs.columns.index(text)
+    ship_package(docs.sparkSession)
+
+    def run(b: pa.RecordBatch):
+        known = text_vectors([t or "" for t in b.column(at).to_pylist()]).any(axis=1) & bool(names)
+        return b.filter(pa.array(known))
+    return map_slices(docs, docs.schema, run, text=text, step=STEP)

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy step looks at; long documents take more steps.
 STEP_BYTES = 1 << 21
+#: Rows of one step at most.
+SLICE_ROWS = 1 << 15
 
 _SPACE = np.ones(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = False
@@ -148,7 +150,7 @@ def slices(batches, column: str, step: int = STEP_BYTES):
         ends, lo = np.cumsum(sizes), 0
         while lo < batch.num_rows:
             base = ends[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(ends, base + step, "right")))
+            hi = min(lo + SLICE_ROWS, max(lo + 1, int(np.searchsorted(ends, base + step, "right"))))
             yield batch.slice(lo, hi - lo)
             lo = hi
 
