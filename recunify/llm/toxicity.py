@@ -40,6 +40,8 @@ PAD = 3
 PREFIXES = (5, 7, 9)
 #: Words of fewer training documents have no vector: they could only be learned by heart.
 MIN_DOCS = 3
+#: Share of the words of a training text that are left out, anew each time.
+DROP = 0.5
 #: Positives of a language, in the part held back, from which its own threshold is taken.
 OWN_THRESHOLD = 10
 
@@ -67,7 +69,7 @@ def padded_ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class TextNet:
     def __init__(self, seed: int = 17):
         r = np.random.Generator(np.random.PCG64(seed))
-        self.table = r.normal(0, 0.1, (1 << HASH_BITS, EMBED)).astype(np.float32)
+        self.table = r.normal(0, 0.02, (1 << HASH_BITS, EMBED)).astype(np.float32)
         self.table[0] = 0
         self.w = {w: r.normal(0, (w * EMBED) ** -0.5, (w * EMBED, FILTERS)).astype(np.float32) for w in WIDTHS}
         self.b = {w: np.zeros(FILTERS, np.float32) for w in WIDTHS}
@@ -97,7 +99,7 @@ class TextNet:
             return np.zeros(0)
         return self.pooled(ids, begin)[0].astype(np.float64) @ self.out + float(self.bias[0])
 
-    def fit(self, texts: list[np.ndarray], y: np.ndarray, lang: np.ndarray, steps: int = 600, batch: int = 32,
+    def fit(self, texts: list[np.ndarray], y: np.ndarray, lang: np.ndarray, steps: int = 800, batch: int = 32,
             rate: float = 0.05, seed: int = 4) -> None:
         r = np.random.Generator(np.random.PCG64(seed))
         sides = [[g for name in sorted(set(lang)) if len(g := np.flatnonzero((y == v) & (lang == name)))] for v in (0, 1)]
@@ -113,6 +115,7 @@ class TextNet:
         for _ in range(steps):
             pick_ = np.array([r.choice(s[r.integers(len(s))]) for s in sides for _ in range(batch // 2)])
             ids = np.concatenate([texts[i] for i in pick_])
+            ids = np.where(r.random((len(ids), 1)) < DROP, 0, ids)
             begin = np.cumsum(np.append(0, [len(texts[i]) for i in pick_]))
             z, where = self.pooled(ids, begin)
             prob = 1 / (1 + np.exp(-np.clip(z @ self.out + self.bias, -30, 30)))
