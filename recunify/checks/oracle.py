@@ -1,8 +1,8 @@
 """DuckDB oracle SQL for every registered query.
 
-Written the way the reference writes its SQL (row_number windows, left
-join + IS NULL, per-column passes joined back) so that it checks the
-Spark operators by an independent formulation.  Views ``events orders
+Written from the operators' semantics in plain SQL (row_number windows,
+NOT EXISTS, per-column passes joined back), so that it checks the Spark
+operators by an independent formulation.  Views ``events orders
 lineitem part customer nation region ...`` are pre-registered by the
 driver; the stand-in views are CTEs below.
 """
@@ -126,7 +126,7 @@ SELECT contact_id, source_type, source, attr_a, attr_b, update_day, update_time,
                                ORDER BY update_day DESC NULLS LAST, update_time DESC NULLS LAST,
                                         event_id DESC NULLS LAST) AS rn
   FROM contacts
-  WHERE update_day >= strftime(DATE '2024-01-31' - INTERVAL 60 DAY, '%Y-%m-%d')) WHERE rn = 1"""
+  WHERE update_day >= strftime(DATE '2024-01-31' - INTERVAL 20 DAY, '%Y-%m-%d')) WHERE rn = 1"""
 
 SQL["hot_rows"] = f"""WITH {CONTACTS}
 SELECT * FROM contacts WHERE update_day >= strftime(DATE '2024-01-31' - INTERVAL 14 DAY, '%Y-%m-%d')"""
@@ -172,10 +172,19 @@ SELECT mobile FROM outcomes
 WHERE source = 'customer_filter_age' AND update_day < '2001-01-01' AND update_day >= '2000-10-01'
 GROUP BY mobile"""
 
-SQL["anti_history"] = f"""WITH {OUTCOMES}, {CUSTOMERS}
-SELECT c.* FROM customers c
-LEFT JOIN (SELECT mobile FROM outcomes WHERE update_day >= '2001-01-01') h ON c.mobile = h.mobile
-WHERE h.mobile IS NULL"""
+HISTORY = """history AS (
+  SELECT l_partkey AS mobile,
+         CASE l_returnflag WHEN 'R' THEN 'customer_filter_child' WHEN 'A' THEN 'customer_filter_success'
+              ELSE CASE l_linestatus WHEN 'O' THEN 'customer_filter_age' ELSE 'customer_filter_refuse' END END AS source,
+         CASE l_linenumber WHEN 1 THEN 'OPERATOR_customer' ELSE 'BEHAVIOR_visit' END AS source_type,
+         strftime(l_shipdate, '%Y-%m-%d') AS update_day
+  FROM lineitem)"""
+
+SQL["anti_history"] = f"""WITH {HISTORY}, {CUSTOMERS}
+SELECT * FROM customers c
+WHERE NOT EXISTS (SELECT 1 FROM history h
+                  WHERE h.mobile = c.mobile AND h.source = 'customer_filter_refuse'
+                    AND h.source_type = 'OPERATOR_customer' AND h.update_day < '2002-01-01')"""
 
 SQL["two_groups"] = f"""WITH {OUTCOMES},
 r2 AS (SELECT category, mobile FROM (
@@ -202,68 +211,60 @@ SELECT mobile, category, project, title,
             WHEN trim(title) = '5-LOW' THEN 'customer_filter_refuse' END AS source,
        update_day
 FROM outcomes
-WHERE update_day BETWEEN '1998-10-01' AND '1998-10-31'
+WHERE update_day BETWEEN '1998-10-05' AND '1998-10-31'
   AND title IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"""
 
 SQL["short_calls"] = f"""WITH {CALLS}
 SELECT * FROM calls
-WHERE update_day BETWEEN '1999-01-01' AND '1999-01-14' AND TRY_CAST(duration_time AS INTEGER) <= 5"""
-
-SQL["suppression_candidates"] = f"""WITH {OUTCOMES}, {CALLS},
-hist AS (SELECT * FROM outcomes WHERE update_day < '2000-05-01'),
-win AS (SELECT * FROM outcomes WHERE update_day BETWEEN '2000-05-01' AND '2000-06-30'),
-child AS (
-  SELECT w.* FROM win w
-  LEFT JOIN (SELECT mobile FROM hist WHERE source = 'customer_filter_child' AND update_day < '2000-06-30'
-             GROUP BY mobile) h ON w.mobile = h.mobile
-  WHERE w.source = 'customer_filter_child' AND h.mobile IS NULL),
-success AS (
-  SELECT w.* FROM win w
-  LEFT JOIN (SELECT mobile FROM hist WHERE source = 'customer_filter_success' AND update_day < '2000-06-30'
-             GROUP BY mobile) h ON w.mobile = h.mobile
-  WHERE w.source = 'customer_filter_success' AND h.mobile IS NULL),
-age0 AS (
-  SELECT w.* FROM win w
-  LEFT JOIN (SELECT mobile FROM hist WHERE source = 'customer_filter_age' AND update_day < '2000-06-30'
-             GROUP BY mobile) h ON w.mobile = h.mobile
-  WHERE w.source = 'customer_filter_age' AND h.mobile IS NULL),
-age_r2 AS (SELECT mobile, category FROM (
-  SELECT mobile, category,
-         dense_rank() OVER (PARTITION BY category, mobile ORDER BY project ASC NULLS FIRST) AS dr
-  FROM age0) WHERE dr = 2),
-age AS (SELECT a.* FROM age0 a LEFT JOIN age_r2 r ON a.mobile = r.mobile AND a.category = r.category
-        WHERE r.mobile IS NOT NULL),
-calls_w AS (SELECT * FROM calls WHERE update_day BETWEEN '2000-06-16' AND '2000-06-30'
-            AND TRY_CAST(duration_time AS INTEGER) <= 5),
-ref_r2 AS (SELECT mobile FROM (
-  SELECT mobile, dense_rank() OVER (PARTITION BY mobile ORDER BY project ASC NULLS FIRST) AS dr
-  FROM calls_w) WHERE dr = 2),
-refuse AS (
-  SELECT c.* FROM calls_w c
-  LEFT JOIN (SELECT mobile FROM hist WHERE source = 'customer_filter_refuse'
-             AND update_day >= '2000-04-01' AND update_day < '2000-06-30' GROUP BY mobile) h
-    ON c.mobile = h.mobile
-  WHERE c.mobile IN (SELECT mobile FROM ref_r2) AND h.mobile IS NULL)
-SELECT mobile, category, project, source, update_day AS event_day, '2000-06-30' AS update_day FROM child
-UNION ALL
-SELECT mobile, category, project, source, update_day AS event_day, '2000-06-30' AS update_day FROM success
-UNION ALL
-SELECT mobile, category, project, source, update_day AS event_day, '2000-06-30' AS update_day FROM age
-UNION ALL
-SELECT mobile, category, project, 'customer_filter_refuse' AS source, update_day AS event_day,
-       '2000-06-30' AS update_day FROM refuse"""
-
-SQL["active_suppression"] = f"""WITH {OUTCOMES}, {CLOSED}
-SELECT mobile FROM outcomes
-WHERE (source = 'customer_filter_age' OR source = 'customer_filter_success' AND update_day >= '2001-02-02')
-UNION ALL
-SELECT a.mobile FROM outcomes a
-LEFT JOIN closed b ON a.mobile = b.mobile AND a.category = b.category
-WHERE a.category = 'P' AND a.source = 'customer_filter_child' AND b.mobile IS NULL
+WHERE update_day BETWEEN '1999-01-01' AND '1999-01-14' AND TRY_CAST(duration_time AS INTEGER) <= 5
+  AND length(CAST(mobile AS VARCHAR)) = 3"""
+
+SQL["suppression_candidates"] = f"""WITH {OUTCOMES}, {CALLS}, {HISTORY},
+known AS (SELECT DISTINCT mobile, source, update_day FROM history
+          WHERE source_type = 'OPERATOR_customer' AND update_day < '2000-06-30'),
+fresh AS (
+  SELECT * FROM outcomes o
+  WHERE update_day BETWEEN '2000-05-01' AND '2000-06-30'
+    AND source IN ('customer_filter_child', 'customer_filter_success', 'customer_filter_age')
+    AND NOT EXISTS (SELECT 1 FROM known k WHERE k.mobile = o.mobile AND k.source = o.source)),
+seen_twice AS (
+  SELECT category, mobile FROM fresh WHERE source = 'customer_filter_age'
+  GROUP BY category, mobile
+  HAVING count(DISTINCT project) + max(CASE WHEN project IS NULL THEN 1 ELSE 0 END) >= 2),
+short AS (SELECT * FROM calls WHERE update_day BETWEEN '2000-06-16' AND '2000-06-30'
+          AND TRY_CAST(duration_time AS INTEGER) <= 5),
+called_twice AS (
+  SELECT mobile FROM short GROUP BY mobile
+  HAVING count(DISTINCT project) + max(CASE WHEN project IS NULL THEN 1 ELSE 0 END) >= 2)
+SELECT mobile, category, project, title, source, update_day AS event_day,
+       'OPERATOR_customer' AS source_type, '2000-06-30' AS update_day, '20_00_00' AS update_time
+FROM fresh f
+WHERE source <> 'customer_filter_age'
+   OR EXISTS (SELECT 1 FROM seen_twice s WHERE s.category = f.category AND s.mobile = f.mobile)
 UNION ALL
-SELECT a.mobile FROM outcomes a
-LEFT JOIN (SELECT mobile FROM closed GROUP BY mobile) b ON a.mobile = b.mobile
-WHERE a.source = 'customer_filter_refuse' AND a.update_day >= '2001-05-03' AND b.mobile IS NULL"""
+SELECT mobile, category, project, '', 'customer_filter_refuse', update_day,
+       'OPERATOR_customer', '2000-06-30', '20_00_00'
+FROM short c
+WHERE mobile IN (SELECT mobile FROM called_twice)
+  AND NOT EXISTS (SELECT 1 FROM known k WHERE k.mobile = c.mobile AND k.source = 'customer_filter_refuse'
+                  AND k.update_day >= '2000-04-01')"""
+
+# one CTE per suppression reason; a NULL category applies to every category
+SUPPRESSION_ALL = f"""{OUTCOMES}, {CLOSED},
+wrong_age AS (SELECT mobile, CAST(NULL AS VARCHAR) AS category FROM outcomes WHERE source = 'customer_filter_age'),
+enrolled AS (SELECT mobile, CAST(NULL AS VARCHAR) AS category FROM outcomes
+             WHERE source = 'customer_filter_success' AND update_day >= '2001-02-02'),
+refused AS (SELECT mobile, CAST(NULL AS VARCHAR) AS category FROM outcomes o
+            WHERE source = 'customer_filter_refuse' AND update_day >= '2001-05-03'
+              AND NOT EXISTS (SELECT 1 FROM closed d WHERE d.mobile = o.mobile)),
+childless AS (SELECT mobile, category FROM outcomes o
+              WHERE source = 'customer_filter_child'
+                AND NOT EXISTS (SELECT 1 FROM closed d WHERE d.mobile = o.mobile AND d.category = o.category)),
+suppressed AS (SELECT * FROM wrong_age UNION ALL SELECT * FROM enrolled
+               UNION ALL SELECT * FROM refused UNION ALL SELECT * FROM childless)"""
+
+SQL["active_suppression"] = f"""WITH {SUPPRESSION_ALL}
+SELECT mobile FROM suppressed WHERE category IS NULL OR category = 'P'"""
 
 GOLDEN_PARTS = """golden AS (
   SELECT p_partkey AS mobile, p_type AS source_type,
@@ -276,10 +277,11 @@ GOLDEN_PARTS = """golden AS (
   FROM part)"""
 
 RULES = """rules AS (
-  SELECT * FROM (VALUES ('S%', '5', '8', '30', '33', 't1'), ('P%', '1', '3', '', '', 't1'),
-                        ('E%', '', '', '', '', 't2'), ('M%', '', '', '15', '18', 't2'),
-                        ('L%', '4', '', '', '', 't3'), ('L%', 'x', ' 3 ', '', '', 't4'))
-         AS r(source, minage, maxage, minparentage, maxparentage, targettable))"""
+  SELECT * FROM (VALUES ('S%', '5', '8', '30', '33', 'seg', 't1'), ('P%', '1', '3', '', '', 'seg', 't1'),
+                        ('E%', '', '', '', '', 'seg', 't2'), ('M%', '', '', '15', '18', 'seg', 't2'),
+                        ('L%', '4', '', '', '', 'seg', 't3'), ('L%', 'x', ' 3 ', '', '', 'seg', 't4'),
+                        ('%M_LL', '2', '9', '', '', 'seg2', 't1'), ('%O%', '', '', '20', '30', 'seg2', 't1'))
+         AS r(source, minage, maxage, minparentage, maxparentage, targetdatabase, targettable))"""
 
 TARGET_CATEGORIES = """target_categories AS (
   SELECT * FROM (VALUES ('t1', 'F'), ('t2', 'O'), ('t3', 'P'), ('t4', 'F')) AS t(targettable, category))"""
@@ -310,14 +312,14 @@ _KIDS = " OR ".join([_bt(_AGE, "r.mn", "r.mx"), _bt(_CH, "r.mn", "r.mx"), _bt(_D
                      _bt("r.mn", _ST, _EN), _bt("r.mx", _ST, _EN)])
 
 SEGMENTS = f"""{GOLDEN_PARTS}, {RULES},
-r AS (SELECT targettable, source,
+r AS (SELECT targetdatabase, targettable, source,
              ({_set('minage')} OR {_set('maxage')}) AS kids,
              ({_set('minparentage')} OR {_set('maxparentage')}) AS parents,
              {_bound('minage')} AS mn, {_bound('maxage')} AS mx,
              {_bound('minparentage')} AS pmn, {_bound('maxparentage')} AS pmx
       FROM rules),
 segs AS (
-  SELECT DISTINCT r.targettable, g.*
+  SELECT DISTINCT r.targetdatabase, r.targettable, g.*
   FROM golden g JOIN r
     ON g.source_type LIKE r.source
    AND CASE WHEN r.parents AND r.kids THEN ({_BOTH})
@@ -328,30 +330,17 @@ segs AS (
 SQL["segment_rules"] = f"WITH {SEGMENTS}\nSELECT * FROM segs"
 SQL["segment_rules_join"] = SQL["segment_rules"]
 
-SUPPRESSION_ALL = f"""{OUTCOMES}, {CLOSED},
-supp_common AS (
-  SELECT mobile FROM outcomes
-  WHERE (source = 'customer_filter_age' OR source = 'customer_filter_success' AND update_day >= '2001-02-02')
-  UNION ALL
-  SELECT a.mobile FROM outcomes a
-  LEFT JOIN (SELECT mobile FROM closed GROUP BY mobile) b ON a.mobile = b.mobile
-  WHERE a.source = 'customer_filter_refuse' AND a.update_day >= '2001-05-03' AND b.mobile IS NULL),
-supp_child AS (
-  SELECT a.mobile, a.category FROM outcomes a
-  LEFT JOIN closed b ON a.mobile = b.mobile AND a.category = b.category
-  WHERE a.source = 'customer_filter_child' AND b.mobile IS NULL)"""
-
 SUPPRESSED = f"""{SEGMENTS}, {TARGET_CATEGORIES}, {SUPPRESSION_ALL},
 kept AS (
   SELECT s.* FROM segs s LEFT JOIN target_categories tc ON s.targettable = tc.targettable
-  WHERE NOT EXISTS (SELECT 1 FROM supp_common c WHERE c.mobile = s.mobile)
-    AND NOT EXISTS (SELECT 1 FROM supp_child c WHERE c.mobile = s.mobile AND c.category = tc.category))"""
+  WHERE NOT EXISTS (SELECT 1 FROM suppressed x
+                    WHERE x.mobile = s.mobile AND (x.category IS NULL OR x.category = tc.category)))"""
 
 SQL["suppress_segment"] = f"WITH {SUPPRESSED}\nSELECT * FROM kept"
 
 SQL["publish_segments"] = f"""WITH {SUPPRESSED},
 dim AS (SELECT CAST(n_nationkey AS VARCHAR) AS tel, max(n_name) AS city FROM nation GROUP BY 1)
-SELECT k.targettable, k.mobile, k.source_type, k.age, k.child_age, k.child_deduced_age,
+SELECT k.targetdatabase, k.targettable, k.mobile, k.source_type, k.age, k.child_age, k.child_deduced_age,
        k.age_start, k.age_end,
        CASE WHEN k.city_short IS NULL OR trim(k.city_short) = '' THEN d.city ELSE k.city_short END AS city_short
 FROM kept k LEFT JOIN dim d ON substr(CAST(k.mobile AS VARCHAR), 1, 2) = d.tel
@@ -365,7 +354,7 @@ SELECT c.mobile, c.user_name,
        CASE WHEN c.city_short IS NULL OR trim(c.city_short) = '' THEN d.city ELSE c.city_short END AS city_short
 FROM customers c LEFT JOIN dim d ON substr(c.user_name, 1, 15) = d.tel"""
 
-SQL["targets"] = """SELECT DISTINCT p_type AS targettable FROM part
+SQL["targets"] = """SELECT DISTINCT p_brand AS targetdatabase, p_type AS targettable FROM part
 WHERE regexp_matches(p_type, 'A|P') AND p_type NOT IN ('LARGE')"""
 
 META = """tables AS (
@@ -375,9 +364,11 @@ META = """tables AS (
          'dw_cust.cust_' || CAST(c_custkey AS VARCHAR) AS dbtable
   FROM customer),
 cols AS (
-  SELECT 'dw_cust.cust_' || CAST(o_custkey AS VARCHAR) AS dbtable, 'o_' || CAST(o_orderkey AS VARCHAR) AS dswhcolname,
+  SELECT 'dw_cust.cust_' || CAST(o_custkey AS VARCHAR) AS dbtable,
+         CASE o_orderkey % 7 WHEN 0 THEN 'mobile' WHEN 1 THEN 'source' WHEN 2 THEN 'source_type'
+              ELSE 'o_' || CAST(o_orderkey AS VARCHAR) END AS dswhcolname,
          'o_' || CAST(o_orderkey AS VARCHAR) AS buiscolname, 'string' AS buiscoltype,
-         o_orderpriority AS buiscolcomment, o_orderkey AS buiscolrank
+         o_orderpriority AS buiscolcomment, CAST(o_orderkey AS VARCHAR) AS buiscolrank
   FROM orders)"""
 
 SQL["table_catalog"] = f"""WITH {META}
@@ -388,7 +379,7 @@ SQL["render_ddl"] = f"""WITH {META},
 ddl_cols AS (
   SELECT dbtable,
          string_agg(buiscolname || ' ' || buiscoltype || ' COMMENT ''' || buiscolcomment || '''',
-                    ',' || chr(10) ORDER BY buiscolrank) AS cols
+                    ',' || chr(10) ORDER BY CAST(buiscolrank AS INTEGER)) AS cols
   FROM cols GROUP BY dbtable)
 SELECT t.dbtable,
        'CREATE EXTERNAL TABLE IF NOT EXISTS ' || t.databasename || '.' || t.tablename || '(' || chr(10)
@@ -399,7 +390,10 @@ FROM tables t JOIN ddl_cols d ON t.dbtable = d.dbtable"""
 
 SQL["seed_columns"] = f"""WITH {META}
 SELECT t.dbtable, c.dswhcolname, c.buiscolname, c.buiscoltype, c.buiscolcomment, c.buiscolrank
-FROM tables t CROSS JOIN (SELECT * FROM cols WHERE dbtable = 'dw_cust.cust_0') c"""
+FROM tables t CROSS JOIN (SELECT * FROM cols WHERE dbtable = 'dw_cust.cust_0') c
+WHERE t.tablename <> 'cust_1'"""
+
+SQL["seed_columns_written"] = SQL["seed_columns"]
 
 SQL["ingest_report"] = f"""WITH {CONTACTS}
 SELECT '20240115' AS day, source_type, count(*) AS counts, count(DISTINCT contact_id) AS distinct_num,
@@ -427,17 +421,31 @@ SELECT contact_id AS mobile, '' AS user_name, '' AS age, '' AS age_start, '' AS
 FROM contacts WHERE source_type IN ('view', 'click') AND update_day < '2024-01-17'
 UNION ALL
 SELECT contact_id AS mobile, '' AS user_name, attr_b AS age,
-       CASE WHEN attr_b <> '' THEN string_split(regexp_replace(attr_b, '[^0-9]+', '-', 'g'), '-')[1] ELSE '' END,
-       CASE WHEN attr_b <> '' THEN string_split(regexp_replace(attr_b, '[^0-9]+', '-', 'g'), '-')[2] ELSE '' END,
+       CASE WHEN attr_b <> '' THEN attr_b ELSE substr(update_day, 9, 2) END,
+       CASE WHEN attr_b <> '' THEN CASE WHEN event_id % 2 <> 0 THEN CAST(contact_id AS VARCHAR) END ELSE '99' END,
        source, source_type, update_day, update_time
 FROM contacts WHERE source_type IN ('signup', 'error', 'purchase') AND update_day < '2024-01-17'"""
 
 SQL["overwrite_full"] = f"""WITH {CONTACTS}
 SELECT * FROM contacts WHERE source_type = 'click'"""
 
-SQL["overwrite_partitions"] = f"""WITH {CONTACTS}
-SELECT * FROM contacts
-WHERE source_type NOT IN ('click', 'view') OR NOT (attr_a IS NULL OR trim(attr_a) = '')"""
+SQL["overwrite_partitions"] = f"""WITH {CONTACTS},
+halves AS (
+  SELECT * REPLACE (CASE WHEN substr(update_time, 1, 2) < '12' THEN '00_00_00' ELSE '12_00_00' END AS update_time)
+  FROM contacts),
+newer AS (SELECT * FROM halves WHERE source_type IN ('click', 'view') AND update_day >= '2024-01-20'
+          AND NOT (attr_a IS NULL OR trim(attr_a) = ''))
+SELECT * FROM newer
+UNION ALL
+SELECT * FROM halves h
+WHERE NOT EXISTS (SELECT 1 FROM newer n WHERE n.source_type = h.source_type AND n.update_day = h.update_day
+                  AND n.update_time = h.update_time)"""
+
+SQL["manifest_written"] = f"""WITH {CONTACTS}
+SELECT DISTINCT 'ALTER TABLE dw.contacts ADD IF NOT EXISTS PARTITION (source_type=''' || source_type || ''');' AS partition
+FROM contacts"""
+
+SQL["stage_round_trip"] = SQL["golden_record"]
 
 SQL["outcome_feed"] = f"""WITH {OUTCOMES}
 SELECT mobile, '' AS user_name, category, project, title,
@@ -450,8 +458,10 @@ FROM outcomes
 WHERE update_day BETWEEN '1998-10-01' AND '1998-10-07' AND title IN ('1-URGENT', '2-HIGH')"""
 
 SQL["column_map"] = f"""WITH {META}
-SELECT dswhcolname, buiscolname FROM cols
-WHERE dbtable = 'dw_cust.cust_1' AND buiscolname NOT IN ('mobile', 'source', 'source_type')"""
+SELECT dswhcolname, CASE WHEN CAST(buiscolrank AS INTEGER) % 7 = 3 THEN 'mobile' ELSE buiscolname END AS buiscolname,
+       buiscolrank
+FROM cols
+WHERE dbtable = 'dw_cust.cust_1' AND dswhcolname NOT IN ('mobile', 'source', 'source_type')"""
 
 SQL["golden_mapped"] = ("SELECT contact_id, attr_a AS first_attr, attr_b AS second_attr, source, source_type FROM ("
                         + SQL["golden_record"] + ")")

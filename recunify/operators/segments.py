@@ -22,14 +22,20 @@ Bounds that are not set are NULL, so a half-open rule only matches through
 its set bound lying inside the row's [age_start, age_end].  Row values are
 integers via ``try_cast`` (blank or junk -> NULL, never an error).
 
-Two evaluations, same answer:
-
-* ``how="columns"`` (default): rules are metadata, compiled into one
-  boolean per target; every golden row is tested against all targets in a
-  single narrow projection and exploded into (target, row) pairs.  No
-  shuffle, no join, no distinct.
-* ``how="join"``: the rule table is broadcast (its size is checked) and
-  joined with a non-equi condition, then de-duplicated per (target, key).
+A target is a table of a database: rules of ``db1.t`` and ``db2.t`` never
+mix.  Rules are matched in two steps, neither of which grows with rows times
+targets (``matching_rules``):
+
+1. the patterns meet the *distinct* source types: an equi-join on the part of
+   the pattern before its first wildcard, then LIKE;
+2. golden rows meet the rules of their own source type by an equi-join, and
+   the age clause, whose bounds are columns, decides.
+
+``how="columns"`` (default) carries the rules of a (source type, target) as
+one array, so a row meets each target of its type once and needs no
+``distinct``; ``how="join"`` joins rule by rule and de-duplicates.  Both give
+the same rows, whatever the number of rules or targets: the plan's size does
+not depend on them.
 """
 
 from __future__ import annotations
@@ -41,158 +47,84 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recunify.functions.blank import int_or_null, is_blank_trim, is_int_text
-from recunify.operators.suppression import suppress
-
-MAX_RULES = 10_000   # rule tables are metadata; refuse to treat data as rules
+from recunify.operators.suppression import distinct_keys, key_join, suppress
 
 RULE_FIELDS = ("source", "minage", "maxage", "minparentage", "maxparentage")
-
-
-def _int_text(s) -> bool:
-    """P9 on a driver-side rule value."""
-    if s is None or s.strip() == "":
-        return False
-    return len(s) > 0 and all("0" <= ch <= "9" for ch in s)
+TARGET = ("targetdatabase", "targettable")
 
 
 def _between(x: Column, lo: Column, hi: Column) -> Column:
     return (x >= lo) & (x <= hi)
 
 
-def _age_clause(kids: Column | bool, parents: Column | bool,
-                mn: Column, mx: Column, pmn: Column, pmx: Column,
-                age: Column, child: Column, deduced: Column,
-                start: Column, end: Column) -> Column:
-    both = reduce(or_, [
-        _between(child, mn, mx), _between(deduced, mn, mx),
-        _between(age, pmn, pmx), _between(child, pmn, pmx), _between(deduced, pmn, pmx),
-        _between(mn, start, end), _between(mx, start, end),
-        _between(pmn, start, end), _between(pmx, start, end)])
-    only_parents = reduce(or_, [
-        _between(age, pmn, pmx), _between(child, pmn, pmx), _between(deduced, pmn, pmx),
-        _between(pmn, start, end), _between(pmx, start, end)])
-    only_kids = reduce(or_, [
-        _between(age, mn, mx), _between(child, mn, mx), _between(deduced, mn, mx),
-        _between(mn, start, end), _between(mx, start, end)])
-    if isinstance(kids, bool):          # driver-side compiled rule
-        if parents and kids:
-            return both
-        if parents:
-            return only_parents
-        if kids:
-            return only_kids
-        return F.lit(True)
-    return (F.when(parents & kids, both).when(parents, only_parents)
-            .when(kids, only_kids).otherwise(F.lit(True)))
+def _age_clause(rule, age: Column, child: Column, deduced: Column, start: Column, end: Column) -> Column:
+    """The table above; ``rule`` gives the columns kids, parents, min, max, pmin, pmax."""
+    kids = [_between(x, rule["min"], rule["max"]) for x in (child, deduced)]
+    parents = [_between(x, rule["pmin"], rule["pmax"]) for x in (age, child, deduced)]
+    kid_bounds = [_between(rule[b], start, end) for b in ("min", "max")]
+    parent_bounds = [_between(rule[b], start, end) for b in ("pmin", "pmax")]
+    both = reduce(or_, kids + parents + kid_bounds + parent_bounds)
+    only_parents = reduce(or_, parents + parent_bounds)
+    only_kids = reduce(or_, [_between(age, rule["min"], rule["max"])] + kids + kid_bounds)
+    return (F.when(rule["parents"] & rule["kids"], both).when(rule["parents"], only_parents)
+            .when(rule["kids"], only_kids).otherwise(F.lit(True)))
 
 
 AGE_COLUMNS = ("age", "child_age", "child_deduced_age", "age_start", "age_end")
 _INT = "__int_"
+_BOUNDS = ("kids", "parents", "min", "max", "pmin", "pmax")
+
+
+def _row_values() -> dict[str, Column]:
+    return dict(zip(("age", "child", "deduced", "start", "end"), [F.col(_INT + c) for c in AGE_COLUMNS]))
+
 
+def target_columns(rules: DataFrame, target_col: str = "targettable") -> list[str]:
+    """The columns that name a target: (database, table), or the table alone if rules have no database."""
+    return [c for c in TARGET[:1] if c in rules.columns] + [target_col]
 
-def _row_values(precomputed: bool = False):
-    if precomputed:
-        g = lambda c: F.col(_INT + c)
-    else:
-        g = lambda c: int_or_null(F.col(c))
-    return dict(age=g("age"), child=g("child_age"), deduced=g("child_deduced_age"),
-                start=g("age_start"), end=g("age_end"))
-
-
-def _sql_str(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def rule_sql(rule: dict, source_type: str = "source_type", precomputed: bool = True) -> str:
-    """SQL predicate text of one rule.  Bounds are validated integers
-    (P9) or NULL; the pattern is quoted as a string literal.  One SQL text
-    per target keeps driver-side expression building cheap."""
-    b = {}
-    for f in ("minage", "maxage", "minparentage", "maxparentage"):
-        v = rule.get(f)
-        # a set bound that overflows INT casts to NULL, like try_cast does
-        b[f] = str(int(v)) if _int_text(v) and int(v) <= 2**31 - 1 else "CAST(NULL AS INT)"
-    kids = _int_text(rule.get("minage")) or _int_text(rule.get("maxage"))
-    parents = _int_text(rule.get("minparentage")) or _int_text(rule.get("maxparentage"))
-    if precomputed:
-        v = {c: f"`{_INT}{c}`" for c in AGE_COLUMNS}
-    else:
-        v = {c: f"try_cast(`{c}` AS INT)" for c in AGE_COLUMNS}
-    age, ch, de, st, en = (v["age"], v["child_age"], v["child_deduced_age"],
-                           v["age_start"], v["age_end"])
-    mn, mx, pmn, pmx = b["minage"], b["maxage"], b["minparentage"], b["maxparentage"]
-    bt = lambda x, lo, hi: f"({x} >= {lo} AND {x} <= {hi})"
-    if parents and kids:
-        terms = [bt(ch, mn, mx), bt(de, mn, mx), bt(age, pmn, pmx), bt(ch, pmn, pmx),
-                 bt(de, pmn, pmx), bt(mn, st, en), bt(mx, st, en), bt(pmn, st, en), bt(pmx, st, en)]
-    elif parents:
-        terms = [bt(age, pmn, pmx), bt(ch, pmn, pmx), bt(de, pmn, pmx), bt(pmn, st, en), bt(pmx, st, en)]
-    elif kids:
-        terms = [bt(age, mn, mx), bt(ch, mn, mx), bt(de, mn, mx), bt(mn, st, en), bt(mx, st, en)]
-    else:
-        terms = []
-    like = f"`{source_type}` LIKE {_sql_str(rule['source'])}"
-    return like if not terms else f"({like} AND ({' OR '.join(terms)}))"
-
-
-def rule_predicate(rule: dict, source_type: str = "source_type",
-                   precomputed: bool = True) -> Column:
-    """Column predicate of one rule."""
-    return F.expr(rule_sql(rule, source_type, precomputed))
-
-
-def compile_rules(rules: DataFrame, target_col: str = "targettable") -> dict[str, Column]:
-    """Target -> OR of its rules' predicates.  Rules are collected: they are
-    a metadata table, bounded by ``MAX_RULES``."""
-    rows = rules.select(target_col, *RULE_FIELDS).limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"rule table has more than {MAX_RULES} rows; it is not metadata")
-    by_target: dict[str, list[Column]] = {}
-    for r in rows:
-        d = r.asDict()
-        if d["source"] is None:
-            continue   # a rule without a pattern selects nothing
-        by_target.setdefault(d[target_col], []).append(rule_sql(d))
-    return {t: F.expr(" OR ".join(preds)) for t, preds in sorted(by_target.items())}
+
+def rules_of_targets(rules: DataFrame, pattern: str, target_col: str = "targettable") -> DataFrame:
+    """The rules of the targets whose table name matches ``pattern`` (unanchored; '' is all)."""
+    return rules.where(F.col(target_col).rlike(pattern)) if pattern else rules
+
+
+def matching_rules(types: DataFrame, rules: DataFrame, target_col: str = "targettable",
+                   source_type: str = "source_type") -> DataFrame:
+    """(source_type, target, bounds) of every rule whose pattern matches one of the distinct ``types``.
+    A rule without a pattern selects nothing; a bound that is no integer or overflows is NULL."""
+    def is_set(c):
+        return is_int_text(F.col(c))
+
+    def bound(c):
+        return F.when(is_set(c), F.col(c).try_cast("int"))
+    r = rules.where(F.col("source").isNotNull()).select(
+        *target_columns(rules, target_col), F.col("source").alias("__pattern"),
+        F.regexp_extract("source", r"^[^%_\\]*", 0).alias("__head"),
+        (is_set("minage") | is_set("maxage")).alias("kids"),
+        (is_set("minparentage") | is_set("maxparentage")).alias("parents"),
+        bound("minage").alias("min"), bound("maxage").alias("max"),
+        bound("minparentage").alias("pmin"), bound("maxparentage").alias("pmax"))
+    heads = types.where(F.col(source_type).isNotNull()).select(source_type, F.explode(F.transform(
+        F.sequence(F.lit(0), F.length(source_type)), lambda n: F.substring(F.col(source_type), F.lit(1), n))).alias("__head"))
+    return (heads.join(r, "__head").where(F.like(F.col(source_type), F.col("__pattern")))
+            .select(source_type, *target_columns(rules, target_col), *_BOUNDS).distinct())
 
 
 def segment_rows(golden: DataFrame, rules: DataFrame, target_col: str = "targettable",
-                 key: str = "mobile", how: str = "columns",
-                 compiled: dict[str, Column] | None = None) -> DataFrame:
-    """(target, golden row) for every target whose rules the row satisfies.
-    ``compiled`` reuses the output of ``compile_rules``."""
+                 key: str = "mobile", how: str = "columns", source_type: str = "source_type") -> DataFrame:
+    """(target, golden row) for every target whose rules the row satisfies."""
+    target = target_columns(rules, target_col)
+    matched = matching_rules(golden.select(source_type).distinct(), rules, target_col, source_type)
+    ints = golden.select(*golden.columns, *[int_or_null(c).alias(_INT + c) for c in AGE_COLUMNS])
     if how == "columns":
-        preds = compiled if compiled is not None else compile_rules(rules, target_col)
-        if not preds:
-            return golden.select(F.lit(None).cast("string").alias(target_col), *golden.columns).limit(0)
-        # Integer views of the age columns are computed once per row, then
-        # every target's predicate reads them; a plain explode + NULL filter
-        # keeps the whole projection inside whole-stage codegen.
-        ints = golden.select(*golden.columns, *[int_or_null(c).alias(_INT + c) for c in AGE_COLUMNS])
-        hits = F.array(*[F.when(p, F.lit(t)) for t, p in preds.items()])
-        return (ints.select(F.explode(hits).alias(target_col), *golden.columns)
-                .where(F.col(target_col).isNotNull()))
+        per_target = matched.groupBy(source_type, *target).agg(F.collect_list(F.struct(*_BOUNDS)).alias("__rules"))
+        hit = F.exists("__rules", lambda rule: _age_clause(rule, **_row_values()))
+        return ints.join(per_target, source_type).where(hit).select(*target, *golden.columns)
     if how == "join":
-        n = rules.count()
-        if n > MAX_RULES:
-            raise ValueError(f"rule table has {n} rows; too large to broadcast")
-        r = rules.select(target_col, *[F.col(c).alias("r_" + c) for c in RULE_FIELDS])
-        def iset(c):
-            return is_int_text(F.col("r_" + c))
-        def ibound(c):
-            return F.when(iset(c), F.col("r_" + c).try_cast("int"))
-        r = r.select(
-            target_col, "r_source",
-            (iset("minage") | iset("maxage")).alias("r_kids"),
-            (iset("minparentage") | iset("maxparentage")).alias("r_parents"),
-            ibound("minage").alias("r_min"), ibound("maxage").alias("r_max"),
-            ibound("minparentage").alias("r_pmin"), ibound("maxparentage").alias("r_pmax"))
-        cond = F.like(F.col("source_type"), F.col("r_source")) & _age_clause(
-            F.col("r_kids"), F.col("r_parents"), F.col("r_min"), F.col("r_max"),
-            F.col("r_pmin"), F.col("r_pmax"), **_row_values())
-        j = golden.join(F.broadcast(r), cond, "inner")
+        hit = _age_clause({b: F.col(b) for b in _BOUNDS}, **_row_values())
         # golden rows are unique per key, so whole-row distinct = distinct (target, key)
-        return j.select(target_col, *golden.columns).distinct()
+        return ints.join(matched, source_type).where(hit).select(*target, *golden.columns).distinct()
     raise ValueError(f"unknown evaluation {how!r}")
 
 
@@ -204,19 +136,11 @@ def lookup_fill(df: DataFrame, dim: DataFrame, key_expr: Column, dim_key: str,
     The dimension is de-duplicated per key first (max value) so the left
     join can never multiply rows.  The join is left to Spark/AQE: it is
     broadcast when the dimension's runtime size is under the broadcast
-    threshold, else shuffled.
+    threshold, else shuffled; ``hot_rows`` salts hot keys then.
     """
     dim_value = dim_value or value_col
-    d = dim.groupBy(dim_key).agg(F.max(dim_value).alias("__dim_value"))
-    if hot_rows is not None:
-        # salt a hot prefix (see suppression.key_join) when the dimension is
-        # too large to broadcast
-        from recunify.operators.suppression import key_join
-        keyed = df.withColumn("__lookup_key", key_expr)
-        j = key_join(keyed, d.withColumnRenamed(dim_key, "__lookup_key"), "__lookup_key", "left",
-                     hot_rows)
-    else:
-        j = df.join(d, key_expr == F.col(dim_key), "left")
+    d = dim.groupBy(F.col(dim_key).alias("__lookup_key")).agg(F.max(dim_value).alias("__dim_value"))
+    j = key_join(df.withColumn("__lookup_key", key_expr), d, "__lookup_key", "left", hot_rows)
     filled = F.when(is_blank_trim(value_col), F.col("__dim_value")).otherwise(F.col(value_col))
     return j.select(*[filled.alias(c) if c == value_col else F.col(c) for c in df.columns])
 
@@ -226,53 +150,52 @@ def drop_blank(df: DataFrame, column: str) -> DataFrame:
     return df.where(~is_blank_trim(column))
 
 
-def check_categories(rules, target_categories: DataFrame,
-                     target_col: str = "targettable", category: str = "category") -> None:
-    """Every target with rules needs a category (the reference's lookup
-    failed on a missing one).  Both inputs are metadata; ``rules`` may be
-    the rule DataFrame or the target names already compiled."""
-    if isinstance(rules, DataFrame):
-        wanted = {r[0] for r in rules.select(target_col).distinct().limit(MAX_RULES + 1).collect()}
-    else:
-        wanted = set(rules)
-    have = {r[0] for r in target_categories.where(F.col(category).isNotNull())
-            .select(target_col).distinct().limit(MAX_RULES + 1).collect()}
-    missing = sorted(t for t in wanted - have if t is not None)
-    if missing:
-        raise ValueError(f"targets without a category: {missing}")
+def targets_without_category(rules: DataFrame, target_categories: DataFrame,
+                             target_col: str = "targettable", category: str = "category") -> DataFrame:
+    """The targets with rules that have no category, which can't be
+    published.  The category list is by table name, in every database."""
+    known = target_categories.where(F.col(category).isNotNull()).select(target_col)
+    return rules.select(*target_columns(rules, target_col)).distinct().join(known, target_col, "left_anti")
 
 
 def publish_segments(golden: DataFrame, rules: DataFrame, target_categories: DataFrame,
-                     suppression: DataFrame, dim: DataFrame, dim_key_expr: Column,
+                     suppression, dim: DataFrame, dim_key_expr: Column,
                      dim_key: str = "tel", city: str = "city_short",
                      target_col: str = "targettable", key: str = "mobile",
-                     category: str = "category", strict: bool = True) -> DataFrame:
-    """C9 for every target in one pass: segment -> minus suppression (for
-    all categories and for the target's own category) -> city filled from
-    the dimension -> rows with a blank city dropped.
-
-    ``target_categories`` (target, category) is metadata (one row per
-    target); ``suppression`` is the pair from ``active_suppression_parts``
-    (or the table from ``active_suppression(..., category_value=None)``).
+                     category: str = "category", pattern: str = "", hot_rows: int | None = None) -> DataFrame:
+    """C9 for every target whose table matches ``pattern``, in one pass:
+    segment -> minus suppression (for all categories and for the target's own
+    category) -> city filled from the dimension -> rows with a blank city
+    dropped.
+
+    A target without a category fails alone: it gives no rows, the others
+    do, and ``targets_without_category`` names it.  ``suppression`` is the
+    pair from ``active_suppression_parts`` (or the table from
+    ``active_suppression(..., category_value=None)``).
+    """
+    rules = rules_of_targets(rules, pattern, target_col)
+    # one row per target table (first category wins)
+    tc = (target_categories.where(F.col(category).isNotNull()).groupBy(target_col)
+          .agg(F.min(category).alias(category)))
+    segs = segment_rows(golden, rules.join(tc.select(target_col), target_col, "left_semi"), target_col, key)
+    kept = suppress(segs.join(tc, target_col), suppression, key, category, hot_rows).drop(category)
+    kept = kept.select(*target_columns(rules, target_col), *golden.columns)
+    return drop_blank(lookup_fill(kept, dim, dim_key_expr, dim_key, city, hot_rows=hot_rows), city)
+
+
+def write_segments(df: DataFrame, root: str, evaluated: DataFrame | None = None,
+                   target_col: str = "targettable", rows_per_file: int | None = None) -> None:
+    """K1 per target: each target is a folder ``root/<database>/<table>`` in
+    partition form, fully replaced.
+
+    ``evaluated`` lists the targets that were computed; those of them without
+    rows are cleared, so people suppressed since the last run don't stay
+    published.  Targets outside it (failed, or not asked for) keep their rows.
+    ``rows_per_file`` spreads a large target over writers by its size.
     """
-    preds = compile_rules(rules, target_col)
-    if strict:
-        check_categories(list(preds), target_categories, target_col, category)
-    segs = segment_rows(golden, rules, target_col, key, compiled=preds)
-    # one row per target (first category wins); joined without a hint: AQE
-    # broadcasts it from its runtime size, like any other small side
-    tc = target_categories.groupBy(target_col).agg(F.min(category).alias(category))
-    segs = segs.join(tc, target_col, "left")
-    kept = suppress(segs, suppression, key, category).drop(category)
-    return drop_blank(lookup_fill(kept, dim, dim_key_expr, dim_key, city), city)
-
-
-def write_segments(df: DataFrame, root: str, target_col: str = "targettable",
-                   files_per_target: int | None = None) -> None:
-    """K1 per target: each target is a folder ``root/<target_col>=<t>``,
-    fully replaced by dynamic overwrite (targets absent from ``df`` keep
-    their previous rows, as the reference keeps a target whose job failed).
-    ``files_per_target`` spreads each target over that many salted writers,
-    so one large target is not written by a single task."""
-    from recunify.sinks.writers import overwrite_partitions
-    overwrite_partitions(df, root, [target_col], files_per_partition=files_per_target)
+    from recunify.sinks.writers import drop_partitions, overwrite_partitions
+    target = target_columns(df, target_col)
+    overwrite_partitions(df, root, target, rows_per_file=rows_per_file)
+    if evaluated is not None:
+        empty = evaluated.select(*target).distinct().join(distinct_keys(df.select(*target), target), target, "left_anti")
+        drop_partitions(df.sparkSession, root, [r.asDict() for r in empty.collect()])  # one row per target at most

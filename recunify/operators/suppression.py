@@ -15,14 +15,16 @@ per group, combined map-side) and a semi join back, instead of a
 
 from __future__ import annotations
 
-from typing import Sequence
+from functools import reduce
+from operator import or_
+from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recunify.functions.blank import int_or_null
 from recunify.functions.dates import shift_day
-from recunify.sources.readers import history_keys, union_all
+from recunify.sources.feeds import SOURCE_TYPE, UPDATE_TIME, call_rows
+from recunify.sources.readers import align, union_all
 
 # ---- fixed values -------------------------------------------------------
 REASON_AGE = "customer_filter_age"
@@ -32,30 +34,66 @@ REASON_REFUSE = "customer_filter_refuse"
 # ------------------------------------------------------------------------
 
 
-def key_join(left: DataFrame, keys: DataFrame, on, how: str,
-             hot_rows: int | None = None, salts: int = 64) -> DataFrame:
-    """``left.join(keys, on, how)`` that can salt hot keys of ``left``.
+# A key with more rows than this is hot: its rows are spread over one join key
+# for each HOT_ROWS of them.
+HOT_ROWS = 5_000_000
+# Copies of one key that ``distinct_keys`` may leave.
+SPREAD = 8
 
-    With ``hot_rows`` set, keys holding more than ``hot_rows`` rows of
-    ``left`` are found with one extra aggregation (their list is broadcast:
-    at most rows / ``hot_rows`` entries); their rows get a deterministic
-    salt (row hash modulo ``salts``) and their rows in ``keys`` are
-    replicated once per salt, so a key holding a third of ``left`` is
-    joined by ``salts`` tasks.  Same result as the plain join for
-    ``left_semi``, ``left_anti``, ``inner`` and ``left`` joins.
+
+def distinct_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The keys of ``df`` for a semi or anti join: each at most ``SPREAD`` times.
+
+    A plain ``distinct`` leaves its result partitioned by the key, so Spark
+    puts no exchange between it and the join, and adaptive execution cannot
+    split a hot key of the other side.  De-duplicating by (key, part of the
+    row's hash) keeps the map-side reduction and leaves the join an exchange
+    of its own.  Copies of a key change nothing in a semi or anti join.
+    """
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SPREAD))
+    return df.select(*on, part.alias("__part")).distinct().select(*on)
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
+                sizes: DataFrame, hot_rows: int) -> DataFrame:
+    """``left.join(right, on, how)`` with the hot keys of ``left`` spread.
+
+    ``sizes`` has the keys and their number of rows in ``left`` as ``__n``;
+    a key with n > ``hot_rows`` rows gets ceil(n / hot_rows) salts: its left
+    rows take one by a hash of the row, its right rows are copied to each.
+    The list of hot keys has at most rows / ``hot_rows`` entries; Spark
+    broadcasts it if its measured size allows.
+    """
+    on = list(on)
+    hot = sizes.where(F.col("__n") > hot_rows).select(*on, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__salts"))
+    many = F.coalesce("__salts", F.lit(1))
+    row = F.xxhash64(*[F.col(c) for c in left.columns])
+    a = left.join(hot, on, "left").withColumn("__salt", F.pmod(row, many).cast("int")).drop("__salts")
+    b = right.join(hot, on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), many - 1))).drop("__salts")
+    return a.join(b, on + ["__salt"], how).drop("__salt")
+
+
+def key_join(left: DataFrame, keys: DataFrame, on, how: str, hot_rows: int | None = None) -> DataFrame:
+    """``left.join(keys, on, how)`` for ``left_semi``, ``left_anti``, ``inner`` and ``left``.
+
+    Rows of ``left`` with a NULL key match nothing; they stay out of the
+    shuffle and come back by a union where the join keeps them.  Hot keys are
+    left to adaptive execution (see ``distinct_keys``), or, with ``hot_rows``,
+    counted and salted (see ``salted_join``).
     """
     on = [on] if isinstance(on, str) else list(on)
+    null = reduce(or_, [F.col(c).isNull() for c in on])
+    full = left.where(~null)
     if hot_rows is None:
-        return left.join(keys, on=on, how=how)
-    hot = (left.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-           .where(F.col("__n") > hot_rows).select(*on, F.lit(True).alias("__hot")))
-    salted = left.join(F.broadcast(hot), on, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]),
-                                                F.lit(salts)).cast("int")).otherwise(F.lit(0)))
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = keys.join(F.broadcast(hot), on, "left").select(
-        *[F.col(c) for c in keys.columns], F.explode(copies).alias("__salt"))
-    return salted.join(right, on + ["__salt"], how).drop("__hot", "__salt")
+        joined = full.join(keys, on, how)
+    else:
+        sizes = full.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+        joined = salted_join(full, keys, on, how, sizes, hot_rows)
+    if how == "left_anti":
+        return joined.unionByName(left.where(null).select(*joined.columns))
+    if how == "left":
+        return joined.unionByName(left.where(null), allowMissingColumns=True)
+    return joined
 
 
 def anti_history(df: DataFrame, keys: DataFrame, on, hot_rows: int | None = None) -> DataFrame:
@@ -64,10 +102,6 @@ def anti_history(df: DataFrame, keys: DataFrame, on, hot_rows: int | None = None
     return key_join(df, keys, on, "left_anti", hot_rows)
 
 
-HOT_ROWS = 5_000_000   # a group with more rows than this is spread over SALTS join keys
-SALTS = 64
-
-
 def _group_stats(df: DataFrame, group: Sequence[str], project: str) -> DataFrame:
     p = F.col(project)
     return df.groupBy(*group).agg(
@@ -90,31 +124,13 @@ def two_group_keys(df: DataFrame, group: Sequence[str], project: str) -> DataFra
 
 
 def group_join(df: DataFrame, keys: DataFrame, group: Sequence[str], how: str,
-               hot_rows: int | None = HOT_ROWS, salts: int = SALTS) -> DataFrame:
-    """Join rows back to one-row-per-group ``keys`` (which carry the group
-    size ``__n``) without letting a hot group land in one task.
-
-    Groups with more than ``hot_rows`` rows are *hot*.  Their rows get a
-    deterministic salt (row hash modulo ``salts``) and their key row is
-    replicated once per salt, so the join on (group, salt) spreads them over
-    ``salts`` partitions; other groups use salt 0 and are not replicated.
-    The hot-group list is broadcast: it has at most rows / ``hot_rows``
-    entries.  (AQE's own skew split does not apply here, because the key side
-    arrives already partitioned by the aggregate, with no shuffle stage of
-    its own.)  ``how`` is ``left_semi``, ``left_anti`` or ``inner``.
-    """
-    group = list(group)
-    payload = [c for c in keys.columns if c not in group and c != "__n"]
+               hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Join rows back to one-row-per-group ``keys``, which carry the group
+    size ``__n`` that salts hot groups (see ``salted_join``).  ``how`` is
+    ``left_semi``, ``left_anti`` or ``inner``."""
     if hot_rows is None:
-        return df.join(keys.select(*group, *payload), group, how)
-    hot = keys.where(F.col("__n") > hot_rows).select(*group, F.lit(True).alias("__hot"))
-    salted = df.join(F.broadcast(hot), group, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
-                                                F.lit(salts)).cast("int")).otherwise(F.lit(0)))
-    copies = F.when(F.col("__n") > hot_rows, F.sequence(F.lit(0), F.lit(salts - 1))) \
-        .otherwise(F.array(F.lit(0)))
-    right = keys.select(*group, *payload, F.explode(copies).alias("__salt"))
-    return salted.join(right, group + ["__salt"], how).drop("__hot", "__salt")
+        return df.join(keys.drop("__n"), list(group), how)
+    return salted_join(df, keys.drop("__n"), group, how, keys, hot_rows)
 
 
 def seen_in_two_groups(df: DataFrame, group: Sequence[str], project: str,
@@ -127,28 +143,23 @@ def seen_in_two_groups(df: DataFrame, group: Sequence[str], project: str,
 def seen_in_two_groups_copies(df: DataFrame, group: Sequence[str], project: str,
                               copies_col: str = "copies",
                               hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """The reference's literal form joins each row to every rank-2 row of its
-    group (left join + IS NOT NULL = inner), repeating it once per rank-2 row.
+    """The original joins each row to every rank-2 row of its group (left
+    join + IS NOT NULL = inner), repeating it once per rank-2 row.
 
     Instead of materialising the repeats, each qualifying row is returned
-    once with ``copies`` = the number of rank-2 rows of its group.  Rank 2 is
-    the smallest non-NULL project when the group has NULL projects,
-    otherwise the second-smallest distinct project.
+    once with ``copies`` = the number of rank-2 rows of its group.  The rank
+    is taken over the distinct projects with their counts, so the second
+    distinct project is row 2, and Spark limits each group to two rows before
+    the shuffle: a hot group sends two rows per map task.
     """
-    p = F.col(project)
-    per_value = df.groupBy(*group, project).agg(F.count(F.lit(1)).alias("__k"))
-    first = per_value.groupBy(*group).agg(
-        F.min(p).alias("__m1"), F.max(p.isNull()).alias("__has_null"),
-        F.sum("__k").alias("__n"))
-    second = (per_value.join(first.select(*group, "__m1"), on=list(group)).where(p > F.col("__m1"))
-              .groupBy(*group).agg(F.min(p).alias("__m2")))
-    rank2 = (first.join(second, on=list(group), how="left")
-             .select(*group, "__n", F.when(F.col("__has_null"), F.col("__m1"))
-                     .otherwise(F.col("__m2")).alias(project))
-             .where(p.isNotNull()))
-    counts = rank2.join(per_value, on=list(group) + [project]).select(
-        *group, "__n", F.col("__k").alias(copies_col))
-    return group_join(df, counts, group, "inner", hot_rows)
+    per_value = df.groupBy(*group, project).agg(F.count(F.lit(1)).alias(copies_col))
+    w = Window.partitionBy(*group).orderBy(F.col(project).asc_nulls_first())
+    second = (per_value.withColumn("__rank", F.row_number().over(w)).where("__rank <= 2").where("__rank = 2")
+              .select(*group, copies_col))
+    if hot_rows is None:
+        return df.join(second, list(group), "inner")
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
+    return salted_join(df, second, group, "inner", sizes, hot_rows)
 
 
 def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataFrame,
@@ -157,7 +168,9 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
                            day: str = "update_day", duration: str = "duration_time",
                            outcome_days: int = 60, call_days: int = 14,
                            refuse_days: int = 90, max_seconds: int = 5,
-                           call_key_length: int | None = None,
+                           source_type: str = SOURCE_TYPE, update_time: str = UPDATE_TIME,
+                           call_rules: Mapping[str, object] | None = None,
+                           call_columns: Mapping[str, object] | None = None,
                            hot_rows: int | None = None) -> DataFrame:
     """New suppression rows for day ``as_of``.
 
@@ -167,44 +180,47 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
       (category, key);
     * refuse: calls of the last ``call_days`` days lasting <= ``max_seconds``
       from keys called by >= 2 projects, minus keys refused in the last
-      ``refuse_days`` days.  ``call_key_length`` keeps only calls whose key
-      text has that length (11 for mobile numbers in the original feed).
-    ``hot_rows`` salts hot keys in the history anti joins (see ``key_join``).
+      ``refuse_days`` days.
+
+    ``history`` rows count only with this ``source_type``.  ``call_rules``
+    are further arguments of ``sources.feeds.call_rows`` (times, call_sys,
+    title, key_length, floor).  ``hot_rows`` salts hot keys in the history
+    anti joins (see ``key_join``).
 
-    Output layout: key, category, project, reason, event_day, update_day
-    (= ``as_of``: the partition the rows are written to).
+    Output: every column of ``outcomes`` (calls are aligned to them;
+    ``call_columns`` gives names or columns where they differ, the rest is
+    ''), the row's own day as ``event_day``, and the partition columns
+    ``source_type``, ``update_day`` (= ``as_of``) and ``update_time``.
     """
     start = shift_day(as_of, -outcome_days)
     codes = [REASON_CHILD, REASON_SUCCESS, REASON_AGE]
     win = outcomes.where(F.col(day).between(start, as_of) & F.col(reason).isin(codes))
-    # One history pass for the three outcome reasons: distinct (key, reason)
-    # seen before today, removed with a single anti join on both columns.
-    seen = (history.where((F.col(day) < as_of) & F.col(reason).isin(codes))
-            .select(key, reason).distinct())
-    fresh = anti_history(win, seen, [key, reason], hot_rows)
-    is_age = F.col(reason) == REASON_AGE
-    two = two_group_keys(fresh.where(is_age), [category, key], project).withColumn("__two", F.lit(True))
-    # age rows must be seen in >= 2 projects; other reasons pass unchanged
-    outcomes_kept = (fresh.join(two, [category, key], "left")
-                     .where(~is_age | F.col("__two").isNotNull()).drop("__two"))
-
-    short = calls.where(F.col(day).between(shift_day(as_of, -call_days), as_of)
-                        & (int_or_null(duration) <= max_seconds))
-    if call_key_length is not None:
-        short = short.where(F.length(F.col(key).cast("string")) == call_key_length)
-    short = short.withColumn(reason, F.lit(REASON_REFUSE))
-    refused = history_keys(history, key, reason, REASON_REFUSE, day, before=as_of,
-                           since=shift_day(as_of, -refuse_days))
+    past = history.where((F.col("source_type") == source_type) & (F.col(day) < as_of))
+    # One history pass for the three outcome reasons: (key, reason) seen
+    # before today, removed with a single anti join on both columns.
+    seen = distinct_keys(past.where(F.col(reason).isin(codes)), [key, reason])
+    # age rows must also be seen in >= 2 projects; only they take that join
+    plain = anti_history(win.where(F.col(reason) != REASON_AGE), seen, [key, reason], hot_rows)
+    age = seen_in_two_groups(anti_history(win.where(F.col(reason) == REASON_AGE), seen, [key, reason], hot_rows),
+                             [category, key], project)
+
+    short = call_rows(calls, shift_day(as_of, -call_days), as_of, max_seconds, key=key, day=day,
+                      duration=duration, **(call_rules or {}))
+    refused = distinct_keys(past.where((F.col(reason) == REASON_REFUSE)
+                                       & (F.col(day) >= shift_day(as_of, -refuse_days))), [key])
     # Both refuse conditions are per key, so their order is free; the anti
     # join goes last because placed first it is pushed into both inputs of
     # the two-group rule and the refused-key set is built twice.
     refuse = anti_history(seen_in_two_groups(short, [key], project), refused, key, hot_rows)
 
-    def layout(df: DataFrame) -> DataFrame:
-        return df.select(key, category, project, reason, F.col(day).alias("event_day"),
-                         F.lit(as_of).alias("update_day"))
+    constants = {"source_type": source_type, "update_day": as_of, "update_time": update_time}
+    columns = [c for c in outcomes.columns if c not in (day, *constants)]
+
+    def layout(df: DataFrame, renames: Mapping[str, object], values: Mapping[str, object]) -> DataFrame:
+        return align(df, [*columns, "event_day", *constants], {"event_day": day, **renames}, {**constants, **values})
 
-    return union_all([layout(outcomes_kept), layout(refuse)])
+    return union_all([layout(plain, {}, {}), layout(age, {}, {}),
+                      layout(refuse, call_columns or {}, {reason: REASON_REFUSE})])
 
 
 def active_suppression_parts(filter_table: DataFrame, closed: DataFrame, as_of: str,
@@ -227,8 +243,8 @@ def active_suppression_parts(filter_table: DataFrame, closed: DataFrame, as_of:
         (r == REASON_AGE) | ((r == REASON_SUCCESS) & (d >= shift_day(as_of, -success_days))))
     refuse = anti_history(
         filter_table.where((r == REASON_REFUSE) & (d >= shift_day(as_of, -refuse_days))),
-        closed.select(key).distinct(), key, hot_rows)
-    child = anti_history(filter_table.where(r == REASON_CHILD), closed.select(key, category),
+        distinct_keys(closed, [key]), key, hot_rows)
+    child = anti_history(filter_table.where(r == REASON_CHILD), distinct_keys(closed, [key, category]),
                          [key, category], hot_rows)
     return (union_all([common.select(key), refuse.select(key)]), child.select(key, category))
 

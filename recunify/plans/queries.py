@@ -13,7 +13,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recunify.functions.blank import int_or_null, is_blank_trim
+from recunify.functions.blank import is_blank, is_blank_trim
 from recunify.functions.codes import code_of
 from recunify.functions.dates import shift_day
 from recunify.functions.ranges import range_bounds
@@ -23,12 +23,13 @@ from recunify.plans import jobs
 from recunify.session import scratch_path
 from recunify.sinks import writers
 from recunify.sources import standins as si
+from recunify.sources.feeds import SOURCE_TYPE, call_rows, outcome_rows
 from recunify.sources.readers import (align, history_keys, literal_frame, read_table, read_tiers,
                                       scan_prefix, union_all)
 
 # ---- fixed parameters of the stand-in queries ----------------------------
 CONTACTS_AS_OF = "2024-01-31"     # events cover 2024-01-01 .. 2024-01-30
-HOT_DAYS = 60                     # hot window of the dedup feeds
+HOT_DAYS = 20                     # hot window of the dedup feeds
 SPLIT_DAYS = 14                   # hot/cold split used by hot_rows/cold_rows
 CONTACT_ORDER = ("update_day", "update_time", "event_id")
 SUPPRESS_AS_OF = "2000-06-30"     # daily suppression job day (orders stand-in)
@@ -144,8 +145,9 @@ def history_keys_q(spark, d):
 
 @query(name="anti_history")
 def anti_history_q(spark, d):
-    recent = si.outcomes(spark, d).where(F.col("update_day") >= "2001-01-01").select("mobile")
-    return sp.anti_history(si.customer_contacts(spark, d), recent, "mobile")
+    refused = history_keys(si.suppression_history(spark, d), "mobile", "source", sp.REASON_REFUSE,
+                           "update_day", before="2002-01-01", source_type=SOURCE_TYPE)
+    return sp.anti_history(si.customer_contacts(spark, d), refused, "mobile")
 
 
 @query
@@ -160,25 +162,20 @@ def two_groups_repeat(spark, d):
 
 @query
 def reason_code(spark, d):
-    o = si.outcomes(spark, d)
-    titles = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
-    feed = o.where(F.col("update_day").between("1998-10-01", "1998-10-31") & F.col("title").isin(titles))
+    feed = outcome_rows(si.outcomes(spark, d), "1998-10-01", "1998-10-31", ["1-URGENT", "2-HIGH", "3-MEDIUM"],
+                        floor="1998-10-05")
     return feed.withColumn("source", code_of("title", si.REASON_BY_TITLE))
 
 
 @query
 def short_calls(spark, d):
-    c = si.calls(spark, d)
-    return c.where(F.col("update_day").between("1999-01-01", "1999-01-14")
-                   & (int_or_null("duration_time") <= 5))
+    return call_rows(si.calls(spark, d), "1999-01-01", "1999-01-14", 5, key_length=3)
 
 
 @query
 def suppression_candidates(spark, d):
-    o = si.outcomes(spark, d)
-    start = shift_day(SUPPRESS_AS_OF, -60)
-    history = o.where(F.col("update_day") < start)   # earlier suppression rows
-    return sp.suppression_candidates(o, history, si.calls(spark, d), SUPPRESS_AS_OF)
+    return sp.suppression_candidates(si.outcomes(spark, d), si.suppression_history(spark, d), si.calls(spark, d),
+                                     SUPPRESS_AS_OF)
 
 
 @query
@@ -200,6 +197,7 @@ def segment_rules(spark, d):
 
 @query
 def segment_rules_join(spark, d):
+    """The same targets rule by rule."""
     return _segments(spark, d, how="join")
 
 
@@ -210,8 +208,9 @@ def _all_target_suppression(spark, d):
 
 @query
 def suppress_segment(spark, d):
-    segs = _segments(spark, d).join(si.target_categories(spark), "targettable", "left")
-    return sp.suppress(segs, _all_target_suppression(spark, d)).drop("category")
+    segs = _segments(spark, d)
+    with_category = segs.join(si.target_categories(spark), "targettable", "left")
+    return sp.suppress(with_category, _all_target_suppression(spark, d)).select(*segs.columns)
 
 
 @query
@@ -234,7 +233,8 @@ def publish_segments(spark, d):
 
 @query
 def targets(spark, d):
-    instructs = read_table(spark, d, "part").select(F.col("p_type").alias("targettable"))
+    instructs = read_table(spark, d, "part").select(F.col("p_brand").alias("targetdatabase"),
+                                                    F.col("p_type").alias("targettable"))
     return catalog.targets(instructs, "A|P", exclude=["LARGE"])
 
 
@@ -253,8 +253,17 @@ def render_ddl(spark, d):
 def seed_columns(spark, d):
     cols = si.column_metadata(spark, d)
     template = cols.where(F.col("dbtable") == "dw_cust.cust_0")
-    tables = catalog.with_dbtable(si.table_metadata(spark, d)).select("dbtable")
-    return catalog.seed_columns(template, tables)
+    tables = catalog.with_dbtable(si.table_metadata(spark, d)).select("dbtable", "tablename")
+    return catalog.seed_columns(template, tables, exclude=["cust_1", "dw_cust.cust_2"])
+
+
+@query
+def seed_columns_written(spark, d):
+    """K5: the seeded metadata written as one partition per table and read again."""
+    path = scratch_path(spark, "seed_columns")
+    seeded = seed_columns(spark, d)
+    catalog.write_column_metadata(seeded, path)
+    return writers.read_partitions(spark, path, seeded.schema)
 
 
 # ---------------------------------------------------------------- report / layout
@@ -296,10 +305,15 @@ def archive_cold(spark, d):
     c = _contacts(spark, d)
     behavior = c.where(F.col("source_type").isin("view", "click"))
     testing = c.where(F.col("source_type").isin("signup", "error", "purchase"))
+    # range text with one bound, two bounds or none; the feed has bounds of its own
+    text = F.when(is_blank(F.col("attr_b")) | (F.col("event_id") % 2 == 0), F.col("attr_b")).otherwise(
+        F.concat("attr_b", F.lit("~"), F.col("contact_id").cast("string"), F.lit("yrs")))
+    testing = testing.withColumns({"age_text": text, "age_start": F.substring("update_day", 9, 2),
+                                   "age_end": F.lit("99")})
     feeds = [
         {"df": behavior, "renames": {"mobile": "contact_id"}},
         {"df": testing, "renames": {"mobile": "contact_id", "age": "attr_b"},
-         "range": ("attr_b", "age_start", "age_end")},
+         "range": ("age_text", "age_start", "age_end")},
     ]
     return jobs.archive_cold(feeds, WAREHOUSE_LAYOUT, CONTACTS_AS_OF, SPLIT_DAYS)
 
@@ -318,11 +332,28 @@ def overwrite_full(spark, d):
 @query
 def overwrite_partitions(spark, d):
     path = scratch_path(spark, "overwrite_partitions")
-    c = _contacts(spark, d)
-    writers.overwrite_partitions(c, path, ["source_type"])
-    newer = c.where(F.col("source_type").isin("click", "view") & ~is_blank_trim("attr_a"))
-    writers.overwrite_partitions(newer, path, ["source_type"], files_per_partition=2)
-    return spark.read.parquet(path)
+    half_day = F.when(F.substring("update_time", 1, 2) < "12", F.lit("00_00_00")).otherwise(F.lit("12_00_00"))
+    c = _contacts(spark, d).withColumn("update_time", half_day)
+    partitions = ["source_type", "update_day", "update_time"]
+    writers.overwrite_partitions(c, path, partitions, rows_per_file=1000)
+    newer = c.where(F.col("source_type").isin("click", "view") & (F.col("update_day") >= "2024-01-20")
+                    & ~is_blank_trim("attr_a"))
+    writers.overwrite_partitions(newer, path, partitions, manifest=("dw.contacts", f"{path}-manifest"))
+    return writers.read_partitions(spark, path, c.schema)
+
+
+@query
+def manifest_written(spark, d):
+    """K3 with K2: the statements written beside a partition overwrite."""
+    path = scratch_path(spark, "manifest_written")
+    writers.overwrite_partitions(_contacts(spark, d), path, ["source_type"], manifest=("dw.contacts", f"{path}-manifest"))
+    return spark.read.text(f"{path}-manifest").withColumnRenamed("value", "partition")
+
+
+@query
+def stage_round_trip(spark, d):
+    """The golden record staged in the shared folder and read again."""
+    return writers.stage(golden_record(spark, d), "golden", how="parquet")
 
 
 # ---------------------------------------------------------------- feed / metadata-driven
@@ -339,7 +370,10 @@ def outcome_feed(spark, d):
 
 @query
 def column_map(spark, d):
-    return catalog.column_map(si.column_metadata(spark, d), "dw_cust.cust_1")
+    # a rename onto an excluded name stays: the warehouse names decide
+    meta = si.column_metadata(spark, d)
+    renamed = F.when(F.col("buiscolrank").cast("int") % 7 == 3, F.lit("mobile")).otherwise(F.col("buiscolname"))
+    return catalog.column_map(meta.withColumn("buiscolname", renamed), "dw_cust.cust_1")
 
 
 def _contact_column_meta(spark):

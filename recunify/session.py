@@ -47,7 +47,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting one only if none is set."""
+    """Return the shared checkpoint folder; in local mode one is made if none is set."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="recunify-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -15,23 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
-
-
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table ``<sf_dir>/<name>.parquet``.
-
-    One DataFrame per (application, path) is reused, so a job that reads a
-    table several times lists its files and reads its footers once (the
-    inputs are immutable for the life of a job).
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    k = (spark.sparkContext.applicationId, path)
-    df = _READS.get(k)
-    if df is None:
-        df = spark.read.parquet(path)
-        _READS[k] = df
-    return df
+    """Parquet table ``<sf_dir>/<name>.parquet``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def scan_prefix(df: DataFrame, column: str, prefix: str) -> DataFrame:
@@ -57,19 +43,28 @@ def read_tiers(df: DataFrame, column: str, tiers: Mapping[int, Sequence[str]],
     """Union of the prefix scans of every tier, tagged with its tier.
 
     Written as one scan with an OR of prefixes and a CASE tag instead of
-    one scan per prefix: the same rows, one pass over the input.
+    one scan per prefix: the same rows, one pass over the input.  A prefix
+    that starts another one would put a row into both scans; such tiers are
+    refused.
     """
-    prefixes = [p for ps in tiers.values() for p in ps]
+    prefixes = sorted(p for ps in tiers.values() for p in ps)
+    for a, b in zip(prefixes, prefixes[1:]):  # in order, a prefix stands right before what it starts
+        if b.startswith(a):
+            raise ValueError(f"prefix {a!r} also matches {b!r}")
     cond = reduce(or_, [F.col(column).startswith(p) for p in prefixes])
     return df.where(cond).withColumn(tier_col, tier_of(column, tiers))
 
 
 def history_keys(df: DataFrame, key: str, reason_col: str, reason: str,
-                 day_col: str, before: str, since: str | None = None) -> DataFrame:
-    """Distinct keys recorded for ``reason`` with ``since <= day < before``."""
+                 day_col: str, before: str, since: str | None = None,
+                 source_type: str | None = None) -> DataFrame:
+    """Distinct keys recorded for ``reason`` with ``since <= day < before``, by
+    rows of one ``source_type`` where it is given (S5)."""
     cond = (F.col(reason_col) == reason) & (F.col(day_col) < before)
     if since is not None:
         cond = cond & (F.col(day_col) >= since)
+    if source_type is not None:
+        cond = cond & (F.col("source_type") == source_type)
     return df.where(cond).select(key).distinct()
 
 

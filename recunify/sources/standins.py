@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from recunify.functions.codes import code_of
 from recunify.functions.dates import day_of, time_of
+from recunify.sources.feeds import SOURCE_TYPE
 from recunify.sources.readers import literal_frame, read_table
 
 # ---- fixed values -------------------------------------------------------
@@ -33,14 +34,17 @@ CLOSED_DEAL_TITLE = "3-MEDIUM"
 # Source families -> tiers of the golden record (higher tier wins).
 CONTACT_TIERS = {1: ("signup", "error"), 2: ("view", "click"), 3: ("purchase",)}
 
-# Segment rules: (source pattern, minage, maxage, minparentage, maxparentage, target).
+# Segment rules: (source pattern, minage, maxage, minparentage, maxparentage, database, target).
+# seg.t1 and seg2.t1 are different targets.
 SEGMENT_RULES = [
-    ("S%", "5", "8", "30", "33", "t1"),
-    ("P%", "1", "3", "", "", "t1"),
-    ("E%", "", "", "", "", "t2"),
-    ("M%", "", "", "15", "18", "t2"),
-    ("L%", "4", "", "", "", "t3"),
-    ("L%", "x", " 3 ", "", "", "t4"),
+    ("S%", "5", "8", "30", "33", "seg", "t1"),
+    ("P%", "1", "3", "", "", "seg", "t1"),
+    ("E%", "", "", "", "", "seg", "t2"),
+    ("M%", "", "", "15", "18", "seg", "t2"),
+    ("L%", "4", "", "", "", "seg", "t3"),
+    ("L%", "x", " 3 ", "", "", "seg", "t4"),
+    ("%M_LL", "2", "9", "", "", "seg2", "t1"),
+    ("%O%", "", "", "20", "30", "seg2", "t1"),
 ]
 # Target table -> category (the category a target's child suppression uses).
 TARGET_CATEGORY = [("t1", "F"), ("t2", "O"), ("t3", "P"), ("t4", "F")]
@@ -88,8 +92,8 @@ def segment_rules(spark: SparkSession) -> DataFrame:
     return literal_frame(
         spark, SEGMENT_RULES,
         "source string, minage string, maxage string, minparentage string, "
-        "maxparentage string, targettable string",
-    ).withColumn("targetdatabase", F.lit("seg"))
+        "maxparentage string, targetdatabase string, targettable string",
+    )
 
 
 def target_categories(spark: SparkSession) -> DataFrame:
@@ -131,6 +135,20 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def suppression_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppression-table stand-in from ``lineitem``, uncut: every line is an
+    earlier suppression row of customer ``l_partkey``; its flag and status
+    play the reason, first lines belong to the outcome feed's family."""
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    return read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("mobile"),
+        F.when(flag == "R", F.lit(REASON_CHILD)).when(flag == "A", F.lit(REASON_SUCCESS))
+        .when(status == "O", F.lit(REASON_AGE)).otherwise(F.lit(REASON_REFUSE)).alias("source"),
+        F.when(F.col("l_linenumber") == 1, F.lit(SOURCE_TYPE)).otherwise(F.lit("BEHAVIOR_visit")).alias("source_type"),
+        day_of("l_shipdate").alias("update_day"),
+    )
+
+
 def closed_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed-deal stand-in: (customer, status) of 3-MEDIUM orders."""
     o = read_table(spark, sf_dir, "orders")
@@ -181,14 +199,17 @@ def table_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def column_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column-metadata stand-in (``metadata_col_type`` layout): each order is
-    a column of its customer's table, ranked by order key."""
+    a column of its customer's table, ranked by order key (as text).  Some
+    warehouse names are those that a column map leaves out."""
     o = read_table(spark, sf_dir, "orders")
-    name = F.concat(F.lit("o_"), F.col("o_orderkey").cast("string"))
+    key = F.col("o_orderkey")
+    name = F.concat(F.lit("o_"), key.cast("string"))
     return o.select(
         F.concat(F.lit("dw_cust.cust_"), F.col("o_custkey").cast("string")).alias("dbtable"),
-        name.alias("dswhcolname"),
+        F.when(key % 7 == 0, F.lit("mobile")).when(key % 7 == 1, F.lit("source"))
+        .when(key % 7 == 2, F.lit("source_type")).otherwise(name).alias("dswhcolname"),
         name.alias("buiscolname"),
         F.lit("string").alias("buiscoltype"),
         F.col("o_orderpriority").alias("buiscolcomment"),
-        F.col("o_orderkey").alias("buiscolrank"),
+        key.cast("string").alias("buiscolrank"),
     )

@@ -18,7 +18,7 @@ def test_rendered_ddl_creates_tables(spark):
     ddl = catalog.render_ddl(tables, si.column_metadata(spark, SF001), root=root, dialect="spark")
     assert catalog.create_tables(spark, ddl) == 3
     cols = [c.name for c in spark.catalog.listColumns("dw_cust.cust_1")]
-    ranks = sorted((r.buiscolrank, r.buiscolname) for r in si.column_metadata(spark, SF001)
+    ranks = sorted((int(r.buiscolrank), r.buiscolname) for r in si.column_metadata(spark, SF001)
                    .where("dbtable = 'dw_cust.cust_1'").collect())
     assert cols == [n for _, n in ranks] and len(cols) > 1
     spark.sql("DROP DATABASE dw_cust CASCADE")
@@ -42,17 +42,21 @@ def test_comment_with_separators_keeps_column(spark):
 def test_write_segments_per_target(spark):
     root = scratch_path(spark, "segments")
     pub = QUERIES["publish_segments"](spark, SF001)
-    sg.write_segments(pub, root, files_per_target=2)
+    sg.write_segments(pub, root, rows_per_file=50)
     back = spark.read.parquet(root)
     assert back.count() == pub.count()
-    targets = sorted(d for d in os.listdir(root.replace("file:", "")) if d.startswith("targettable="))
-    assert targets == sorted(f"targettable={r.targettable}" for r in pub.select("targettable").distinct().collect())
-    # a later run that only produced t1 leaves the other targets' rows in place
+    top = root.replace("file:", "")
+    targets = {(db, t) for db in os.listdir(top) if "=" in db for t in os.listdir(f"{top}/{db}") if "=" in t}
+    assert targets == {(f"targetdatabase={r.targetdatabase}", f"targettable={r.targettable}") for r in pub.collect()}
+    # a later run that evaluated t1 and t2 and selected one row of t1: t2 is cleared, the others stay
     t1 = pub.where(F.col("targettable") == "t1").limit(1)
-    sg.write_segments(t1, root)
+    names = pub.select("targetdatabase", "targettable").distinct()
+    sg.write_segments(t1, root, evaluated=names.where("targettable in ('t1', 't2')"))
     back2 = spark.read.parquet(root)
     assert back2.where("targettable = 't1'").count() == 1
-    assert back2.where("targettable <> 't1'").count() == pub.where("targettable <> 't1'").count()
+    assert back2.where("targettable = 't2'").count() == 0 < pub.where("targettable = 't2'").count()
+    rest = "targettable not in ('t1', 't2')"
+    assert back2.where(rest).count() == pub.where(rest).count()
 
 
 def test_seed_and_write_column_metadata(spark):
@@ -62,5 +66,16 @@ def test_seed_and_write_column_metadata(spark):
     back = spark.read.parquet(path)
     n_tables = si.table_metadata(spark, SF001).count()
     n_template = si.column_metadata(spark, SF001).where("dbtable = 'dw_cust.cust_0'").count()
-    assert back.count() == n_tables * n_template
-    assert back.select("dbtable").distinct().count() == n_tables
+    assert back.count() == (n_tables - 1) * n_template      # cust_1 is excluded by its name, in any database
+    assert back.select("dbtable").distinct().count() == n_tables - 1
+
+
+def test_column_map_excludes_warehouse_names(spark):
+    cols = spark.createDataFrame(
+        [("d.t", "mobile", "phone", "string", "c", "2"), ("d.t", "tel2", "mobile", "string", "c", "10"),
+         ("d.t", "source", "s", "string", "c", "1"), ("d.t", "city", "city", "string", "c", "9"),
+         ("d.t", "source_type", "st", "string", "c", "3"), ("d.u", "x", "x", "string", "c", "1")],
+        "dbtable string, dswhcolname string, buiscolname string, buiscoltype string, buiscolcomment string, buiscolrank string")
+    assert [tuple(r) for r in catalog.column_map(cols, "d.t").collect()] == [("city", "city", "9"), ("tel2", "mobile", "10")]
+    assert [x.split()[0] for x in catalog.column_ddl(cols.where("dbtable = 'd.t'")).first().cols.split("\n")] == [
+        "s", "phone", "st", "city", "mobile"]

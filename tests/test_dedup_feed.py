@@ -34,5 +34,5 @@ def test_outcome_feed_drops_padded_titles(spark):
                              ["mobile", "user_name", "title", "source", "source_type", "update_day", "update_time"])
     rows = [r.asDict() for r in feed.collect()]
     assert rows == [{"mobile": 1, "user_name": "", "title": "1-URGENT", "source": "customer_filter_child",
-                     "source_type": jobs.OUTCOME_SOURCE_TYPE, "update_day": "2024-04-01",
-                     "update_time": jobs.OUTCOME_TIME}]
+                     "source_type": jobs.SOURCE_TYPE, "update_day": "2024-04-01",
+                     "update_time": jobs.UPDATE_TIME}]

@@ -29,10 +29,9 @@ def test_survey_prototype_counts(spark):
     # counts the survey prototyped independently at sf0.01
     expect = {"scan_prefix": 1981, "tier_union": 7986, "fill_any": 150, "fill_latest": 150,
               "golden_record": 150, "latest_dedup": 750, "hot_rows": 4680, "cold_rows": 5320,
-              "align_layout": 11500, "range_text": 2000, "reason_code": 109, "short_calls": 40,
-              "anti_history": 615, "two_groups": 13978, "segment_rules": 1061,
-              "prefix_fill": 1500, "drop_blank": 5333, "ingest_report": 5, "targets": 3,
-              "partition_manifest": 150, "overwrite_full": 2006, "overwrite_partitions": 8171}
+              "align_layout": 11500, "range_text": 2000, "two_groups": 13978,
+              "prefix_fill": 1500, "drop_blank": 5333, "ingest_report": 5,
+              "partition_manifest": 150, "overwrite_full": 2006}
     for name, n in expect.items():
         assert QUERIES[name](spark, SF01).count() == n, name
 

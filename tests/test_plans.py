@@ -26,9 +26,15 @@ def test_golden_record_single_shuffle(spark):
     assert _exchanges(p) == 1, p
 
 
-def test_segment_rules_has_no_shuffle_and_stays_in_codegen(spark):
-    p = _plan(QUERIES["segment_rules"](spark, SF001), "simple")
-    assert "Exchange" not in p and "*(1) Generate" in p, p
+@pytest.mark.parametrize("name", ["segment_rules", "segment_rules_join", "publish_segments", "seed_columns"])
+def test_rules_meet_rows_by_equi_joins(spark, name):
+    p = _plan(QUERIES[name](spark, SF001), "simple")
+    assert "NestedLoop" not in p and "Cartesian" not in p, p
+
+
+def test_two_group_copies_limit_each_group_before_the_shuffle(spark):
+    p = _plan(QUERIES["two_groups_repeat"](spark, SF001), "simple")
+    assert p.count("WindowGroupLimit") >= 2, p
 
 
 def test_latest_dedup_uses_partial_group_limit(spark):

@@ -74,9 +74,11 @@ def test_active_suppression_precedence(spark):
 
 
 def test_candidates_refuse_branch_fixture(spark):
-    out_schema = "mobile string, category string, project string, source string, update_day string"
+    out_schema = "mobile string, category string, project string, source string, update_day string, age string"
     empty_outcomes = spark.createDataFrame([], out_schema)
-    history = spark.createDataFrame([("13900000003", "c", "p", sp.REASON_REFUSE, "2024-03-01")], out_schema)
+    history = spark.createDataFrame([("13900000003", sp.REASON_REFUSE, sp.SOURCE_TYPE, "2024-03-01"),
+                                     ("13900000001", sp.REASON_REFUSE, "OTHER", "2024-03-01")],
+                                    "mobile string, source string, source_type string, update_day string")
     calls = spark.createDataFrame([
         ("13900000001", "c", "p1", "3", "2024-04-25"),
         ("13900000001", "c", "p2", "4", "2024-04-26"),    # two projects, short: kept
@@ -89,9 +91,49 @@ def test_candidates_refuse_branch_fixture(spark):
         ("13900000005", "c", "p1", "", "2024-04-25"),
         ("13900000005", "c", "p2", "2", "2024-04-26"),    # '' duration is not a number: one project
     ], "mobile string, category string, project string, duration_time string, update_day string")
-    got = sp.suppression_candidates(empty_outcomes, history, calls, "2024-04-30", call_key_length=11)
+    got = sp.suppression_candidates(empty_outcomes, history, calls, "2024-04-30", call_rules={"key_length": 11})
     assert sorted((r.mobile, r.project) for r in got.collect()) == [("13900000001", "p1"), ("13900000001", "p2")]
-    assert {r.update_day for r in got.collect()} == {"2024-04-30"}
+    assert {(r.update_day, r.source_type, r.update_time, r.age) for r in got.collect()} == {
+        ("2024-04-30", sp.SOURCE_TYPE, sp.UPDATE_TIME, "")}
+
+
+def test_feed_rules(spark):
+    from recunify.sources.feeds import call_rows, outcome_rows
+    o = spark.createDataFrame([(1, "201801", "mongo", "2018-01-05", "a"), (2, "201801", "x", "2018-01-05", "a"),
+                               (3, "201712", "mongo", "2018-01-05", "a"), (4, "201801", "mongo", "2018-01-02", "a"),
+                               (5, "201801", "mongo", "2018-01-05", "b")],
+                              "id int, month string, call_sys string, update_day string, title string")
+    ids = lambda df: sorted(r.id for r in df.collect())
+    assert ids(outcome_rows(o, "2018-01-01", "2018-01-31", ["a"])) == [1, 2, 3, 4]
+    assert ids(outcome_rows(o, "2018-01-01", "2018-01-31", ["a"], month="month", call_sys="mongo", floor="2018-01-03")) == [1]
+    c = spark.createDataFrame([(1, "13900000001", "3", "8", "mongo", "t"), (2, "13900000001", "3", "7", "mongo", "t"),
+                               (3, "13900000001", "3", "8", "x", "t"), (4, "13900000001", "3", "8", "mongo", "u"),
+                               (5, "139", "3", "8", "mongo", "t"), (6, "13900000001", "6", "8", "mongo", "t"),
+                               (7, "13900000001", "x", "8", "mongo", "t")],
+                              "id int, mobile string, duration_time string, times string, call_sys string, "
+                              "comments_title string").withColumn("update_day", F.lit("2018-01-05"))
+    assert ids(call_rows(c, "2018-01-01", "2018-01-31", 5)) == [1, 2, 3, 4, 5]
+    assert ids(call_rows(c, "2018-01-01", "2018-01-31", 5, times="8", call_sys="mongo", title="t", key_length=11)) == [1]
+    assert ids(call_rows(c, "2018-01-01", "2018-01-31", 5, floor="2018-01-06")) == []
+
+
+def test_hot_and_null_keys_match_the_plain_join(spark):
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 10 < 3, F.lit("hot")).when(F.col("id") % 10 < 6, F.lit(None))
+        .otherwise((F.col("id") % 997).cast("string")).alias("k"), F.col("id"))
+    keys = rows.where("id % 5 = 0").withColumn("x", F.col("id"))
+    few = sp.distinct_keys(keys, ["k"])
+    assert few.count() <= sp.SPREAD * keys.select("k").distinct().count() < keys.count()
+    plain = rows.join(keys.select("k").distinct(), "k", "left_anti").agg(F.count("*"), F.sum("id")).first()
+    for hot in (None, 1000):
+        assert sp.anti_history(rows, few, "k", hot).agg(F.count("*"), F.sum("id")).first() == plain
+    # the join keeps an exchange of its own on the key side, which adaptive execution needs to split a hot key
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sp.anti_history(rows, few, "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(k") >= 2, plan
 
 
 def test_salted_key_join_equals_plain_join(spark):
@@ -112,7 +154,7 @@ def test_composites_with_salting_match(spark):
     from recunify.sources import standins as si
     from conftest import SF01
     o, c, cl = si.outcomes(spark, SF01), si.calls(spark, SF01), si.closed_deals(spark, SF01)
-    hist = o.where(F.col("update_day") < "2000-05-01")
+    hist = si.suppression_history(spark, SF01)
     a = sp.suppression_candidates(o, hist, c, "2000-06-30")
     b = sp.suppression_candidates(o, hist, c, "2000-06-30", hot_rows=5)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
