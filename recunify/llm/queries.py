@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recunify.llm import decontam, jaccard, langid, licenses, lines, pieces, secret_scan, substring, toxicity, urls
+from recunify.llm.sql import SQL  # noqa: F401  (registered beside QUERIES)
 from recunify.llm.store import stage
 
 
@@ -70,6 +71,3 @@ def op10_decontamination(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_sentencepiece, op3_url_filter, op4_language_id, op5_jaccard_join, op6_quality_rules,
     op7_toxicity, op8_secret_scan, op9_license_scan, op10_decontamination)}
-
-#: DuckDB SQL of the queries that SQL can express; the others are tested against brute force.
-SQL: dict[str, str] = {"op3_url_filter": urls.SQL}
