@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recunify.functions.blank import int_or_null, is_blank_trim, is_int_text
-from recunify.operators.suppression import distinct_keys, key_join, suppress
+from recunify.operators.suppression import key_join, suppress
 
 RULE_FIELDS = ("source", "minage", "maxage", "minparentage", "maxparentage")
 TARGET = ("targetdatabase", "targettable")
@@ -197,5 +197,5 @@ def write_segments(df: DataFrame, root: str, evaluated: DataFrame | None = None,
     target = target_columns(df, target_col)
     overwrite_partitions(df, root, target, rows_per_file=rows_per_file)
     if evaluated is not None:
-        empty = evaluated.select(*target).distinct().join(distinct_keys(df.select(*target), target), target, "left_anti")
+        empty = evaluated.select(*target).distinct().join(df.select(*target).distinct(), target, "left_anti")
         drop_partitions(df.sparkSession, root, [r.asDict() for r in empty.collect()])  # one row per target at most

@@ -19,7 +19,7 @@ from functools import reduce
 from operator import or_
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recunify.functions.dates import shift_day
@@ -34,24 +34,8 @@ REASON_REFUSE = "customer_filter_refuse"
 # ------------------------------------------------------------------------
 
 
-# A key with more rows than this is hot: its rows are spread over one join key
-# for each HOT_ROWS of them.
-HOT_ROWS = 5_000_000
-# Copies of one key that ``distinct_keys`` may leave.
-SPREAD = 8
-
-
-def distinct_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
-    """The keys of ``df`` for a semi or anti join: each at most ``SPREAD`` times.
-
-    A plain ``distinct`` leaves its result partitioned by the key, so Spark
-    puts no exchange between it and the join, and adaptive execution cannot
-    split a hot key of the other side.  De-duplicating by (key, part of the
-    row's hash) keeps the map-side reduction and leaves the join an exchange
-    of its own.  Copies of a key change nothing in a semi or anti join.
-    """
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SPREAD))
-    return df.select(*on, part.alias("__part")).distinct().select(*on)
+# Join keys over which rows with a NULL key are spread.
+NULL_SALTS = 1024
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
@@ -62,38 +46,43 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
     a key with n > ``hot_rows`` rows gets ceil(n / hot_rows) salts: its left
     rows take one by a hash of the row, its right rows are copied to each.
     The list of hot keys has at most rows / ``hot_rows`` entries; Spark
-    broadcasts it if its measured size allows.
+    broadcasts it if its measured size allows.  NULL keys are spread as in
+    ``key_join``.
     """
     on = list(on)
     hot = sizes.where(F.col("__n") > hot_rows).select(*on, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__salts"))
     many = F.coalesce("__salts", F.lit(1))
     row = F.xxhash64(*[F.col(c) for c in left.columns])
-    a = left.join(hot, on, "left").withColumn("__salt", F.pmod(row, many).cast("int")).drop("__salts")
+    salt = F.when(_any_null(on), F.pmod(row, F.lit(NULL_SALTS))).otherwise(F.pmod(row, many))
+    a = left.join(hot, on, "left").withColumn("__salt", salt.cast("int")).drop("__salts")
     b = right.join(hot, on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), many - 1))).drop("__salts")
     return a.join(b, on + ["__salt"], how).drop("__salt")
 
 
+def _any_null(on: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(c).isNull() for c in on])
+
+
 def key_join(left: DataFrame, keys: DataFrame, on, how: str, hot_rows: int | None = None) -> DataFrame:
     """``left.join(keys, on, how)`` for ``left_semi``, ``left_anti``, ``inner`` and ``left``.
 
-    Rows of ``left`` with a NULL key match nothing; they stay out of the
-    shuffle and come back by a union where the join keeps them.  Hot keys are
-    left to adaptive execution (see ``distinct_keys``), or, with ``hot_rows``,
-    counted and salted (see ``salted_join``).
+    Rows of ``left`` with a NULL key match nothing, but would all go to one
+    partition; a second join column (0 for every other row) spreads them.  As
+    no side is partitioned by both columns beforehand, also not one that comes
+    from an aggregation by the key, each gets an exchange of its own, and
+    adaptive execution can split a hot key of ``left``.  With ``hot_rows``,
+    hot keys are counted and salted instead (see ``salted_join``).
     """
     on = [on] if isinstance(on, str) else list(on)
-    null = reduce(or_, [F.col(c).isNull() for c in on])
-    full = left.where(~null)
-    if hot_rows is None:
-        joined = full.join(keys, on, how)
-    else:
-        sizes = full.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-        joined = salted_join(full, keys, on, how, sizes, hot_rows)
-    if how == "left_anti":
-        return joined.unionByName(left.where(null).select(*joined.columns))
-    if how == "left":
-        return joined.unionByName(left.where(null), allowMissingColumns=True)
-    return joined
+    if hot_rows is not None:
+        sizes = left.where(~_any_null(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+        return salted_join(left, keys, on, how, sizes, hot_rows)
+    row = F.xxhash64(*[F.col(c) for c in left.columns])
+    salt = F.when(_any_null(on), F.pmod(row, F.lit(NULL_SALTS))).otherwise(F.lit(0))
+    # always 0, but no literal: the optimiser would move that out of the join keys
+    zero = F.pmod(F.xxhash64(*on), F.lit(1))
+    return (left.withColumn("__salt", salt.cast("int"))
+            .join(keys.withColumn("__salt", zero.cast("int")), on + ["__salt"], how).drop("__salt"))
 
 
 def anti_history(df: DataFrame, keys: DataFrame, on, hot_rows: int | None = None) -> DataFrame:
@@ -124,17 +113,19 @@ def two_group_keys(df: DataFrame, group: Sequence[str], project: str) -> DataFra
 
 
 def group_join(df: DataFrame, keys: DataFrame, group: Sequence[str], how: str,
-               hot_rows: int | None = HOT_ROWS) -> DataFrame:
+               hot_rows: int | None = None) -> DataFrame:
     """Join rows back to one-row-per-group ``keys``, which carry the group
-    size ``__n`` that salts hot groups (see ``salted_join``).  ``how`` is
-    ``left_semi``, ``left_anti`` or ``inner``."""
+    size ``__n``.  ``how`` is ``left_semi``, ``left_anti`` or ``inner``.
+
+    Hot groups are left to adaptive execution (see ``key_join``), or, with
+    ``hot_rows``, salted by their size (see ``salted_join``)."""
     if hot_rows is None:
-        return df.join(keys.drop("__n"), list(group), how)
+        return key_join(df, keys.drop("__n"), list(group), how)
     return salted_join(df, keys.drop("__n"), group, how, keys, hot_rows)
 
 
 def seen_in_two_groups(df: DataFrame, group: Sequence[str], project: str,
-                       hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                       hot_rows: int | None = None) -> DataFrame:
     """Rows of ``df`` whose group holds >= 2 distinct projects (one copy each)."""
     keys = _two(_group_stats(df, group, project)).select(*group, "__n")
     return group_join(df, keys, group, "left_semi", hot_rows)
@@ -142,7 +133,7 @@ def seen_in_two_groups(df: DataFrame, group: Sequence[str], project: str,
 
 def seen_in_two_groups_copies(df: DataFrame, group: Sequence[str], project: str,
                               copies_col: str = "copies",
-                              hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                              hot_rows: int | None = None) -> DataFrame:
     """The original joins each row to every rank-2 row of its group (left
     join + IS NOT NULL = inner), repeating it once per rank-2 row.
 
@@ -157,7 +148,7 @@ def seen_in_two_groups_copies(df: DataFrame, group: Sequence[str], project: str,
     second = (per_value.withColumn("__rank", F.row_number().over(w)).where("__rank <= 2").where("__rank = 2")
               .select(*group, copies_col))
     if hot_rows is None:
-        return df.join(second, list(group), "inner")
+        return key_join(df, second, list(group), "inner")
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
     return salted_join(df, second, group, "inner", sizes, hot_rows)
 
@@ -198,7 +189,7 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
     past = history.where((F.col("source_type") == source_type) & (F.col(day) < as_of))
     # One history pass for the three outcome reasons: (key, reason) seen
     # before today, removed with a single anti join on both columns.
-    seen = distinct_keys(past.where(F.col(reason).isin(codes)), [key, reason])
+    seen = past.where(F.col(reason).isin(codes)).select(key, reason).distinct()
     # age rows must also be seen in >= 2 projects; only they take that join
     plain = anti_history(win.where(F.col(reason) != REASON_AGE), seen, [key, reason], hot_rows)
     age = seen_in_two_groups(anti_history(win.where(F.col(reason) == REASON_AGE), seen, [key, reason], hot_rows),
@@ -206,8 +197,8 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
 
     short = call_rows(calls, shift_day(as_of, -call_days), as_of, max_seconds, key=key, day=day,
                       duration=duration, **(call_rules or {}))
-    refused = distinct_keys(past.where((F.col(reason) == REASON_REFUSE)
-                                       & (F.col(day) >= shift_day(as_of, -refuse_days))), [key])
+    refused = past.where((F.col(reason) == REASON_REFUSE)
+                         & (F.col(day) >= shift_day(as_of, -refuse_days))).select(key).distinct()
     # Both refuse conditions are per key, so their order is free; the anti
     # join goes last because placed first it is pushed into both inputs of
     # the two-group rule and the refused-key set is built twice.
@@ -243,8 +234,8 @@ def active_suppression_parts(filter_table: DataFrame, closed: DataFrame, as_of:
         (r == REASON_AGE) | ((r == REASON_SUCCESS) & (d >= shift_day(as_of, -success_days))))
     refuse = anti_history(
         filter_table.where((r == REASON_REFUSE) & (d >= shift_day(as_of, -refuse_days))),
-        distinct_keys(closed, [key]), key, hot_rows)
-    child = anti_history(filter_table.where(r == REASON_CHILD), distinct_keys(closed, [key, category]),
+        closed.select(key).distinct(), key, hot_rows)
+    child = anti_history(filter_table.where(r == REASON_CHILD), closed.select(key, category).distinct(),
                          [key, category], hot_rows)
     return (union_all([common.select(key), refuse.select(key)]), child.select(key, category))
 

@@ -64,7 +64,7 @@ SUPPRESSION_PARTITIONS = ("source_type", "update_day", "update_time")
 
 def daily_suppression_job(spark, outcomes: DataFrame, calls: DataFrame, filter_path: str,
                           as_of: str, source_type: str = SOURCE_TYPE, update_time: str = UPDATE_TIME,
-                          hot_rows: int | None = suppression.HOT_ROWS, **params) -> int:
+                          hot_rows: int | None = None, **params) -> int:
     """3.2 (suppression part): compute day ``as_of``'s new suppression rows
     and write them as one (source_type, update_day, update_time) partition of
     the table at ``filter_path``, which is also the history the job reads.
@@ -181,7 +181,7 @@ def daily_update_job(spark, as_of: str, outcomes: DataFrame, calls: DataFrame,
 def segment_publish_job(golden: DataFrame, rules: DataFrame, target_categories: DataFrame,
                         filter_table: DataFrame, closed: DataFrame, dim: DataFrame,
                         dim_key_expr, as_of: str, root: str, pattern: str = "",
-                        rows_per_file: int | None = None, hot_rows: int | None = suppression.HOT_ROWS) -> DataFrame:
+                        rows_per_file: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """3.3 end to end: the rows of every target that matches ``pattern``, one
     folder per target, each replaced (also by nothing).  Returns the targets
     that failed for want of a category; their folders stay as they are."""
