@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recunify.llm.store import split_join
+
 
 def components(edges: DataFrame, stage, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of an edge; root is the smallest node of its component.
@@ -20,10 +22,10 @@ def components(edges: DataFrame, stage, a: str = "a", b: str = "b") -> DataFrame
     mark = None
     while mark != (mark := _mark(now)) and mark[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = (both.join(_smallest(both), "a").filter(F.col("b") > F.col("a"))
+        large = (split_join(both, _smallest(both), "a").filter(F.col("b") > F.col("a"))
                  .select(F.col("b").alias("a"), F.col("m").alias("b")).filter(F.col("a") != F.col("b")).distinct())
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
+        small = split_join(large, low, "a")
         now = stage(small.select(F.col("b").alias("a"), F.col("m").alias("b"))
                     .unionByName(low.select("a", F.col("m").alias("b")))
                     .filter(F.col("a") != F.col("b")).distinct())

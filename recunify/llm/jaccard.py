@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recunify.llm.graph import components
+from recunify.llm.store import split_join
 from recunify.llm.text import map_slices, mix, pick, roll_windows, span_hashes, utf8, words
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -224,7 +225,7 @@ def join(docs: DataFrame, stage, doc_id: str = "doc_id", text: str = "text", blo
     bands = classes.select("node", F.explode("keys").alias("key"))
     shared = (bands.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("n"))
               .filter("n > 1").select("key", "low"))
-    meet = bands.join(shared, "key").select(F.col("node").alias("a"), F.col("low").alias("b"))
+    meet = split_join(bands, shared, "key").select(F.col("node").alias("a"), F.col("low").alias("b"))
     comps = stage(components(meet, stage))
     sizes = comps.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     candidates = (classes.join(comps, "node").join(sizes, "root")
