@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recunify.llm.store import split_join
 from recunify.llm.text import (cover, doc_of, map_slices, mix, pick, roll_windows, span_hashes, texts_of, utf8,
                                window_owner, words)
 
@@ -135,7 +136,7 @@ def quality(docs: DataFrame, stage, min_docs: int = MIN_DOCS, share: float = SHA
                 .filter(F.col("n") > min_docs)
                 .join(hosts, F.col("on").eqNullSafe(F.col("host")))
                 .filter(F.col("n") > share * F.col("docs")).select("line"))
-    gone = (per_line.select("row", "line", "held").join(frequent, "line", "left_semi")
+    gone = (split_join(per_line.select("row", "line", "held"), frequent, "line", "left_semi")
             .groupBy("row").agg(F.sum("held").alias("gone")))
     left = F.col("n_words") - F.coalesce("gone", F.lit(0))
     return (base.drop("lines", "held").join(gone, "row", "left")
