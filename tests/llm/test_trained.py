@@ -77,6 +77,20 @@ def test_secret_network_finds_unlabelled_secrets(spark):
     assert got == {1: "net:5:27", 2: ""} and net.threshold >= 0.5
 
 
+def test_secret_network_learns_without_long_candidates(spark):
+    import random
+    r = random.Random(8)
+    secret = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    rows = [(i, f"{' '.join(r.choice(cases.WORDS) for _ in range(12))} token = \"{secret(40)}\" end") for i in range(120)]
+    net = secret_scan.fit(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert net is not None  # these documents have no run of 16 or more but the base findings
+    assert secret_scan.candidates("token=abc AKIASHORT 0a1b2c3d4e plainword", []) == [(6, 9), (10, 19), (20, 30)]
+    test = [(1, f"kept {secret(22)} here, token = {secret(40)}"), (2, "alpha beta gamma")]
+    got = {x.doc_id: x for x in secret_scan.findings(spark.createDataFrame(test, "doc_id bigint, text string"), net).collect()}
+    assert got[1].spans.startswith("net:5:27,assign:") and len(got[1].scores) == 3 and min(got[1].scores) >= net.threshold - 1e-6
+    assert got[2].spans == "" and got[2].scores == []
+
+
 def test_license_notices(spark):
     mit, gpl = licenses.TEMPLATES["MIT"], licenses.TEMPLATES["GPL-3.0-notice"]
     text = f"Ünï first words. {mit} More text; {gpl.upper()} tail"
