@@ -11,6 +11,8 @@ once per worker: a bounded memo maps a segment to its ids.  Merging a
 segment calls the sentencepiece library with a copy of the model whose
 normaliser is switched off.  Piece lengths give spans in the normalised
 text, and the recorded alignment projects them to bytes of the original.
+The digests are those of these ids and spans and of the text decoded from
+the ids.
 
 Results for odd input: a null or empty text has no ids, no spans, and
 decodes to the empty text; repeated rows give repeated rows; an empty table
@@ -22,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-from itertools import groupby
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -116,13 +118,21 @@ class Normalizer:
         starts = np.repeat([s for s, _ in src], [k for _, k in src]) if src else np.zeros(0, np.int64)
         return b"".join(out).decode(), np.append(starts, n).astype(np.int64)
 
-    def text_only(self, text: str) -> str:
-        if not self.identity:
-            return self(text)[0]
-        if not text:
-            return ""
-        text = text.replace(" ", SPACE) if self.escape else text
-        return (SPACE if self.escape else " ") + text if self.dummy_prefix else text
+    def aligned(self, text: str) -> tuple[str, np.ndarray]:
+        """As calling it; without a map and trimming every character stays or is a space, which numpy aligns."""
+        if not self.identity or not text:
+            return self(text)
+        data = np.frombuffer(text.encode(), np.uint8)
+        kind = np.int32 if len(data) < 1 << 29 else np.int64
+        at = np.arange(len(data), dtype=kind)
+        at[(data & 0xC0) == 0x80] = 0
+        source = np.maximum.accumulate(at, out=at)
+        space = SPACE if self.escape else " "
+        if self.escape:
+            source = np.repeat(source, np.where(data == 32, len(SPACE.encode()), 1))
+            text = text.replace(" ", SPACE)
+        head = space if self.dummy_prefix else ""
+        return head + text, np.concatenate([np.zeros(len(head.encode()), kind), source, np.array([len(data)], kind)])
 
 
 class PieceCodec:
@@ -152,10 +162,8 @@ class PieceCodec:
         spec.name, spec.add_dummy_prefix = "identity", False
         spec.remove_extra_whitespaces = spec.escape_whitespaces = False
         self.merger = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
-        # of a segment without its first space symbol: its ids; its text, where that isn't the segment itself
-        self.memo: dict[str, bytes] = {}
-        self.odd: dict[str, str] = {}
-        self.id_text = [str(i).encode() for i in range(len(self.surface))]
+        self.memo: dict[str, bytes] = {}  # the ids of a segment, 32 bits each
+        self.id_text = [str(i) for i in range(len(self.surface))]
         self.spoken = [d if b else d.replace(SPACE.encode(), b" ") for d, b in zip(self.decoded, self.is_byte)]
         self.memo_size = memo
         self.cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -163,70 +171,64 @@ class PieceCodec:
     def segments(self, normal: str) -> list[str]:
         return self.cut.findall(normal)
 
-    def tails(self, text: str) -> list[str]:
-        """The segments of the normalised text, each without its first space symbol."""
-        if self.normalizer.identity and self.normalizer.dummy_prefix and SPACE not in text:
-            parts = text.split(" ")
-            if "" not in parts:
-                return parts
-        segments = self.segments(self.normalizer.text_only(text))
-        if any(s[0] != SPACE for s in segments):
-            raise ValueError("a text without the dummy prefix is not cut into segments")
-        return [s[1:] for s in segments]
-
     def merge(self, segments: list[str]) -> list[list[int]]:
         return self.merger.encode(segments, num_threads=1) if segments else []
 
     def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
         """ids, and the byte span [start, end) in the original of every piece."""
-        normal, source = self.normalizer(text)
-        ids = [i for part in self.merge(self.segments(normal)) for i in part]
-        if not ids:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[tuple[list[int], np.ndarray, np.ndarray]]:
+        """``encode`` of each text; segments that the memo doesn't know are merged together."""
+        memo = self.memo
+        views = [self.normalizer.aligned(t) for t in texts]
+        parts = [self.segments(normal) for normal, _ in views]
+        found = [[*map(memo.get, p)] for p in parts]
+        new = [*{s for p, f in zip(parts, found) if not all(f) for s, ids in zip(p, f) if not ids}]
+        for s, ids in zip(new, self.merge(new)):
+            memo[s] = array("i", ids).tobytes()
+        out = [self.located(source, np.frombuffer(b"".join(f if all(f) else map(memo.__getitem__, p)), np.int32))
+               for (_, source), p, f in zip(views, parts, found)]
+        for s in new:
+            if len(s) > MEMO_CHARS:
+                del memo[s]
+        if len(memo) > self.memo_size:
+            memo.clear()
+        return out
+
+    def located(self, source: np.ndarray, ids: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """The ids of a text with their byte spans in it, from the alignment of its normalised bytes."""
+        if not len(ids):
             none = np.zeros(0, np.int64)
             return [], none, none
-        ends = np.cumsum(self.lengths[np.array(ids)])
+        ends = np.cumsum(self.lengths[ids])
         if ends[-1] != len(source) - 1:
             raise ValueError("pieces don't cover the normalised text")
-        return ids, source[np.append(0, ends[:-1])], source[ends]
+        return ids.tolist(), source[np.append(0, ends[:-1])].astype(np.int64), source[ends].astype(np.int64)
 
     def decode(self, ids) -> str:
         """As the library's decode(ids): the dummy prefix goes, broken bytes become U+FFFD.
         A run of byte pieces ends at any other piece, also at one without a text."""
-        ids, out = list(ids), []
-        for is_byte, run in groupby(ids, self.is_byte.__getitem__):
-            raw = b"".join([self.spoken[i] for i in run])
-            out.append(decode_utf8(raw) if is_byte else raw.decode())
+        ids = list(ids)
+        flags = self.is_byte[np.array(ids, np.int64)]
+        cuts = [0, *(np.flatnonzero(flags[1:] != flags[:-1]) + 1).tolist(), len(ids)]
+        out = []
+        for a, z in zip(cuts[:-1], cuts[1:]):
+            raw = b"".join(map(self.spoken.__getitem__, ids[a:z]))
+            out.append(decode_utf8(raw) if a < z and flags[a] else raw.decode())
         text, head = "".join(out), next((i for i in ids if not self.silent[i]), 0)
         if self.normalizer.dummy_prefix and text.startswith(" ") and not (self.is_byte[head] or self.is_unknown[head]):
             text = text[1:]
         return text
 
-    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """(number of ids, hash of the joined ids, hash of the decoded text) of each text."""
-        memo, odd = self.memo, self.odd
-        parts = [self.tails(t) for t in texts]
-        found = [[*map(memo.get, p)] for p in parts]
-        new = [*{s for p, f in zip(parts, found) if None in f for s, i in zip(p, f) if i is None}]
-        for s, ids in zip(new, self.merge([SPACE + s for s in new])):
-            memo[s] = b",".join(map(self.id_text.__getitem__, ids))
-            text = b"".join(map(self.spoken.__getitem__, ids))
-            if text != b" " + s.encode():
-                odd[s] = decode_utf8(text)
+    def digests(self, texts: list[str]) -> list[tuple[int, str, str, str]]:
+        """(number of ids, hash of the joined ids, hash of the text decoded from the ids, hash of the
+        spans as little-endian 64-bit numbers, all starts before all ends) of each text."""
         out = []
-        for p, f in zip(parts, found):
-            ids = b",".join(map(memo.__getitem__, p) if None in f else f)
-            text = "".join([odd.get(s, " " + s) for s in p]) if odd else " " + " ".join(p) if p else ""
-            if self.normalizer.dummy_prefix and text[:1] == " ":
-                text = text[1:]
-            out.append((ids.count(b",") + 1 if p else 0, hashlib.sha256(ids).hexdigest(),
-                        hashlib.sha256(text.encode()).hexdigest()))
-        for s in new:
-            if len(s) > MEMO_CHARS:
-                del memo[s]
-                odd.pop(s, None)
-        if len(memo) > self.memo_size:
-            memo.clear()
-            odd.clear()
+        for ids, starts, ends in self.encode_all(texts):
+            joined = ",".join(map(self.id_text.__getitem__, ids))
+            out.append((len(ids), *(hashlib.sha256(x).hexdigest() for x in (
+                joined.encode(), self.decode(ids).encode(), np.concatenate([starts, ends]).astype("<i8").tobytes()))))
         return out
 
 
@@ -261,7 +263,7 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
 
     def run(batch: pa.RecordBatch):
         codec = _codec(model.value)
-        got = [codec.encode(t) for t in texts_of(batch)]
+        got = codec.encode_all(texts_of(batch))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([g[0] for g in got], pa.list_(pa.int32())),
              pa.array([g[1] for g in got], pa.list_(pa.int64())),
@@ -284,17 +286,19 @@ def decode(encoded: DataFrame, model_path: str, doc_id: str = "doc_id", ids: str
 
 
 def digest(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text (a null is empty)."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, spans_sha256 of every text (a null is empty)."""
     model = _model(docs, model_path)
 
     def run(batch: pa.RecordBatch):
         got = _codec(model.value).digests(texts_of(batch))
-        n, ids, dec = zip(*got)
+        n, ids, dec, spans = zip(*got)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(dec, pa.string())],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(dec, pa.string()),
+             pa.array(spans, pa.string())],
+            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
     return map_slices(pick(docs, doc_id=doc_id, text=text),
-                      f"doc_id {_type(docs, doc_id)}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", run)
+                      f"doc_id {_type(docs, doc_id)}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, "
+                      "spans_sha256 string", run)
 
 
 def _type(df: DataFrame, column: str) -> str:

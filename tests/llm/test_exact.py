@@ -137,6 +137,24 @@ def test_pieces_random_ids_decode_as_the_library():
         assert codec.encode(text)[0] == sp.encode(text)
 
 
+def test_pieces_digests_are_those_of_encode_and_decode(spark, monkeypatch):
+    import hashlib
+    import numpy as np
+    codec, texts = pieces.PieceCodec(Path(piece_model()).read_bytes()), {r[0]: r[1] or "" for r in cases.odd_rows() if r[0] in range(25)}
+    got = {r.doc_id: r for r in pieces.digest(cases.frame(spark), piece_model()).collect() if r.doc_id in texts}
+    for i, t in texts.items():
+        ids, starts, ends = codec.encode(t)
+        assert got[i].spans_sha256 == hashlib.sha256(np.concatenate([starts, ends]).astype("<i8").tobytes()).hexdigest()
+    seen = []
+    monkeypatch.setattr(codec, "decode", lambda ids: seen.append(list(ids)) or "x")
+    assert codec.digests([texts[7], ""])[0][2] == cases.sha("x") and seen == [codec.encode(texts[7])[0], []]
+    r = random.Random(3)
+    for _ in range(2000):  # the quick alignment is the general one
+        text = "".join(r.choice(" ▁ab\n\té中😀<s>0") for _ in range(r.randrange(12)))
+        (a, b), (c, d) = codec.normalizer.aligned(text), codec.normalizer(text)
+        assert codec.normalizer.identity and a == c and b.tolist() == d.tolist()
+
+
 @pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf"])
 def test_character_map_against_the_library(rule):
     """Longest-prefix replacement through a compiled map, with its alignment."""
