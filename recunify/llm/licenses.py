@@ -6,7 +6,9 @@ common run of K + W - 1 words shares a fingerprint.  An inverted index maps a
 fingerprint to its places in the templates; the hits of a document that lie
 near one diagonal of a template make a candidate, whose words are aligned with
 the template inside a band.  A match reports the share of the template's words
-that are aligned with equal words, and the span in the document.
+that are aligned with equal words, and the span in the document; it must hold
+the phrases that tell the template from its siblings (DECIDING) word for word,
+without insertions.
 
 The index is built from the given templates, a fixed list, and goes to every
 task; documents are read whole and nothing is shuffled.
@@ -23,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from recunify.llm.license_texts import TEXTS
 from recunify.llm.text import map_slices, mix, pick, roll_windows, span_hashes, utf8, words
 
 K, W = 3, 2
@@ -31,30 +34,56 @@ BAND_SHARE, BAND = 0.1, 4
 #: Share of a template's fingerprints that makes a candidate, and of its words that makes a match.
 CANDIDATE, COVERAGE = 0.25, 0.75
 
-# Notices of common licenses.
+_GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0}General "
+        "Public License as published by the Free Software Foundation, either version {1} of the License, or (at your "
+        "option) any later version.")
+_GNU_REST = (" This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+             "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0}General Public "
+             "License for more details. You should have received a copy of the GNU {0}General Public License along with "
+             "this program.")
+_GNU_KINDS = {"GPL-2.0": ("", "2"), "GPL-3.0": ("", "3"), "LGPL-2.1": ("Lesser ", "2.1"), "LGPL-3.0": ("Lesser ", "3"),
+              "AGPL-3.0": ("Affero ", "3")}
+_APACHE = ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
+           "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0")
+_CC = ("BY", "BY-NC", "BY-NC-ND", "BY-NC-SA", "BY-ND", "BY-SA")
+
+# Short references, grants, whole notices and whole texts of common licenses.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
-                         "except in compliance with the License. You may obtain a copy of the License at "
-                         "http://www.apache.org/licenses/LICENSE-2.0",
-    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                    "provided that the following conditions are met:",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "GPL-2.0-notice": "This program is free software; you can redistribute it and/or modify it under the terms of the "
-                      "GNU General Public License as published by the Free Software Foundation; either version 2 of "
-                      "the License, or (at your option) any later version.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the "
-                      "GNU General Public License as published by the Free Software Foundation, either version 3 of "
-                      "the License, or (at your option) any later version.",
+    "Apache-2.0-header": _APACHE,
+    "Apache-2.0-header-whole": _APACHE + " Unless required by applicable law or agreed to in writing, software distributed "
+                               "under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF "
+                               "ANY KIND, either express or implied. See the License for the specific language governing "
+                               "permissions and limitations under the License.",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "MIT": "Released under the MIT License.",
-    "MIT-notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-                  "associated documentation files (the \"Software\"), to deal in the Software without restriction",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "MPL-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+                      "MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    **{f"CC-{v}-4.0": f"Licensed under CC {v} 4.0." for v in _CC},
+    **{n: f"This work is licensed under the GNU {k}General Public License, version {v}." for n, (k, v) in _GNU_KINDS.items()},
+    **{f"{n}-notice": _GNU.format(*kv) for n, kv in _GNU_KINDS.items()},
+    **{f"{n}-notice-whole": (_GNU + _GNU_REST).format(*kv) for n, kv in _GNU_KINDS.items()},
+    **TEXTS,
+}
+
+#: Phrases that tell a template from its siblings: a match must hold them unbroken, each.
+DECIDING = {
+    **{n: ["Apache License Version 2.0"] for n in ("Apache-2.0", "Apache-2.0-header", "Apache-2.0-header-whole")},
+    "MIT": ["MIT License"],
+    **{n: ["Mozilla Public License v 2.0"] for n in ("MPL-2.0", "MPL-2.0-notice")},
+    **{f"CC-{v}-4.0": [f"under CC {v} 4.0"] for v in _CC},
+    **{n: [f"GNU {k}General Public License version {v}"] for n, (k, v) in _GNU_KINDS.items()},
+    **{n + end: [f"GNU {k}General Public License as published", f"version {v} of the License"]
+       for n, (k, v) in _GNU_KINDS.items() for end in ("-notice", "-notice-whole")},
+    "GPL-1.0-text": ["GNU General Public License Version 1"], "GPL-2.0-text": ["GNU General Public License Version 2"],
+    "GPL-3.0-text": ["GNU General Public License Version 3"],
+    "LGPL-2.0-text": ["GNU Library General Public License Version 2"],
+    "LGPL-2.1-text": ["GNU Lesser General Public License Version 2.1"],
+    "LGPL-3.0-text": ["GNU Lesser General Public License Version 3"],
+    "BSD-3-Clause-text": ["may be used to endorse or promote products"],
+    "BSD-4-Clause-text": ["must display the following acknowledgement", "may be used to endorse or promote products"],
 }
 
 _FOLD = np.full(256, 32, np.uint8)
@@ -94,8 +123,9 @@ def winnow(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Index:
     """Fingerprints of all templates in order, with template and place."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], deciding: dict[str, list[str]] | None = None):
         self.names = sorted(templates)
+        self.deciding = [[word_codes(pa.array([p]))[0] for p in (deciding or {}).get(n, [])] for n in self.names]
         self.codes = [word_codes(pa.array([templates[n]]))[0] for n in self.names]
         prints = [winnow(c) for c in self.codes]
         self.sizes = np.array([len(p[0]) for p in prints])
@@ -116,33 +146,48 @@ class Index:
         return sorted(zip(self.template[at].tolist(), self.place[at].tolist(), n.tolist()))
 
 
+#: A cell of the alignment is one number: score, then equal words, then the smallest start.
+_PART = 21
+_EQUAL, _SCORE, _LOW = 1 << _PART, 1 << 2 * _PART, (1 << _PART) - 1
+_NONE = -(1 << 60)
+
+
 def align(template: np.ndarray, text: np.ndarray, band: int) -> tuple[int, int, int]:
     """(equal words, first, end) of the best alignment of the template with a part
     of the text; cell (i, j) is inside the band if |j - i - band| <= 2 * band."""
-    best = (0, 0, 0)
-    row = {j: (0, 0, j) for j in range(len(text) + 1)}  # score, equal words, start
+    best, n = (0, 0, 0), len(text)
+    row = _LOW - np.arange(n + 1, dtype=np.int64)  # score 0, no equal words, start j
     for i, t in enumerate(template):
-        new = {}
-        for j in range(max(0, i - band), min(len(text), i + 3 * band) + 1):
-            options = []
-            if j in row:
-                s, e, a = row[j]
-                options.append((s - 1, e, a))
-            if j - 1 in row and j:
-                s, e, a = row[j - 1]
-                options.append((s + 2, e + 1, a if e else j - 1) if text[j - 1] == t else (s - 1, e, a))
-            if j - 1 in new:
-                s, e, a = new[j - 1]
-                options.append((s - 1, e, a))
-            if options:
-                new[j] = max(options, key=lambda o: (o[0], o[1], -o[2]))
-        row = new
-        for j, (s, e, a) in row.items():
-            if e > best[0] and j and text[j - 1] == t:
-                best = (e, a, j)
+        lo, hi = max(0, i - band), min(n, i + 3 * band)
+        if lo > hi:
+            break
+        new = row[lo:hi + 1] - _SCORE
+        at = np.arange(max(lo, 1), hi + 1)
+        same, before = text[at - 1] == t, row[at - 1]
+        fresh = (before >> _PART) & _LOW == 0
+        began = np.where(fresh, (before & ~_LOW) | (_LOW - (at - 1)), before)
+        step = np.where(same, began + (2 * _SCORE + _EQUAL), before - _SCORE)
+        np.maximum(new[len(new) - len(at):], step, out=new[len(new) - len(at):])
+        drop = np.arange(len(new), dtype=np.int64) * _SCORE
+        new = np.maximum.accumulate(new + drop) - drop
+        row = np.full(n + 1, _NONE, np.int64)
+        row[lo:hi + 1] = new
+        if same.any():
+            cells, ends = row[at][same], at[same]
+            equal = np.where(cells > _NONE // 2, (cells >> _PART) & _LOW, 0)
+            k = int(equal.argmax())
+            if equal[k] > best[0]:
+                best = (int(equal[k]), _LOW - int(cells[k] & _LOW), int(ends[k]))
     return best
 
 
+def holds(codes: np.ndarray, phrase: np.ndarray) -> bool:
+    """Whether the words hold the phrase unbroken."""
+    if len(codes) < len(phrase):
+        return False
+    return bool((np.lib.stride_tricks.sliding_window_view(codes, len(phrase)) == phrase).all(1).any())
+
+
 def scan(codes: np.ndarray, index: Index) -> list[tuple[str, int, int, float]]:
     """(template, first word, end word, coverage) of the matches in one text, by place."""
     hits, found, k = index.hits(*winnow(codes)), [], 0
@@ -166,7 +211,7 @@ def scan(codes: np.ndarray, index: Index) -> list[tuple[str, int, int, float]]:
                 continue
             lo = max(0, g[0][0] - band)
             equal, a, z = align(template, codes[lo:lo + len(template) + 3 * band], band)
-            if equal >= COVERAGE * len(template):
+            if equal >= COVERAGE * len(template) and all(holds(codes[lo + a:lo + z], p) for p in index.deciding[t]):
                 found.append((equal, equal / len(template), lo + a, lo + z, index.names[t]))
     out = []
     for _, c, a, z, name in sorted(found, key=lambda f: (-f[0], -f[1], f[2], f[4])):
@@ -178,7 +223,8 @@ def scan(codes: np.ndarray, index: Index) -> list[tuple[str, int, int, float]]:
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, doc_id: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """doc_id, n_matches, names, coverage, starts, ends (characters of the text) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(Index(templates or TEMPLATES))  # the given list
+    shared = docs.sparkSession.sparkContext.broadcast(
+        Index(templates) if templates else Index(TEMPLATES, DECIDING))  # the given list
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(b: pa.RecordBatch):

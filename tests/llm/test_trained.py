@@ -107,6 +107,21 @@ def test_license_notices(spark):
     assert by[6].names == ["CC-BY-NC-4.0"] and by[None].names == ["MIT"] and by[8].names == ["MIT"] * 3
 
 
+def test_license_siblings_and_whole_texts(spark):
+    T = licenses.TEMPLATES
+    want = {"AGPL-3.0-notice": T["GPL-3.0-notice"].replace("GNU General", "GNU Affero General"),
+            "LGPL-3.0-notice": T["GPL-3.0-notice"].replace("GNU General", "GNU Lesser General"),
+            "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0", "GPL-2.0": T["GPL-3.0"].replace("version 3", "version 2"),
+            "BSD-3-Clause-text": "(c) X. " + T["BSD-3-Clause-text"].replace("copyright holder nor", "Foo Inc. nor"),
+            "BSD-2-Clause-text": "(c) X. " + T["BSD-2-Clause-text"], "MIT-text": T["MIT-text"],
+            **{n: T[n] for n in T if n.endswith(("-text", "-whole"))}}
+    none = ["Licensed under CC BY-XX 4.0", T["GPL-3.0-notice"].replace("GNU General", "GNU Other General"),
+            T["GPL-3.0"].replace("version 3", "version 9"), T["GPL-3.0-text"][:150].replace("GNU", "GNU AFFERO")]
+    rows = [*want.items(), *((f"none {i}", t) for i, t in enumerate(none))]
+    got = {r.doc_id: r.names for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {**{n: [n] for n in want}, **{f"none {i}": [] for i in range(len(none))}}
+
+
 def test_license_scan_finds_every_notice_of_the_table(spark):
     got = {r.doc_id: r.names for r in QUERIES["op9_license_scan"](spark, cases.SF01).collect()}
     for i, t, *_ in cases.documents():
