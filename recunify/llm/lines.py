@@ -1,18 +1,21 @@
 """Quality rules: word and repetition statistics, and cross-document line frequency.
 
-Per document one numpy pass gives the base statistics.  Then every line is
-normalised (lower case, runs of digits to ``0``, runs of white space to one
-space) and hashed; a line counts once per document, and the documents with
-the line are counted per host by a partially aggregated sum.  Lines found in
-more than ``max(MIN_DOCS, SHARE * documents of the host)`` documents are
-removed, and a document that keeps less than ``KEEP_SHARE`` of its words is
-depleted and rejected.
-
-What is shuffled is one 64-bit key with a word count per distinct line and
-document, never a text.  A frequent line is one group of the sum (combined
-before the shuffle) and one row of the frequent table; the join that marks
-lines is a plain equi-join that adaptive execution splits when one line is
-hot.  Rows are told apart by a generated number, so repeated ids are safe.
+Every line is normalised (lower case, runs of digits to ``0``, runs of white
+space to one space) and hashed; a line counts once per document, and the
+documents with the line are counted per host by a partially aggregated sum.
+Lines found in more than ``max(MIN_DOCS, SHARE * documents of the host)``
+documents are removed: the hashes of the frequent lines of a document are joined
+back to its text, and a task drops these lines and gives the text that is left
+(``cleaned``).  The same task takes the base statistics of the whole text in
+one numpy pass and counts the words of the cleaned one; a document that keeps
+less than ``KEEP_SHARE`` of its words is depleted and rejected.
+
+What is shuffled is one 64-bit hash per distinct line and document with the
+document's key, and each text once, for the join.  The key is two 64-bit hashes
+of host and text, on which a document's frequent lines depend alone, so repeated
+ids are safe and rows need no number.  A frequent line is one group of the sum
+(combined before the shuffle) and one row of the frequent table; both joins are
+plain equi-joins that adaptive execution splits when a line or a text is hot.
 
 Odd input: a null or empty text has no words, fails the base rules (fewer
 than 10 words) and is not kept; a null host is a host of its own; repeated
@@ -79,8 +82,13 @@ def _line_code(line: str) -> int:
     return xxhash.xxh64_intdigest(line.encode()) - (1 << 63)
 
 
+def line_codes(text: str) -> list[tuple[str, int | None]]:
+    """Every line of a text with the hash of its normal form; None for a blank line."""
+    return [(x, _line_code(normal_line(x)) if x.strip(_WHITE) else None) for x in text.split("\n")]
+
+
 def document_stats(batch: pa.RecordBatch):
-    """Base columns, and per document its distinct normalised lines with the words they hold."""
+    """The base columns of every document, n_words to n_repeat_words."""
     column = batch.column(batch.schema.get_field_index("text"))
     offs, data = utf8(column)
     starts, ends, first = words(offs, data)
@@ -88,60 +96,66 @@ def document_stats(batch: pa.RecordBatch):
     points = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=points[1:])
     chars = _sums(points[ends] - points[starts], first)
-    dup, lines, held = [], [], []
+    dup = []
     for t in texts_of(batch):
-        seen, again, count = set(), 0, {}
-        for line in t.split("\n"):
-            if not line.strip(_WHITE):
-                continue
-            again += line in seen
-            seen.add(line)
-            code = _line_code(normal_line(line))
-            count[code] = count.get(code, 0) + len(line.encode().split())
-        dup.append(again)
-        lines.append(list(count))
-        held.append(list(count.values()))
-    n = np.diff(first)
-    return (n, chars, _sums(_SYMBOL[data], offs), np.array(dup, np.int64), repeated_words(codes, first), lines, held)
-
-
-def stats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """row, doc_id, host, the base columns, base_failed, and the arrays lines and held."""
+        full = [x for x in t.split("\n") if x.strip(_WHITE)]
+        dup.append(len(full) - len(set(full)))
+    return np.diff(first), chars, _sums(_SYMBOL[data], offs), np.array(dup, np.int64), repeated_words(codes, first)
+
+
+def without_lines(text: str, gone) -> str:
+    """The text without the lines whose hashes are given."""
+    return "\n".join(x for x, code in line_codes(text) if code not in gone)
+
+
+def document_lines(docs: DataFrame) -> DataFrame:
+    """host, k1, k2 and the hashes of the distinct lines of every document."""
     def run(b: pa.RecordBatch):
-        n, chars, symbols, dup, repeat, lines, held = document_stats(b)
-        return pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), *[pa.array(x, pa.int64()) for x in (n, chars, symbols, dup, repeat)],
-             pa.array((n < 10) | (100 * repeat > 20 * n)),
-             pa.array(lines, pa.list_(pa.int64())), pa.array(held, pa.list_(pa.int64()))], names)
-    names = ["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-             "lines", "held"]
-    kinds = [docs.schema[doc_id].dataType.simpleString(), docs.schema[host].dataType.simpleString(),
-             *["bigint"] * 5, "boolean", "array<bigint>", "array<bigint>"]
-    return map_slices(pick(docs, doc_id=doc_id, host=host, text=text),
-                      ", ".join(f"{n} {k}" for n, k in zip(names, kinds)), run)
-
-
-def quality(docs: DataFrame, stage, min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE,
+        codes = [list({c for _, c in line_codes(t) if c is not None}) for t in texts_of(b)]
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(codes, pa.list_(pa.int64()))],
+                                          ["host", "k1", "k2", "lines"])
+    return map_slices(docs.select("host", "k1", "k2", "text"),
+                      f"host {docs.schema['host'].dataType.simpleString()}, k1 bigint, k2 bigint, lines array<bigint>", run)
+
+
+def cleaned(docs: DataFrame, stage, min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE,
             doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """Base columns, words_left (after frequent lines went), depleted and kept, one row per document.
+    """doc_id, the base columns, kept, words_left, depleted and clean_text (the text
+    without frequent lines; a null stays), one row per document.
 
     ``stage(df)`` writes a table once and reads it again (the shared folder of
-    the cluster); the statistics are used three times and hold no texts.
+    the cluster); the lines' hashes are used three times and hold no texts.
     """
-    base = stage(stats(docs, doc_id, text, host).withColumn("row", F.monotonically_increasing_id()))
+    keyed = pick(docs, doc_id=doc_id, host=host, text=text).withColumn("k1", F.xxhash64("host", "text")).withColumn(
+        "k2", F.xxhash64(F.lit("second"), "text", "host"))
+    base = stage(document_lines(keyed))
     hosts = base.groupBy("host").agg(F.count("*").alias("docs"))
-    per_line = base.select("row", "host", F.explode(F.arrays_zip("lines", "held")).alias("x")).select(
-        "row", "host", F.xxhash64("host", "x.lines").alias("line"), F.col("x.held").alias("held"))
+    per_line = base.select("host", F.struct("k1", "k2").alias("key"), F.explode("lines").alias("code")).withColumn(
+        "line", F.xxhash64("host", "code"))
     frequent = (per_line.groupBy("line").agg(F.count("*").alias("n"), F.first("host").alias("on"))
                 .filter(F.col("n") > min_docs)
                 .join(hosts, F.col("on").eqNullSafe(F.col("host")))
                 .filter(F.col("n") > share * F.col("docs")).select("line"))
-    gone = (split_join(per_line.select("row", "line", "held"), frequent, "line", "left_semi")
-            .groupBy("row").agg(F.sum("held").alias("gone")))
-    left = F.col("n_words") - F.coalesce("gone", F.lit(0))
-    return (base.drop("lines", "held").join(gone, "row", "left")
-            .withColumn("words_left", left)
-            .withColumn("depleted", left < keep_share * F.col("n_words"))
-            .withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
-            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                    "kept", "words_left", "depleted"))
+    gone = (split_join(per_line.select("key", "code", "line"), frequent, "line", "left_semi")
+            .groupBy("key").agg(F.collect_set("code").alias("gone")))
+    whole = split_join(keyed.withColumn("key", F.struct("k1", "k2")).drop("k1", "k2", "host"), gone, "key", "left")
+
+    def run(b: pa.RecordBatch):
+        n, chars, symbols, dup, repeat = document_stats(b)
+        texts = [t if t is None or not g else without_lines(t, set(g))
+                 for t, g in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+        left = np.array([len(t.encode().split()) if t else 0 for t in texts], np.int64)
+        failed, depleted = (n < 10) | (100 * repeat > 20 * n), left < keep_share * n
+        return pa.RecordBatch.from_arrays(
+            [b.column(0), *[pa.array(x, pa.int64()) for x in (n, chars, symbols, dup, repeat)], pa.array(failed),
+             pa.array(~failed & ~depleted), pa.array(left), pa.array(depleted), pa.array(texts, pa.string())], names)
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+             "words_left", "depleted", "clean_text"]
+    kinds = [docs.schema[doc_id].dataType.simpleString(), *["bigint"] * 5, "boolean", "boolean", "bigint", "boolean",
+             "string"]
+    return map_slices(whole.select("doc_id", "text", "gone"), ", ".join(f"{n} {k}" for n, k in zip(names, kinds)), run)
+
+
+def quality(docs: DataFrame, stage, **options) -> DataFrame:
+    """The columns of ``cleaned`` but the text, which they are derived from."""
+    return cleaned(docs, stage, **options).drop("clean_text")

@@ -69,6 +69,21 @@ def test_quality_odd_rows(spark):
     assert cases.counted(got, *QUALITY) == cases.brute_quality(cases.odd_rows(), 1, 0.1, lines.KEEP_SHARE)
 
 
+def test_quality_gives_the_cleaned_text(spark):
+    r = random.Random(9)
+    own = [cases.random_text(r, 20) for _ in range(40)]
+    rows = [(i % 35, f"{own[i]}\n\n  Page {i} of  99\nlast {own[i][:9]}", "a" if i < 30 else None) for i in range(40)]
+    rows += [(90, None, "a"), (91, "Page 1 of 2", "b"), (92, "PAGE 3 of 4", "a"), (92, "PAGE 3 of 4", "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    got = lines.cleaned(docs, stage, min_docs=20, share=0.02).collect()
+    want = Counter()
+    for i, t, s in rows:
+        gone = t is not None and s == "a"
+        want[i, "\n".join(x for x in t.split("\n") if not x.strip().lower().startswith("page")) if gone else t] += 1
+    assert Counter((r.doc_id, r.clean_text) for r in got) == want
+    assert all(r.words_left == len(cases.words(r.clean_text)) and r.depleted == (r.doc_id == 92) for r in got)
+
+
 def test_quality_whole_table(spark):
     got = QUERIES["op6_quality_rules"](spark, cases.SF01)
     assert cases.counted(got, *QUALITY) == cases.brute_quality(cases.documents(), lines.MIN_DOCS, lines.SHARE, lines.KEEP_SHARE)
