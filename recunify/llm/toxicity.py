@@ -5,15 +5,17 @@ embedding table, whose sum is the vector of a word; filters over one, two and
 three neighbouring words, max pooling over the whole text and a logistic output
 give a raw score.  Training (Adagrad on batches balanced by label and language)
 reads a sample of about ``fit_rows`` labelled documents, half of each label, a
-fixed bound; a quarter of it is held back to calibrate: for each language the
-raw threshold with the best F1 (negatives weighted to their true share) is
-moved to THRESHOLD, so one cut serves all languages.  The language is the one that ``langid`` predicts from the text;
+fixed bound; a quarter of it is held back.  All labelled documents that were
+not trained on are scored to calibrate: for each language the raw threshold
+with the best F1, from counts by language, score bin and label, is moved to
+THRESHOLD, so one cut serves all languages.  The language is the one that ``langid`` predicts from the text;
 neither labels nor lang, source or doc_id enter a score.  Words of fewer than
 MIN_DOCS training documents have the zero vector, so rare and unknown words
 say nothing.
 
 Scoring reads every whole text, whatever its length, and shuffles nothing; the
-model is of fixed size and broadcast.
+model is of fixed size and broadcast.  Calibrating shuffles an id, a language
+and a score bin for every document, never a text.
 
 Odd input: a null or empty text gets the score of a text without words; with
 no labels of one kind to learn from, every score is 0; labels of unknown
@@ -44,6 +46,8 @@ MIN_DOCS = 3
 DROP = 0.5
 #: Positives of a language, in the part held back, from which its own threshold is taken.
 OWN_THRESHOLD = 10
+#: Score bins of the calibration for one unit of the raw score, which is cut off at RAW_END.
+BINS, RAW_END = 64, 1000
 
 
 def padded_ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -143,15 +147,6 @@ class TextNet:
             row_square[used] += (g * g).mean(1)
             self.table[used] -= rate * g / np.sqrt(row_square[used])[:, None]
 
-    def calibrate(self, raw: np.ndarray, y: np.ndarray, lang: np.ndarray, weight: float = 1.0) -> None:
-        """Raw cuts: for all texts ("") and for each language with enough positives;
-        a negative stands for ``weight`` of them."""
-        self.cuts = {"": best_cut(raw, y, weight)}
-        for name in sorted(set(lang)):
-            own = lang == name
-            if y[own].sum() >= OWN_THRESHOLD and (1 - y[own]).sum() >= OWN_THRESHOLD:
-                self.cuts[name] = best_cut(raw[own], y[own], weight)
-
     def scores(self, raw: np.ndarray, lang) -> np.ndarray:
         cut = np.array([self.cuts.get(x, self.cuts[""]) for x in lang])
         return 1 / (1 + np.exp(-np.clip(raw - cut + np.log(THRESHOLD / (1 - THRESHOLD)), -30, 30)))
@@ -172,17 +167,35 @@ class TextNet:
         return net
 
 
-def best_cut(raw: np.ndarray, y: np.ndarray, weight: float = 1.0) -> float:
-    """The threshold with the best F1, in the middle of the gap it falls into."""
-    order = np.argsort(-raw, kind="stable")
-    s, hits = raw[order], np.cumsum(y[order])
-    f1 = 2 * hits / (hits + weight * (np.arange(1, len(s) + 1) - hits) + y.sum())
-    f1[:-1][s[:-1] == s[1:]] = -1
-    k = int(f1.argmax())
-    return float((s[k] + s[k + 1]) / 2) if k + 1 < len(s) else float(s[k])
+def cuts_of(counts) -> dict[str, float]:
+    """Raw cuts of rows (language, bin, toxic, number): for all texts ("") and for each
+    language with enough documents of both labels."""
+    tables: dict[str, dict[int, list[int]]] = {"": {}}
+    for name, k, toxic, n in counts:
+        for t in {"", name}:
+            tables.setdefault(t, {}).setdefault(k, [0, 0])[toxic] += n
+    sums = {name: np.array([*t.values()]).sum(0) if t else np.zeros(2) for name, t in tables.items()}
+    return {name: best_cut(t) for name, t in tables.items()
+            if sums[name].min() >= (OWN_THRESHOLD if name else 1)}
+
+
+def best_cut(bins: dict[int, list[int]]) -> float:
+    """The threshold with the best F1, in the middle of the gap between bins it falls into."""
+    order = sorted(bins, reverse=True)
+    misses, hits = np.cumsum([bins[k] for k in order], axis=0).T
+    k = int((2 * hits / (hits + misses + hits[-1])).argmax())
+    return (order[k] + order[k + 1] + 1) / 2 / BINS if k + 1 < len(order) else order[k] / BINS
+
+
+_loaded: dict[int, tuple[dict, TextNet]] = {}
 
 
-_loaded: dict[int, TextNet] = {}
+def _net(model: dict) -> TextNet:
+    """The network of a broadcast model, loaded once in a worker."""
+    if id(model) not in _loaded:
+        _loaded.clear()
+        _loaded[id(model)] = (model, TextNet.load(model))  # the model stays, and so its id
+    return _loaded[id(model)][1]
 
 
 def _predicted_language(texts: list[str], model) -> list[str]:
@@ -206,14 +219,17 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict |
         flat, begin = padded_ids(b.column(0))
         return pa.RecordBatch.from_arrays(
             [pa.array([flat[a:z].tobytes() for a, z in zip(begin[:-1], begin[1:])], pa.binary()), b.column(1),
-             pa.array(_predicted_language(texts_of(b), languages), pa.string())], ["ids", "toxic", "lang"])
-    seen = map_slices(pick(known, text="text", toxic="toxic"), "ids binary, toxic int, lang string", run, step=langid.STEP)
-    got = sorted((bytes(r.ids), int(r.toxic), r.lang) for r in seen.collect())  # about fit_rows documents
-    y = np.array([t for _, t, _ in got], np.int64)
+             pa.array(_predicted_language(texts_of(b), languages), pa.string()), b.column(2)],
+            ["ids", "toxic", "lang", "doc_id"])
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    seen = map_slices(pick(known, text="text", toxic="toxic", doc_id="doc_id"),
+                      f"ids binary, toxic int, lang string, doc_id {kind}", run, step=langid.STEP)
+    got = sorted((bytes(r.ids), int(r.toxic), r.lang, r.doc_id) for r in seen.collect())  # about fit_rows documents
+    y = np.array([t for _, t, _, _ in got], np.int64)
     if len(set(y.tolist())) < 2:
         return None
-    texts = [np.frombuffer(i, np.int32).reshape(-1, 1 + len(PREFIXES)) for i, _, _ in got]
-    lang = np.array([x for _, _, x in got])
+    texts = [np.frombuffer(i, np.int32).reshape(-1, 1 + len(PREFIXES)) for i, _, _, _ in got]
+    lang = np.array([x for _, _, x, _ in got])
     order = np.random.Generator(np.random.PCG64(8)).permutation(len(got))
     back, train = order[: len(order) // 4], order[len(order) // 4:]
     if min(np.bincount(y[back], minlength=2).min(), np.bincount(y[train], minlength=2).min()) == 0:
@@ -221,12 +237,32 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict |
     net = TextNet()
     net.languages = languages
     net.fit([texts[i] for i in train], y[train], lang[train])
-    raw = np.concatenate([net.raw(texts[i], np.array([0, len(texts[i])])) for i in back])
-    share = size[0] / size[1] / ((y == 0).sum() / y.sum())  # of the negatives that were left out
-    net.calibrate(raw, y[back], lang[back], share)
+    used = [] if back is train else sorted({got[i][3] for i in train})
+    net.cuts = cuts_of(score_counts(docs, marked, net.slim(), used)) or {"": 0.0}
     return net.slim()
 
 
+def score_counts(docs: DataFrame, marked: DataFrame, model: dict, used: list) -> list[tuple[str, int, int, int]]:
+    """(language, score bin, toxic, number) of the labelled documents but those with an id in ``used``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(b: pa.RecordBatch):
+        net = _net(shared.value)
+        raw = np.clip(net.raw(*padded_ids(b.column(1))), -RAW_END, RAW_END)
+        return pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array(_predicted_language(texts_of(b), net.languages), pa.string()),
+             pa.array(np.floor(raw * BINS).astype(np.int32))], ["doc_id", "lang", "bin"])
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rest = docs.filter("doc_id is not null")
+    if used:  # a part of the bounded sample
+        trained = docs.sparkSession.createDataFrame([(i,) for i in used], f"doc_id {kind}")
+        rest = rest.join(F.broadcast(trained), "doc_id", "left_anti")
+    scored = map_slices(pick(rest, doc_id="doc_id", text="text"), f"doc_id {kind}, lang string, bin int", run,
+                        step=langid.STEP)
+    counts = scored.join(marked, "doc_id").groupBy("lang", "bin", F.col("toxic").cast("int").alias("toxic")).count()
+    return [(r[0], r[1], r[2], r[3]) for r in counts.collect()]  # a row for each language, bin and label
+
+
 def score(docs: DataFrame, model: dict | None, keep: tuple[str, ...] = (), doc_id: str = "doc_id",
           text: str = "text") -> DataFrame:
     """doc_id, score (0 to 1) and predicted (1 from THRESHOLD on) of every text; ``keep`` as in langid.predict."""
@@ -236,10 +272,7 @@ def score(docs: DataFrame, model: dict | None, keep: tuple[str, ...] = (), doc_i
         if shared.value is None:
             s = np.zeros(b.num_rows)
         else:
-            net = _loaded.get(id(shared.value))
-            if net is None:
-                _loaded.clear()
-                net = _loaded[id(shared.value)] = TextNet.load(shared.value)
+            net = _net(shared.value)
             ids, begin = padded_ids(b.column(1))
             s = net.scores(net.raw(ids, begin), _predicted_language(texts_of(b), net.languages))
         return pa.RecordBatch.from_arrays(

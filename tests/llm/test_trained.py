@@ -53,6 +53,22 @@ def test_toxicity_held_out(spark):
     assert sum(r.predicted for r in held if not toxic[r.doc_id]) <= 0.02 * len(held)
 
 
+def test_toxicity_calibrates_on_all_labelled_rows(spark, monkeypatch):
+    docs = spark.read.parquet(f"{cases.SF01}/documents.parquet")
+    labels = spark.read.parquet(f"{cases.SF01}/labels.parquet")
+    seen = []
+    count = toxicity.score_counts
+    monkeypatch.setattr(toxicity, "score_counts", lambda *a: seen.append((a[3], count(*a))) or seen[-1][1])
+    model = toxicity.fit(docs, labels, fit_rows=100)  # a sample far smaller than the table
+    used, counts = seen[0]
+    rest = {r.doc_id: r.toxic for r in labels.collect() if r.doc_id not in used and r.toxic is not None}
+    known = [r.doc_id for r in docs.select("doc_id").collect() if r.doc_id in rest]
+    assert 0 < len(used) < 200 and sum(n for *_, n in counts) == len(known) > 300
+    assert sum(n for _, _, toxic, n in counts if toxic) == sum(rest[i] for i in known)
+    assert model["cuts"] == toxicity.cuts_of(counts)
+    assert toxicity.cuts_of([("x", 10, 1, 12), ("x", 3, 0, 900), ("y", 5, 1, 2)]) == {"": 4.5 / 64, "x": 7 / 64}
+
+
 def test_toxicity_odd_rows(spark):
     docs = spark.read.parquet(f"{cases.SF01}/documents.parquet")
     labels = spark.read.parquet(f"{cases.SF01}/labels.parquet")
