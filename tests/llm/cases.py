@@ -1,5 +1,6 @@
 """Documents with odd cases, and brute-force versions of the corpus operators."""
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -157,3 +158,51 @@ def counted(df, *columns):
 
 def crc(i):
     return zlib.crc32(str(i).encode())
+
+
+def brute_kneser_ney(rows, order, parts=7, part=2):
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row, from dictionaries."""
+    low = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+    held = [i is not None and zlib.crc32(str(i).encode()) % parts == part for i, *_ in rows]
+    tokens = [[("w", w) for w in low(t).encode().split()] + [("end",)] for _, t, *_ in rows]
+    pad = [("begin",)] * (order - 1)
+    counts = {order: Counter(), **{k: Counter() for k in range(1, order)}}
+    raw = Counter()
+    for own, out in zip(tokens, held):
+        if not out:
+            raw.update(own)
+            s = pad + own
+            counts[order].update(tuple(s[i - order + 1:i + 1]) for i in range(order - 1, len(s)))
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    discounts, sums, kinds = {}, {}, {}
+    for k, c in counts.items():
+        n = [0] + [sum(v == j for v in c.values()) for j in range(1, 5)]
+        d = [0, 0.5, 1, 1.5]
+        if n[1] and n[2]:
+            y = n[1] / (n[1] + 2 * n[2])
+            for j in (1, 2, 3):
+                x = j - (j + 1) * y * n[j + 1] / n[j] if n[j] else d[j]
+                d[j] = x if 0 <= x <= j else d[j]
+        discounts[k] = d
+        sums[k], kinds[k] = Counter(), defaultdict(lambda: [0, 0, 0, 0])
+        for g, v in c.items():
+            sums[k][g[:-1]] += v
+            kinds[k][g[:-1]][min(v, 3)] += 1
+
+    def probability(g):
+        if not g:
+            return 1 / (len(raw) + 1)
+        k, lower = len(g), probability(g[1:])
+        total = sums[k][g[:-1]]
+        if not total:
+            return lower
+        v, d = counts[k][g], discounts[k]
+        return (max(v - d[min(v, 3)], 0) + sum(a * b for a, b in zip(d, kinds[k][g[:-1]])) * lower) / total
+    n, out = sum(raw.values()), []
+    for (i, *_), own, h in zip(rows, tokens, held):
+        s = pad + own
+        out.append((i, h, len(own), sum(raw[t] > 0 for t in own), n,
+                    sum(math.log10((raw[t] + 1) / (n + len(raw) + 1)) for t in own),
+                    sum(math.log10(probability(tuple(s[j - order + 1:j + 1]))) for j in range(order - 1, len(s)))))
+    return out
