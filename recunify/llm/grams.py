@@ -26,9 +26,11 @@ from pyspark.sql import functions as F
 from recunify.llm.text import mix
 
 #: N-grams of one shard, as far as the size of the texts tells (about five bytes a word).
-SHARD_GRAMS = 1 << 22
+SHARD_GRAMS = 1 << 20
 #: Positions counted in one numpy step.
-STEP_GRAMS = 1 << 20
+STEP_GRAMS = 1 << 18
+#: Rows that a task gathers before it deals them out: a row repeated among them is sent once.
+POOL_ROWS = 1 << 19
 _Q = np.uint64(0xA24BAED4963EE407)
 _KINDS = {c: np.dtype(c) for c in ("u1", "u2", "u4", "u8", "i8", "f8")}
 _CODES = list(_KINDS)
@@ -140,12 +142,24 @@ def combine(columns, values, how=("sum",)):
     return keys[rep], [c[rep] for c in columns], out
 
 
-def dealt(columns, values, bits: int, keys: np.ndarray | None = None):
-    """Yields (shard, block) of rows, each block in lexicographic order."""
+def spread(columns, bits: int) -> np.ndarray:
+    """Shard of each row: half of the bits follow all words but the last, the others the whole row.
+
+    So the rows of one context share few blocks (and a packed context), yet a
+    frequent context is spread over 2**(bits // 2) shards.
+    """
+    whole = key(columns)
+    if len(columns) == 1:
+        return shard_of(whole, bits)
+    return shard_of(key(columns[:-1]), bits - bits // 2) << (bits // 2) | shard_of(whole, bits // 2)
+
+
+def dealt(columns, values, bits: int, ordered: bool = False):
+    """Yields (shard, block) of rows, each block in lexicographic order; ``ordered``: the rows are so already."""
     if not len(columns[0]):
         return
-    shard = shard_of(key(columns) if keys is None else keys, bits)
-    order = np.lexsort([*columns[::-1], shard]) if keys is not None else np.argsort(shard, kind="stable")
+    shard = spread(columns, bits)
+    order = np.argsort(shard, kind="stable") if ordered else np.lexsort([*columns[::-1], shard])
     shard = shard[order]
     at = edges_of(shard)
     for lo, hi in zip(at, np.append(at[1:], len(shard))):
@@ -170,19 +184,50 @@ def counted(codes: np.ndarray, columns_at, n: int):
         yield [uniq[c[rep]] for c in cols], counts
 
 
+class Pool:
+    """Counted rows of several steps, dealt out together."""
+
+    def __init__(self, bits: int):
+        self.bits, self.parts, self.rows = bits, [], 0
+
+    def add(self, columns, counts):
+        """Yields (shard, block) once POOL_ROWS have come together."""
+        self.parts.append((columns, counts))
+        self.rows += len(counts)
+        if self.rows >= POOL_ROWS:
+            yield from self.flush()
+
+    def flush(self):
+        parts, self.parts, self.rows = self.parts, [], 0
+        if len(parts) == 1:
+            yield from dealt(parts[0][0], [parts[0][1]], self.bits, True)
+        elif parts:
+            columns = [np.concatenate(c) for c in zip(*[p[0] for p in parts])]
+            counts = np.concatenate([p[1] for p in parts])
+            del parts
+            _, columns, values = combine(columns, [counts])
+            yield from dealt(columns, values, self.bits)
+
+
 def shard_bits(docs: DataFrame, text: str = "text", grams: int | None = None) -> int:
     """Bits of the shard number, from the bytes of all texts."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     return max(0, int(size / 5 / (grams or SHARD_GRAMS))).bit_length()
 
 
-def merged(rows: DataFrame, keys: list[str], fn) -> DataFrame:
-    """``fn(key values..., blocks)`` gives the (key values..., block) rows of a shard; same schema out."""
-    schema = rows.schema
+def merged(rows: DataFrame, keys: list[str], fn, unpack=None, schema: str | None = None) -> DataFrame:
+    """``fn(key values..., blocks)`` gives the (key values..., block) rows of a shard; same schema out.
+
+    ``unpack(rows)``, a table of ``schema``, gives the rows another form in the
+    same task: a second Python operator would keep a second worker beside it.
+    """
+    schema = schema or rows.schema
 
     def run(table: pa.Table) -> pa.Table:
         own = [table[k][0].as_py() for k in keys]
         out = list(fn(*own, [memoryview(b.as_buffer()) for b in table["block"].combine_chunks()]))
+        if unpack:
+            return unpack(out)
         return pa.table({c: pa.array([r[i] for r in out], table.schema.field(c).type) for i, c in enumerate([*keys, "block"])})
     return rows.select(*keys, "block").groupBy(*keys).applyInArrow(run, schema)
 
@@ -224,12 +269,13 @@ class ArrayStore:
         except FileNotFoundError:
             return None
 
-    def lookup(self, table: str, keys: np.ndarray, width: int) -> list[np.ndarray]:
-        """``width`` value arrays for the keys; 0 where a key is not there."""
-        order = np.argsort(keys)
-        wanted = keys[order]
+    def lookup(self, table: str, columns: list[np.ndarray], width: int) -> list[np.ndarray]:
+        """``width`` value arrays for the rows; 0 where a row is not there."""
+        keys = key(columns)
+        shard = spread(columns, self.bits)
+        order = np.lexsort((keys, shard)) if len(columns) > 1 else np.argsort(keys)
+        wanted, shard = keys[order], shard[order]
         out = [np.zeros(len(keys), np.int64) for _ in range(width)]
-        shard = shard_of(wanted, self.bits)
         at = edges_of(shard)
         for lo, hi in zip(at, np.append(at[1:], len(shard))):
             arrays = self.open(table, int(shard[lo]))

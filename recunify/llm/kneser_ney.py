@@ -42,8 +42,8 @@ from recunify.llm.text import map_slices, pick, slices, span_hashes, utf8, words
 from recunify.session import scratch_path
 
 ORDER = 2
-#: Text counted or scored in one numpy step; a longer text is one step of its own.
-TEXT_STEP = 1 << 23
+#: Text counted, and text scored, in one numpy step; a longer text is one step of its own.
+TEXT_STEP, SCORE_STEP = 1 << 20, 1 << 21
 BEGIN, END = np.uint64(0x9D5C0FB3A1E86D27), np.uint64(0x51B0C4E29F7A3D8B)
 _USUAL = (0.5, 1.0, 1.5)
 
@@ -85,17 +85,19 @@ def token_codes(column: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray, n
 
 def _blocks(docs: DataFrame, order: int, bits: int) -> DataFrame:
     """(tag, shard, block) of the n-grams of the highest order."""
+    def out(found):
+        found = list(found)
+        return pa.RecordBatch.from_arrays([pa.array([order] * len(found), pa.int32()), pa.array([s for s, _ in found], pa.int32()),
+                                           pa.array([b for _, b in found], pa.binary())], ["tag", "shard", "block"])
+
     def run(batches):
+        pool = grams.Pool(bits)
         for b in slices(batches, "text", TEXT_STEP):
             codes, targets, _ = token_codes(b.column(0), order)
-            shards, blocks = [], []
             for cols, n in grams.counted(codes, lambda lo, hi: [targets[lo:hi] - k for k in range(order - 1, -1, -1)],
                                          len(targets)):
-                for s, block in grams.dealt(cols, [n], bits):
-                    shards.append(s)
-                    blocks.append(block)
-            yield pa.RecordBatch.from_arrays([pa.array([order] * len(shards), pa.int32()), pa.array(shards, pa.int32()),
-                                              pa.array(blocks, pa.binary())], ["tag", "shard", "block"])
+                yield out(pool.add(cols, n))
+        yield out(pool.flush())
     return pick(docs, text="text").mapInArrow(run, "tag int, shard int, block binary")
 
 
@@ -114,14 +116,14 @@ def _merge(level: int, order: int, bits: int, folder: str):
             grams.write_arrays(folder, f"gram{level}-{shard}",
                                [keys, grams.least(seen), *([grams.least(raw)] if level == 1 else [])])
             counts = [int((seen == k).sum()) for k in range(1, 5)]
-            yield 0, shard, grams.dump([np.array([level, *counts, len(keys), seen.sum(), raw.sum()], "i8")])
+            yield 0, shard, ",".join(map(str, [level, *counts, len(keys), seen.sum(), raw.sum()])).encode()
             if level > 1:
                 below, ones = cols[1:], np.ones(len(keys), np.int64)
-                k, c, v = grams.combine(below, [ones, raw], ("sum", "sum"))
-                yield from ((level - 1, s, b) for s, b in grams.dealt(c, v, bits, k))
+                _, c, v = grams.combine(below, [ones, raw], ("sum", "sum"))
+                yield from ((level - 1, s, b) for s, b in grams.dealt(c, v, bits))
                 context = grams.key(cols[:-1])
                 _, c, v = grams.combine([context], [seen, seen == 1, seen == 2, seen > 2], ("sum",) * 4)
-                yield from ((-level, s, b) for s, b in grams.dealt(c, v, bits, grams.key(c)))
+                yield from ((-level, s, b) for s, b in grams.dealt(c, v, bits))
     return fn
 
 
@@ -134,14 +136,10 @@ def fit(docs: DataFrame, order: int = ORDER, text: str = "text", shard_grams: in
     for level in range(order, 0, -1):
         rows = grams.merged(rows, ["tag", "shard"], _merge(level, order, bits, folder))
 
-    def numbers(batches):
-        for b in batches:
-            got = [grams.load(x)[0].tolist() for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], pa.int64()) for i in range(8)],
-                                             ["level", "n1", "n2", "n3", "n4", "types", "seen", "raw"])
-    names = "n1 n2 n3 n4 types seen raw".split()
-    got = {r.level: r for r in rows.mapInArrow(numbers, "level long, " + ", ".join(f"{n} long" for n in names))
-           .groupBy("level").agg(*[F.sum(n).alias(n) for n in names]).collect()}
+    names = "level n1 n2 n3 n4 types seen raw".split()
+    numbers = F.split(F.col("block").cast("string"), ",").cast("array<long>")
+    got = {r.level: r for r in rows.filter("tag = 0").select(*[numbers[i].alias(n) for i, n in enumerate(names)])
+           .groupBy("level").agg(*[F.sum(n).alias(n) for n in names[1:]]).collect()}
     if not got:
         return Model(folder, bits, order, 0, 0, (_USUAL,) * order, 0, (0, 0, 0))
     low = got[1]
@@ -167,7 +165,7 @@ def _taken(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
 def probabilities(codes: np.ndarray, targets: np.ndarray, model: Model, store: grams.ArrayStore):
     """(probability, count among the learning tokens) of every target."""
     uniq, rank = grams.ranks(codes[targets])
-    seen, raw = store.lookup("gram1", grams.key([uniq]), 2)
+    seen, raw = store.lookup("gram1", [uniq], 2)
     p = np.full(len(uniq), 1 / (model.types + 1))
     if model.total:
         freed = sum(a * b for a, b in zip(model.discounts[0], model.kinds))
@@ -176,10 +174,10 @@ def probabilities(codes: np.ndarray, targets: np.ndarray, model: Model, store: g
     for k in range(2, model.order + 1):
         cols = [codes[targets - j] for j in range(k - 1, -1, -1)]
         contexts, at = grams.ranks(grams.key(cols[:-1]))
-        total, one, two, more = store.lookup(f"context{k}", grams.key([contexts]), 4)
+        total, one, two, more = store.lookup(f"context{k}", [contexts], 4)
         d = model.discounts[k - 1]
         freed = (d[0] * one + d[1] * two + d[2] * more)[at]
-        seen, = store.lookup(f"gram{k}", grams.key(cols), 1)
+        seen, = store.lookup(f"gram{k}", cols, 1)
         total = total[at]
         p = np.where(total > 0, (_taken(seen, d) + freed * p) / np.maximum(total, 1), p)
     return p, raw
@@ -206,4 +204,4 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = (), doc_id: str
     return map_slices(pick(docs, doc_id=doc_id, text=text, **{k: k for k in keep}),
                       f"doc_id {kind}, " + "".join(f"{k} boolean, " for k in keep)
                       + "n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double",
-                      run, step=TEXT_STEP)
+                      run, step=SCORE_STEP)
