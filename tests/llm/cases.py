@@ -206,3 +206,72 @@ def brute_kneser_ney(rows, order, parts=7, part=2):
                     sum(math.log10((raw[t] + 1) / (n + len(raw) + 1)) for t in own),
                     sum(math.log10(probability(tuple(s[j - order + 1:j + 1]))) for j in range(order - 1, len(s)))))
     return out
+
+
+def brute_pieces(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return [re.findall("[^\x20\x09]+", p) for p in re.split("[.,;:!?\x0a-\x0d]", low)]
+
+
+def brute_collocations(rows, min_count=10, top=2000, drop_percent=50):
+    """Set of (lang, rank, phrase, a, l, r, n, score)."""
+    counts, n = defaultdict(Counter), Counter()
+    for _, t, lang, *_ in rows:
+        for w in brute_pieces(t):
+            n[lang or "und"] += len(w)
+            for k in (1, 2, 3):
+                counts[lang or "und"].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = set()
+    for lang, f in counts.items():
+        longer = defaultdict(int)
+        for g, c in f.items():
+            if len(g) == 3 and c >= min_count:
+                for part in (g[:2], g[1:]):
+                    longer[part] = max(longer[part], c)
+        found = []
+        for g, a in f.items():
+            if len(g) > 1 and a >= min_count and not (len(g) == 2 and 100 * longer[g] >= drop_percent * a and longer[g]):
+                score, _, left, right = min((1000000 * a * a // (f[g[:k]] * f[g[k:]]), k, f[g[:k]], f[g[k:]])
+                                            for k in range(1, len(g)))
+                found.append((-score, -a, " ".join(g).encode(), left, right))
+        for i, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.add((lang, i, phrase.decode(), -a, left, right, n[lang], -score))
+    return out
+
+
+def brute_vocabulary(rows, every=97, min_letters=5, min_count=3):
+    n = Counter()
+    for i, t, *_ in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", t or ""):
+            w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{w}".encode())
+            if every and h % every == 0:
+                w = w[:h % len(w)] + w[h % len(w) + 1:]
+            n[w] += len(w) >= min_letters
+    return {w: c for w, c in n.items() if c >= min_count}
+
+
+def brute_variants(vocab, ratio=2):
+    """Set of (word, form, root, n, n_near, form_n)."""
+    holes = defaultdict(set)
+    for w in vocab:
+        for i in range(len(w)):
+            holes[i, w[:i], w[i + 1:]].add(w)
+    near = defaultdict(set)
+    for (_, a, b), group in holes.items():
+        for w in group:
+            near[w] |= group - {w}
+            if a + b in vocab:
+                near[w].add(a + b)
+                near[a + b].add(w)
+    form = {}
+    for w, n in vocab.items():
+        best = min(near[w], key=lambda x: (-vocab[x], x), default=None)
+        form[w] = best if best is not None and vocab[best] >= ratio * n else None
+    out = set()
+    for w, n in vocab.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.add((w, form[w], root, n, len(near[w]), vocab[form[w]] if form[w] is not None else None))
+    return out

@@ -1,4 +1,5 @@
 """Operators on counted n-grams and words, against brute force: odd rows, empty tables, sf0.01."""
+import random
 import sys
 from pathlib import Path
 
@@ -8,8 +9,9 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import cases  # noqa: E402
-from recunify.llm import grams, kneser_ney, langid  # noqa: E402
+from recunify.llm import collocations, grams, kneser_ney, langid, spelling  # noqa: E402
 from recunify.llm.queries import QUERIES  # noqa: E402
+from recunify.llm.store import stage  # noqa: E402
 
 
 def same_scores(got, want):
@@ -63,6 +65,83 @@ def test_packed_blocks_round_trip():
         cols, n = next(grams.counted(codes, lambda lo, hi: [np.arange(lo, hi) + k for k in range(width)], 4000))
         back, values = grams.unpack(grams.pack(cols, [n]), width)
         assert all((a == b).all() for a, b in zip(cols, back)) and (values[0] == n).all()
-        blocks = [b for _, b in grams.dealt(cols, [n], 3)] * 2
+        blocks = [b for _, b in grams.dealt(cols, [n], 3, True)] * 2
         keys, _, total = grams.merge(blocks, width)
         assert len(keys) == len(n) and total[0].sum() == 8000 and (np.diff(keys.astype(object)) > 0).all()
+
+
+@pytest.mark.parametrize("shard_grams", [grams.SHARD_GRAMS, 1 << 10])
+def test_collocations_odd_rows(spark, shard_grams):
+    got = collocations.collocations(cases.frame(spark), lambda df: stage(df, "test"), min_count=2, shard_grams=shard_grams)
+    assert {tuple(r) for r in got.collect()} == cases.brute_collocations(cases.odd_rows(), 2)
+
+
+def test_collocations_whole_table(spark):
+    got = {tuple(r) for r in QUERIES["op13_collocations"](spark, cases.SF01).collect()}
+    assert got and got == cases.brute_collocations(cases.documents())
+
+
+def test_collocations_ties_pieces_and_languages(spark):
+    rows = [(i, t, lang) for lang in ("en", None, "und") for i, t in enumerate(
+        ["b a, b a. a b c d! a b c d", "A\tB  C d\nx\x0by x\x0by", "é;é é é é", "a b c d a b c d a b c d", "", None])]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id int, text string, lang string, rank string, score string")
+    for top in (1, 3, 100):
+        got = collocations.collocations(docs, lambda df: stage(df, "test"), min_count=2, top=top)
+        assert {tuple(r) for r in got.collect()} == cases.brute_collocations(rows, 2, top)
+    assert collocations.collocations(docs.filter("doc_id > 50"), lambda df: stage(df, "test")).count() == 0
+
+
+def test_collocation_paths_are_compacted(spark):
+    passage = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, passage, "en") for i in range(12)] + [(20 + i, "p q p q p q p q", "en") for i in range(12)]
+    rows += [(40 + i, "w7 w8 w9 other", "en") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    keep = lambda df: stage(df, "test")
+    found = collocations.graph(docs, keep)
+    got = collocations.paths(found, keep).collect()
+    assert len(got) == 38 + 1 + 2
+    names = {r.code: r.word for r in collocations._spelling(docs.select("text")).collect()}
+    chains = {}
+    for r in sorted(got, key=lambda r: -r.place):
+        chains.setdefault(r.path, []).append(" ".join(names[w] for w in (r.w1, r.w2, r.w3)))
+    chains = sorted(chains.values(), key=len)
+    # the passage breaks where another text enters (w7 w8) and leaves (w8 w9); pieces end at w8 w9 other
+    assert [len(c) for c in chains][-2:] == [7, 30] and chains[-2][0] == "w0 w1 w2" and chains[-2][-1] == "w6 w7 w8"
+    assert all(a.split()[1:] == b.split()[:2] for c in chains for a, b in zip(c, c[1:]))
+
+
+def syllable_rows():
+    r = random.Random(1)
+    parts = ["ab", "cion", "tion", "er", "th", "an", "é", "ö", "x", "q"]
+    rows = [(i, " ".join("".join(r.choice(parts) for _ in range(r.randrange(2, 5))) for _ in range(400))) for i in range(60)]
+    return rows + [(100, " ".join(["a" * 5000] * 3 + ["a" * 5001] * 3 + ["aaaaa"] * 7 + ["aaaaaa"] * 3))]
+
+
+@pytest.mark.parametrize("near", [{}, {"keep_from": 3, "block": 4, "bucket_rows": 50}])
+def test_spelling_variants_odd_rows(spark, near):
+    keep = lambda df: stage(df, "test")
+    odd = cases.odd_rows() + [(200 + i, "Élan éLAN élan colour color colors colouR ABCDE abcde ábcde", *cases.odd_rows()[0][2:])
+                              for i in range(4)]
+    for rows, docs in ((odd, cases.frame(spark, odd)),
+                       (syllable_rows(), spark.createDataFrame(syllable_rows(), "doc_id int, text string").repartition(3))):
+        got = {tuple(r) for r in spelling.variants(docs, keep, **near).collect()}
+        assert got == cases.brute_variants(cases.brute_vocabulary(rows))
+    assert spelling.variants(docs.filter("doc_id > 500"), keep).count() == 0
+
+
+def test_spelling_variants_whole_table(spark):
+    got = {tuple(r) for r in QUERIES["op11_spelling_variants"](spark, cases.SF01).collect()}
+    assert got == cases.brute_variants(cases.brute_vocabulary(cases.documents()))
+
+
+def test_affected_gram_bound_leaves_a_gram():
+    r = random.Random(2)
+    words = ["".join(r.choice("abé") for _ in range(r.randrange(5, 14))).encode("latin-1") for _ in range(300)]
+    for letters, _, m in spelling.by_length(words):
+        codes = spelling.gram_codes(m, spelling.GRAM_MAX)
+        counts = {q: np.where(c % np.uint64(3) == 0, 5, 1 if q == 2 else 0) for q, c in codes.items()}
+        for q in range(3, max(counts) + 1):  # a gram's beginning is at least as frequent
+            counts[q] = np.where(counts[q - 1][:, :counts[q].shape[1]] > 0, counts[q], 0)
+        longest = min(spelling.GRAM_MAX, (letters + 2) // 2)
+        place, size, _, used = spelling.decompose(codes, counts, letters, longest)
+        assert (used.sum(1) >= 1).all() and (size[used] >= 2).all() and (place + size <= letters + 2)[used].all()
