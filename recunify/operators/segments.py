@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recunify.functions.blank import int_or_null, is_blank_trim, is_int_text
-from recunify.operators.suppression import key_join, suppress
+from recunify.operators.suppression import anti_history, key_join, suppression_pair
 
 RULE_FIELDS = ("source", "minage", "maxage", "minparentage", "maxparentage")
 TARGET = ("targetdatabase", "targettable")
@@ -112,10 +112,15 @@ def matching_rules(types: DataFrame, rules: DataFrame, target_col: str = "target
 
 
 def segment_rows(golden: DataFrame, rules: DataFrame, target_col: str = "targettable",
-                 key: str = "mobile", how: str = "columns", source_type: str = "source_type") -> DataFrame:
-    """(target, golden row) for every target whose rules the row satisfies."""
+                 key: str = "mobile", how: str = "columns", source_type: str = "source_type",
+                 types: DataFrame | None = None) -> DataFrame:
+    """(target, golden row) for every target whose rules the row satisfies.
+
+    ``types`` are the distinct source types, if they can be had for less than
+    from ``golden`` itself."""
     target = target_columns(rules, target_col)
-    matched = matching_rules(golden.select(source_type).distinct(), rules, target_col, source_type)
+    types = golden.select(source_type).distinct() if types is None else types
+    matched = matching_rules(types, rules, target_col, source_type)
     ints = golden.select(*golden.columns, *[int_or_null(c).alias(_INT + c) for c in AGE_COLUMNS])
     if how == "columns":
         per_target = matched.groupBy(source_type, *target).agg(F.collect_list(F.struct(*_BOUNDS)).alias("__rules"))
@@ -164,9 +169,10 @@ def publish_segments(golden: DataFrame, rules: DataFrame, target_categories: Dat
                      target_col: str = "targettable", key: str = "mobile",
                      category: str = "category", pattern: str = "", hot_rows: int | None = None) -> DataFrame:
     """C9 for every target whose table matches ``pattern``, in one pass:
-    segment -> minus suppression (for all categories and for the target's own
-    category) -> city filled from the dimension -> rows with a blank city
-    dropped.
+    golden rows minus the suppression for all categories -> city filled from
+    the dimension -> rows with a blank city dropped -> segments -> minus the
+    suppression for the target's own category.  Only the last step needs the
+    target, so the others see each golden row once, not once per target.
 
     A target without a category fails alone: it gives no rows, the others
     do, and ``targets_without_category`` names it.  ``suppression`` is the
@@ -177,10 +183,14 @@ def publish_segments(golden: DataFrame, rules: DataFrame, target_categories: Dat
     # one row per target table (first category wins)
     tc = (target_categories.where(F.col(category).isNotNull()).groupBy(target_col)
           .agg(F.min(category).alias(category)))
-    segs = segment_rows(golden, rules.join(tc.select(target_col), target_col, "left_semi"), target_col, key)
-    kept = suppress(segs.join(tc, target_col), suppression, key, category, hot_rows).drop(category)
-    kept = kept.select(*target_columns(rules, target_col), *golden.columns)
-    return drop_blank(lookup_fill(kept, dim, dim_key_expr, dim_key, city, hot_rows=hot_rows), city)
+    common, per_category = suppression_pair(suppression, key, category)
+    # what depends on the golden row alone comes before rows are copied to their targets
+    kept = anti_history(golden, common, key, hot_rows)
+    kept = drop_blank(lookup_fill(kept, dim, dim_key_expr, dim_key, city, hot_rows=hot_rows), city)
+    segs = segment_rows(kept, rules.join(tc.select(target_col), target_col, "left_semi"), target_col, key,
+                        types=golden.select("source_type").distinct())
+    out = anti_history(segs.join(tc, target_col), per_category, [key, category], hot_rows)
+    return out.select(*target_columns(rules, target_col), *golden.columns)
 
 
 def write_segments(df: DataFrame, root: str, evaluated: DataFrame | None = None,

@@ -98,9 +98,13 @@ def _group_stats(df: DataFrame, group: Sequence[str], project: str) -> DataFrame
         F.count(F.lit(1)).alias("__n"), F.count(p).alias("__nn"))
 
 
-def _two(stats: DataFrame) -> DataFrame:
+def _has_two() -> Column:
     two = (F.col("__lo") < F.col("__hi")) | ((F.col("__nn") > 0) & (F.col("__nn") < F.col("__n")))
-    return stats.where(two)
+    return F.coalesce(two, F.lit(False))
+
+
+def _two(stats: DataFrame) -> DataFrame:
+    return stats.where(_has_two())
 
 
 def two_group_keys(df: DataFrame, group: Sequence[str], project: str) -> DataFrame:
@@ -112,6 +116,11 @@ def two_group_keys(df: DataFrame, group: Sequence[str], project: str) -> DataFra
     return _two(_group_stats(df, group, project)).select(*group)
 
 
+def one_group_keys(df: DataFrame, group: Sequence[str], project: str) -> DataFrame:
+    """The other group keys: all rows of the group have the same project, or none."""
+    return _group_stats(df, group, project).where(~_has_two()).select(*group)
+
+
 def group_join(df: DataFrame, keys: DataFrame, group: Sequence[str], how: str,
                hot_rows: int | None = None) -> DataFrame:
     """Join rows back to one-row-per-group ``keys``, which carry the group
@@ -187,18 +196,23 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
     codes = [REASON_CHILD, REASON_SUCCESS, REASON_AGE]
     win = outcomes.where(F.col(day).between(start, as_of) & F.col(reason).isin(codes))
     past = history.where((F.col("source_type") == source_type) & (F.col(day) < as_of))
-    # One history pass for the three outcome reasons: (key, reason) seen
-    # before today, removed with a single anti join on both columns.
-    seen = past.where(F.col(reason).isin(codes)).select(key, reason).distinct()
-    # age rows must also be seen in >= 2 projects; only they take that join
-    plain = anti_history(win.where(F.col(reason) != REASON_AGE), seen, [key, reason], hot_rows)
-    age = seen_in_two_groups(anti_history(win.where(F.col(reason) == REASON_AGE), seen, [key, reason], hot_rows),
-                             [category, key], project)
+    # One history pass for the three outcome reasons: (key, reason) seen before
+    # today, removed with a single anti join on both columns.  Repeated rows of
+    # history do no harm there, so they are not made distinct first.
+    seen = past.where(F.col(reason).isin(codes)).select(key, reason)
+    fresh = anti_history(win, seen, [key, reason], hot_rows)
+    # Age rows must also be seen in >= 2 projects.  History takes all age rows
+    # of a key or none, so the groups can be judged before it; the groups of one
+    # project are removed, and age rows without a group go with them.
+    is_age = F.col(reason) == REASON_AGE
+    single = one_group_keys(win.where(is_age), [category, key], project).withColumn(reason, F.lit(REASON_AGE))
+    fresh = anti_history(fresh.where(~is_age | (F.col(key).isNotNull() & F.col(category).isNotNull())), single,
+                         [category, key, reason], hot_rows)
 
     short = call_rows(calls, shift_day(as_of, -call_days), as_of, max_seconds, key=key, day=day,
                       duration=duration, **(call_rules or {}))
     refused = past.where((F.col(reason) == REASON_REFUSE)
-                         & (F.col(day) >= shift_day(as_of, -refuse_days))).select(key).distinct()
+                         & (F.col(day) >= shift_day(as_of, -refuse_days))).select(key)
     # Both refuse conditions are per key, so their order is free; the anti
     # join goes last because placed first it is pushed into both inputs of
     # the two-group rule and the refused-key set is built twice.
@@ -210,8 +224,7 @@ def suppression_candidates(outcomes: DataFrame, history: DataFrame, calls: DataF
     def layout(df: DataFrame, renames: Mapping[str, object], values: Mapping[str, object]) -> DataFrame:
         return align(df, [*columns, "event_day", *constants], {"event_day": day, **renames}, {**constants, **values})
 
-    return union_all([layout(plain, {}, {}), layout(age, {}, {}),
-                      layout(refuse, call_columns or {}, {reason: REASON_REFUSE})])
+    return union_all([layout(fresh, {}, {}), layout(refuse, call_columns or {}, {reason: REASON_REFUSE})])
 
 
 def active_suppression_parts(filter_table: DataFrame, closed: DataFrame, as_of: str,
@@ -227,16 +240,16 @@ def active_suppression_parts(filter_table: DataFrame, closed: DataFrame, as_of:
     * ``per_category`` (key, category): child rows whose (key, category)
       has no closed deal.
 
-    Duplicates are kept (UNION ALL semantics); anti joins ignore them.
+    Duplicates are kept (UNION ALL semantics); anti joins ignore them, those
+    of ``closed`` too, so neither is shuffled once more to be made distinct.
     """
     r, d = F.col(reason), F.col(day)
     common = filter_table.where(
         (r == REASON_AGE) | ((r == REASON_SUCCESS) & (d >= shift_day(as_of, -success_days))))
     refuse = anti_history(
         filter_table.where((r == REASON_REFUSE) & (d >= shift_day(as_of, -refuse_days))),
-        closed.select(key).distinct(), key, hot_rows)
-    child = anti_history(filter_table.where(r == REASON_CHILD), closed.select(key, category).distinct(),
-                         [key, category], hot_rows)
+        closed.select(key), key, hot_rows)
+    child = anti_history(filter_table.where(r == REASON_CHILD), closed.select(key, category), [key, category], hot_rows)
     return (union_all([common.select(key), refuse.select(key)]), child.select(key, category))
 
 
@@ -266,15 +279,19 @@ def active_suppression(filter_table: DataFrame, closed: DataFrame, as_of: str,
                       per_cat])
 
 
+def suppression_pair(suppression, key: str = "mobile", category: str = "category") -> tuple[DataFrame, DataFrame]:
+    """(keys for every category, (key, category) rows) of either form of a suppression."""
+    if isinstance(suppression, DataFrame):
+        return (suppression.where(F.col(category).isNull()).select(key),
+                suppression.where(F.col(category).isNotNull()).select(key, category))
+    return suppression
+
+
 def suppress(rows: DataFrame, suppression, key: str = "mobile",
              category: str = "category", hot_rows: int | None = None) -> DataFrame:
     """Drop rows whose key is suppressed for every category, or for the
     row's own category.  ``suppression`` is the pair from
     ``active_suppression_parts`` (or the single table from
     ``active_suppression(category_value=None)``)."""
-    if isinstance(suppression, DataFrame):
-        common = suppression.where(F.col(category).isNull()).select(key)
-        per_cat = suppression.where(F.col(category).isNotNull()).select(key, category)
-    else:
-        common, per_cat = suppression
+    common, per_cat = suppression_pair(suppression, key, category)
     return anti_history(anti_history(rows, common, key, hot_rows), per_cat, [key, category], hot_rows)

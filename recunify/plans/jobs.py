@@ -64,7 +64,7 @@ SUPPRESSION_PARTITIONS = ("source_type", "update_day", "update_time")
 
 def daily_suppression_job(spark, outcomes: DataFrame, calls: DataFrame, filter_path: str,
                           as_of: str, source_type: str = SOURCE_TYPE, update_time: str = UPDATE_TIME,
-                          hot_rows: int | None = None, **params) -> int:
+                          hot_rows: int | None = None, rows_per_file: int | None = None, **params) -> int:
     """3.2 (suppression part): compute day ``as_of``'s new suppression rows
     and write them as one (source_type, update_day, update_time) partition of
     the table at ``filter_path``, which is also the history the job reads.
@@ -87,7 +87,7 @@ def daily_suppression_job(spark, outcomes: DataFrame, calls: DataFrame, filter_p
     staged = stage(cands, "suppression", how="checkpoint")
     n = staged.count()
     if n or first:
-        overwrite_partitions(staged, filter_path, SUPPRESSION_PARTITIONS)
+        overwrite_partitions(staged, filter_path, SUPPRESSION_PARTITIONS, rows_per_file)
     else:
         drop_partitions(spark, filter_path, [dict(zip(SUPPRESSION_PARTITIONS, (source_type, as_of, update_time)))])
     return n
@@ -163,7 +163,8 @@ def daily_update_job(spark, as_of: str, outcomes: DataFrame, calls: DataFrame,
     if feed_titles:
         feed = outcome_feed(outcomes, as_of, as_of, feed_titles, feed_codes or {}, feed_layout, **(feed_rules or {}))
         overwrite_partitions(feed, paths["updated"], SUPPRESSION_PARTITIONS, rows_per_file)
-    daily_suppression_job(spark, outcomes, calls, paths["filter"], as_of, **(suppression_params or {}))
+    daily_suppression_job(spark, outcomes, calls, paths["filter"], as_of,
+                          **{"rows_per_file": rows_per_file, **(suppression_params or {})})
     reports = []
     for name, rows in hot_feeds.items():
         latest = dedup.latest_dedup(rows, ["source_type", key], order, day_col=day_col,
