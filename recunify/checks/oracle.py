@@ -137,10 +137,14 @@ SELECT * FROM contacts WHERE update_day < strftime(DATE '2024-01-31' - INTERVAL
 SQL["drop_blank"] = f"""WITH {CONTACTS}
 SELECT * FROM contacts WHERE NOT (attr_a IS NULL OR trim(attr_a) = '')"""
 
-SQL["partition_manifest"] = f"""WITH {CONTACTS}
-SELECT 'ALTER TABLE dw.contacts ADD IF NOT EXISTS PARTITION (source_type=''' || source_type
+SQL["partition_manifest"] = f"""WITH {CONTACTS},
+named AS (SELECT CASE source_type WHEN 'error' THEN NULL WHEN 'signup' THEN '' WHEN 'view' THEN 'it''s \\ a view'
+                 ELSE source_type END AS s, update_day FROM contacts)
+SELECT DISTINCT 'ALTER TABLE dw.contacts ADD IF NOT EXISTS PARTITION (source_type='''
+       || CASE WHEN s IS NULL OR s = '' THEN '__HIVE_DEFAULT_PARTITION__'
+               ELSE replace(replace(s, '\\', '\\\\'), '''', '\\''') END
        || ''',update_day=''' || update_day || ''');' AS partition
-FROM (SELECT DISTINCT source_type, update_day FROM contacts)"""
+FROM named"""
 
 OUTCOMES = """outcomes AS (
   SELECT o_custkey AS mobile, o_orderstatus AS category, o_orderkey AS project,
@@ -468,3 +472,107 @@ SQL["golden_mapped"] = ("SELECT contact_id, attr_a AS first_attr, attr_b AS seco
 
 SQL["latest_dedup_mapped"] = ("SELECT contact_id, source_type, attr_a, attr_b, update_day FROM ("
                               + SQL["latest_dedup"] + ")")
+
+SQL["created_tables"] = """
+SELECT 'nation_' || CAST(c_nationkey AS VARCHAR) AS tablename,
+       CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS INTEGER) AS place,
+       'c_' || CAST(c_custkey AS VARCHAR) AS name,
+       CASE c_custkey % 3 WHEN 0 THEN 'int' WHEN 1 THEN 'string' ELSE 'double' END AS type,
+       coalesce(c_mktsegment, '') AS comment
+FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation)"""
+
+# ---------------------------------------------------------------- time and ranges
+
+SQL["status_at_call"] = f"""WITH {CALLS}, {HISTORY},
+states AS (
+  SELECT mobile, CAST(update_day AS DATE) AS from_day, update_day AS since, source, source_type FROM history
+  QUALIFY row_number() OVER (PARTITION BY mobile, update_day ORDER BY source DESC, source_type DESC) = 1),
+timed AS (SELECT *, CAST(update_day AS DATE) AS call_day FROM calls)
+SELECT t.mobile, t.category, t.project, t.order_key, t.duration_time, t.update_day, s.since, s.source, s.source_type
+FROM timed t ASOF LEFT JOIN states s ON t.mobile = s.mobile AND t.call_day >= s.from_day"""
+
+_GAPS = """gaps AS (
+  SELECT user_id AS contact_id, event_type AS source_type, ts AS contact_time,
+         (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) / 1000000.0 AS gap_seconds, event_id
+  FROM events),
+numbered AS (
+  SELECT contact_id, source_type, contact_time, gap_seconds,
+         sum(CASE WHEN gap_seconds <= 43200 THEN 0 ELSE 1 END)
+           OVER (PARTITION BY contact_id ORDER BY contact_time, event_id) AS session
+  FROM gaps)"""
+
+SQL["contact_gaps"] = f"""WITH {_GAPS}
+SELECT contact_id, source_type, contact_time, CAST(gap_seconds AS DOUBLE) AS gap_seconds, CAST(session AS BIGINT) AS session
+FROM numbered"""
+
+SQL["contact_sessions"] = f"""WITH {_GAPS}
+SELECT contact_id, CAST(session AS BIGINT) AS session, min(contact_time) AS first_time, max(contact_time) AS last_time,
+       count(*) AS n_rows, CAST(max(CASE WHEN gap_seconds <= 43200 THEN gap_seconds END) AS DOUBLE) AS longest_gap
+FROM numbered GROUP BY contact_id, session"""
+
+SQL["calls_in_last_days"] = f"""WITH {CALLS},
+dated AS (SELECT *, CAST(update_day AS DATE) AS call_day, TRY_CAST(duration_time AS BIGINT) AS s FROM calls)
+SELECT mobile, category, project, order_key, duration_time, update_day,
+       count(*) OVER a AS n_14, CAST(sum(s) OVER a AS BIGINT) AS seconds_14,
+       count(*) OVER b AS n_60, CAST(sum(s) OVER b AS BIGINT) AS seconds_60
+FROM dated
+WINDOW a AS (PARTITION BY mobile ORDER BY call_day RANGE BETWEEN INTERVAL 14 DAY PRECEDING AND CURRENT ROW),
+       b AS (PARTITION BY mobile ORDER BY call_day RANGE BETWEEN INTERVAL 60 DAY PRECEDING AND CURRENT ROW)"""
+
+SQL["overlapping_ranges"] = f"""WITH {GOLDEN_PARTS},
+ranges AS (SELECT mobile, source_type, TRY_CAST(age_start AS INTEGER) AS age_from, TRY_CAST(age_end AS INTEGER) AS age_to
+           FROM golden),
+rules AS (SELECT s_suppkey AS rule_id, CASE WHEN s_suppkey % 10 <> 0 THEN CAST(s_suppkey % 50 AS INTEGER) END AS rule_from,
+                 CASE WHEN s_suppkey % 15 <> 0
+                      THEN CAST(s_suppkey % 50 + CASE WHEN s_suppkey % 7 = 0 THEN 30 ELSE s_suppkey % 5 - 1 END AS INTEGER) END
+                   AS rule_to
+          FROM supplier)
+SELECT * FROM ranges JOIN rules
+  ON (rule_from IS NULL OR rule_from <= age_to) AND (rule_to IS NULL OR rule_to >= age_from)
+ AND (rule_from IS NULL OR rule_to IS NULL OR rule_from <= rule_to)
+WHERE age_from IS NOT NULL AND age_to IS NOT NULL"""
+
+# ---------------------------------------------------------------- distinct keys
+
+_DISTINCT = f"""WITH {CONTACTS},
+spans AS (SELECT * FROM (VALUES ('2024-01-01', '2024-01-30'), ('2024-01-08', '2024-01-21'), ('2024-01-15', '2024-01-15'))
+          AS t(since, until)),
+exact AS (SELECT source_type, since, until, count(DISTINCT contact_id) AS n_keys
+          FROM contacts JOIN spans ON update_day BETWEEN since AND until GROUP BY source_type, since, until)"""
+
+SQL["distinct_by_bitmaps"] = f"""{_DISTINCT} SELECT * FROM exact"""
+
+SQL["distinct_by_sketches"] = f"""{_DISTINCT} SELECT *, true AS within_5_percent FROM exact"""
+
+SQL["ingest_summary"] = f"""WITH {CONTACTS},
+c AS (SELECT * REPLACE (CASE WHEN source_type <> 'error' THEN source_type END AS source_type) FROM contacts)
+SELECT CASE grouping(update_day) * 2 + grouping(source_type) WHEN 0 THEN 'day_source' WHEN 1 THEN 'day'
+       WHEN 2 THEN 'source' ELSE 'total' END AS level,
+       update_day, source_type, count(*) AS counts, count(DISTINCT contact_id) AS distinct_num
+FROM c GROUP BY GROUPING SETS ((update_day, source_type), (update_day), (source_type), ())"""
+
+# ---------------------------------------------------------------- changes, maps, state
+
+_TWO_GOLDEN = f"""WITH {CONTACTS},
+older AS (SELECT contact_id, source_type, attr_b FROM contacts WHERE update_day < '2024-01-20'),
+newer AS (SELECT contact_id, source_type, attr_b FROM contacts WHERE update_day >= '2024-01-05')"""
+
+SQL["golden_changes"] = f"""{_TWO_GOLDEN}
+SELECT *, 'add' AS op, count(*) AS copies FROM (SELECT * FROM newer EXCEPT ALL SELECT * FROM older) GROUP BY ALL
+UNION ALL
+SELECT *, 'drop' AS op, count(*) AS copies FROM (SELECT * FROM older EXCEPT ALL SELECT * FROM newer) GROUP BY ALL"""
+
+SQL["golden_common"] = f"""{_TWO_GOLDEN}
+SELECT *, count(*) AS copies FROM (SELECT * FROM newer INTERSECT ALL SELECT * FROM older) GROUP BY ALL"""
+
+SQL["merged_attributes"] = f"""WITH {CONTACTS},
+entries AS (SELECT contact_id, update_day, update_time, event_id, 'attr_a' AS name, attr_a AS value FROM contacts
+            UNION ALL SELECT contact_id, update_day, update_time, event_id, 'attr_b', attr_b FROM contacts
+            UNION ALL SELECT contact_id, update_day, update_time, event_id, 'name_' || CAST(event_id % 200 AS VARCHAR), source_type
+            FROM contacts)
+SELECT contact_id, name, value FROM entries
+QUALIFY row_number() OVER (PARTITION BY contact_id, name
+                           ORDER BY CASE WHEN {_blank('value')} THEN 0 ELSE 1 END DESC, update_day DESC, update_time DESC,
+                                    event_id DESC) = 1"""
+
+SQL["streamed_latest"] = SQL["latest_dedup"]

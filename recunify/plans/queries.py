@@ -17,13 +17,14 @@ from recunify.functions.blank import is_blank, is_blank_trim
 from recunify.functions.codes import code_of
 from recunify.functions.dates import shift_day
 from recunify.functions.ranges import range_bounds
-from recunify.operators import catalog, dedup, report, segments as sg
+from recunify.operators import catalog, changes, dedup, distinct, overlap, report, segments as sg, timeline
 from recunify.operators import suppression as sp, survivorship as sv
 from recunify.plans import jobs
 from recunify.session import scratch_path
 from recunify.sinks import writers
 from recunify.sources import standins as si
 from recunify.sources.feeds import SOURCE_TYPE, call_rows, outcome_rows
+from recunify.streaming.latest import latest_rows, stream_latest
 from recunify.sources.readers import (align, history_keys, literal_frame, read_table, read_tiers,
                                       scan_prefix, union_all)
 
@@ -35,6 +36,9 @@ CONTACT_ORDER = ("update_day", "update_time", "event_id")
 SUPPRESS_AS_OF = "2000-06-30"     # daily suppression job day (orders stand-in)
 ACTIVE_AS_OF = "2001-08-01"       # segment publishing day (last order day)
 ACTIVE_CATEGORY = "P"             # category of the published target
+SESSION_GAP = 12 * 3600           # seconds without a contact that end a session
+CALL_WINDOWS = (14, 60)           # days before a call in which calls are counted
+DISTINCT_RANGES = (("2024-01-01", "2024-01-30"), ("2024-01-08", "2024-01-21"), ("2024-01-15", "2024-01-15"))
 # --------------------------------------------------------------------------
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,11 +134,13 @@ def drop_blank(spark, d):
 
 @query
 def partition_manifest(spark, d):
-    return writers.partition_manifest(_contacts(spark, d), "dw.contacts",
+    """K3; one source is NULL, one is empty, one has a quote and a backslash."""
+    odd = (F.when(F.col("source_type") == "error", F.lit(None)).when(F.col("source_type") == "signup", "")
+           .when(F.col("source_type") == "view", "it's \\ a view").otherwise(F.col("source_type")))
+    return writers.partition_manifest(_contacts(spark, d).withColumn("source_type", odd), "dw.contacts",
                                       ["source_type", "update_day"])
 
 
-
 # ---------------------------------------------------------------- suppression
 
 @query(name="history_keys")
@@ -266,6 +272,24 @@ def seed_columns_written(spark, d):
     return writers.read_partitions(spark, path, seeded.schema)
 
 
+@query
+def created_tables(spark, d):
+    """K6: the rendered statements run, and the columns that the catalog then lists.
+
+    A table per nation, a column per customer of it.  The tables live in a
+    database of their own below the scratch folder, which goes at the end."""
+    path = scratch_path(spark, "created_tables")
+    db = f"created_{path.rsplit('-', 1)[-1]}"
+    tables, columns = si.nation_tables(spark, d, db), si.nation_columns(spark, d, db)
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{path}/db'")
+    try:
+        catalog.create_tables(spark, catalog.render_ddl(tables, columns, root=path, dialect="spark"))
+        found = catalog.listed_columns(spark, db)
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+    return found
+
+
 # ---------------------------------------------------------------- report / layout
 
 @query
@@ -405,3 +429,109 @@ def latest_dedup_mapped(spark, d):
     cols = ["contact_id", "source_type"] + mapped + ["update_day"]
     return dedup.latest_dedup(_contacts(spark, d), ["source_type", "contact_id"], CONTACT_ORDER,
                               day_col="update_day", as_of=CONTACTS_AS_OF, days=HOT_DAYS, columns=cols)
+
+
+# ---------------------------------------------------------------- time and ranges
+
+@query
+def status_at_call(spark, d):
+    """The suppression row in force for a key at the day of each call."""
+    return timeline.as_of_join(si.calls(spark, d), si.suppression_history(spark, d), "mobile", "update_day",
+                               ["source", "source_type"], since="since")
+
+
+@query
+def contact_sessions(spark, d):
+    """Sessions of each contact."""
+    rows = timeline.sessions(si.contact_times(spark, d), "contact_id", "contact_time", SESSION_GAP)
+    return timeline.session_totals(rows, "contact_id", "contact_time", SESSION_GAP)
+
+
+@query
+def contact_gaps(spark, d):
+    """Each contact with the seconds since the one before and its session."""
+    return timeline.sessions(si.contact_times(spark, d), "contact_id", "contact_time", SESSION_GAP)
+
+
+@query
+def calls_in_last_days(spark, d):
+    """At each call, the key's calls and seconds of the last 14 and 60 days."""
+    return timeline.rolling(si.calls(spark, d), "mobile", "update_day", CALL_WINDOWS,
+                            {"seconds": F.col("duration_time").try_cast("long")})
+
+
+@query
+def overlapping_ranges(spark, d):
+    """Golden age ranges against rule ranges."""
+    return overlap.overlap_join(si.age_ranges(spark, d), si.range_rules(spark, d), "age_from", "age_to", "rule_from", "rule_to")
+
+
+# ---------------------------------------------------------------- distinct keys
+
+@query
+def distinct_by_bitmaps(spark, d):
+    """Exact distinct keys per source of three day ranges, from one table of daily bitmaps."""
+    daily = writers.stage(distinct.daily_bitmaps(_contacts(spark, d), ["source_type"], "update_day", "contact_id"),
+                          "bitmaps", how="parquet")
+    return union_all([distinct.exact_distinct(daily, ["source_type"], "update_day", since, until)
+                      .select("source_type", F.lit(since).alias("since"), F.lit(until).alias("until"), "n_keys")
+                      for since, until in DISTINCT_RANGES])
+
+
+@query
+def distinct_by_sketches(spark, d):
+    """The same from daily sketches; whether each estimate is within 5 % of the exact number."""
+    daily = writers.stage(distinct.daily_sketches(_contacts(spark, d), ["source_type"], "update_day", "contact_id"),
+                          "sketches", how="parquet")
+    estimates = union_all([distinct.sketched_distinct(daily, ["source_type"], "update_day", since, until, "estimate")
+                           .select("source_type", F.lit(since).alias("since"), F.lit(until).alias("until"), "estimate")
+                           for since, until in DISTINCT_RANGES])
+    close = F.abs(F.col("estimate") - F.col("n_keys")) <= 0.05 * F.col("n_keys")
+    return (estimates.join(distinct_by_bitmaps(spark, d), ["source_type", "since", "until"])
+            .select("source_type", "since", "until", "n_keys", close.alias("within_5_percent")))
+
+
+@query
+def ingest_summary(spark, d):
+    """Rows and distinct keys by day and source, day, source, and in total; some sources are NULL."""
+    c = _contacts(spark, d).withColumn("source_type", F.when(F.col("source_type") != "error", F.col("source_type")))
+    return report.ingest_summary(c, key="contact_id")
+
+
+# ---------------------------------------------------------------- changes, maps, state
+
+def _two_golden(spark, d):
+    c = _contacts(spark, d).select("contact_id", "source_type", "attr_b", "update_day")
+    return (c.where(F.col("update_day") < "2024-01-20").drop("update_day"),
+            c.where(F.col("update_day") >= "2024-01-05").drop("update_day"))
+
+
+@query
+def golden_changes(spark, d):
+    """EXCEPT ALL both ways in one pass: the change set of two tables with repeated rows and NULLs."""
+    return changes.change_set(*_two_golden(spark, d))
+
+
+@query
+def golden_common(spark, d):
+    """INTERSECT ALL."""
+    return changes.common_rows(*_two_golden(spark, d))
+
+
+@query
+def merged_attributes(spark, d):
+    """W2 over a map: the latest filled value of every attribute, listed from the merged maps."""
+    merged = changes.merge_maps(si.contact_attributes(spark, d), "contact_id", "attributes", CONTACT_ORDER)
+    return merged.select("contact_id", F.explode("attributes").alias("name", "value"))
+
+
+@query
+def streamed_latest(spark, d):
+    """W4 as keyed state: contacts arrive as files in no order of time, the table is read at the end."""
+    source, sink, state = (scratch_path(spark, f"latest-{x}") for x in ("in", "out", "state"))
+    c = _contacts(spark, d)
+    c.repartition(4, F.xxhash64("event_id")).write.parquet(source)
+    keys = ["source_type", "contact_id"]
+    stream_latest(spark, source, c.schema, sink, state, keys, CONTACT_ORDER, days=HOT_DAYS,
+                  max_files_per_trigger=2).awaitTermination()
+    return latest_rows(spark, sink, c.schema, keys, CONTACT_ORDER, CONTACTS_AS_OF, days=HOT_DAYS)

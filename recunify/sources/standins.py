@@ -213,3 +213,53 @@ def column_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("buiscolcomment"),
         key.cast("string").alias("buiscolrank"),
     )
+
+
+def contact_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contacts with their time: events of a user."""
+    return read_table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("contact_id"), F.col("event_type").alias("source_type"), F.col("ts").alias("contact_time"))
+
+
+def contact_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contacts whose attributes are one map; some names depend on the row."""
+    eid = F.col("event_id")
+    return contacts(spark, sf_dir).select(
+        "contact_id", "update_day", "update_time", "event_id",
+        F.create_map(F.lit("attr_a"), F.col("attr_a"), F.lit("attr_b"), F.col("attr_b"),
+                     F.concat(F.lit("name_"), (eid % 200).cast("string")), F.col("source_type")).alias("attributes"))
+
+
+def age_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Golden rows that state an age range."""
+    start, end = F.col("age_start").try_cast("int"), F.col("age_end").try_cast("int")
+    return golden_parts(spark, sf_dir).where(start.isNotNull() & end.isNotNull()).select(
+        "mobile", "source_type", start.alias("age_from"), end.alias("age_to"))
+
+
+def range_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age-range rules from ``supplier``: short and long ones, some open at an end, some empty."""
+    k = F.col("s_suppkey")
+    return read_table(spark, sf_dir, "supplier").select(
+        k.alias("rule_id"),
+        F.when(k % 10 != 0, k % 50).cast("int").alias("rule_from"),
+        F.when(k % 15 != 0, k % 50 + F.when(k % 7 == 0, 30).otherwise(k % 5 - 1)).cast("int").alias("rule_to"))
+
+
+def nation_tables(spark: SparkSession, sf_dir: str, database: str) -> DataFrame:
+    """Table metadata with a table for each nation."""
+    n = read_table(spark, sf_dir, "nation")
+    name = F.concat(F.lit("nation_"), F.col("n_nationkey").cast("string"))
+    return n.select(F.lit(database).alias("databasename"), name.alias("tablename"), F.col("n_name").alias("tbcomment"),
+                    F.lit("parquet").alias("storage"), F.lit("tables").alias("databasepath"), name.alias("dbtablepath"))
+
+
+def nation_columns(spark: SparkSession, sf_dir: str, database: str) -> DataFrame:
+    """Column metadata with a column for each customer of a nation."""
+    c = read_table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    name = F.concat(F.lit("c_"), key.cast("string"))
+    return c.select(F.concat(F.lit(f"{database}.nation_"), F.col("c_nationkey").cast("string")).alias("dbtable"),
+                    name.alias("dswhcolname"), name.alias("buiscolname"),
+                    F.when(key % 3 == 0, "int").when(key % 3 == 1, "string").otherwise("double").alias("buiscoltype"),
+                    F.coalesce("c_mktsegment", F.lit("")).alias("buiscolcomment"), key.cast("string").alias("buiscolrank"))
