@@ -34,8 +34,10 @@ DIM = 512
 FIT_ROWS = 20_000
 #: Sharpness of the softmax over cosines that gives the score.
 SHARPNESS = 20.0
-#: Text bytes for one matrix step.
-STEP = 1 << 19
+#: Text bytes, and texts, for one matrix step.
+STEP, STEP_TEXTS = 1 << 19, 512
+#: A best cosine below that of unrelated vectors (their standard deviation) tells no language.
+MIN_COSINE = DIM ** -0.5
 UNKNOWN = "und"
 
 
@@ -70,6 +72,8 @@ def _grams(texts: list[str]):
 
 def vectors(texts: list[str]) -> np.ndarray:
     """One bundled vector per text (zeros for a text without letters)."""
+    if len(texts) > STEP_TEXTS:  # texts x different 3-grams are held at a time
+        return np.concatenate([vectors(texts[i:i + STEP_TEXTS]) for i in range(0, len(texts), STEP_TEXTS)])
     out = np.zeros((len(texts), DIM), np.float32)
     d, a, b, c = _grams(texts)
     if not len(d):
@@ -107,11 +111,17 @@ def held_out(doc_id, parts: int, part: int):
 
 
 def bounded_sample(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
-    """About ``rows`` of the rows, chosen by a hash of the key alone; all if there are fewer."""
+    """About ``rows`` of the rows, chosen by a hash of the key alone; all if there are fewer.
+
+    Rows of one key go together; where that gives none, or more than twice as
+    many (a key with most of the rows), it is any ``rows`` rows, or twice as many.
+    """
     n = df.count()
     if n <= rows:
         return df
-    return df.filter(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(11)), F.lit(1 << 30)) < int(rows / n * (1 << 30)))
+    chosen = df.filter(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(11)), F.lit(1 << 30)) < int(rows / n * (1 << 30)))
+    got = chosen.count()
+    return df.limit(rows) if not got else chosen.limit(2 * rows) if got > 2 * rows else chosen
 
 
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
@@ -137,6 +147,18 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[list[str], np.nd
     return names, _unit(proto).astype(np.float32)
 
 
+def decide(texts: list[str], names: list[str], proto: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, score, cosine) of each text."""
+    if not names:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    vec = text_vectors(texts)
+    blank = ~vec.any(axis=1)
+    cos = vec @ proto.T
+    e = np.exp(SHARPNESS * (cos - cos.max(1, keepdims=True)))
+    pred = [UNKNOWN if z else names[i] for z, i in zip(blank, cos.argmax(1))]
+    return pred, np.where(blank, 0.0, 1 / e.sum(1)), np.where(blank, 0.0, cos.max(1))
+
+
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: tuple[str, ...] = (),
             doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, lang_pred, score, cosine; ``keep`` names boolean columns of docs to hand through."""
@@ -144,18 +166,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: tuple[st
     shared = docs.sparkSession.sparkContext.broadcast(proto)  # languages x DIM numbers
 
     def run(b: pa.RecordBatch):
-        texts = texts_of(b)
-        vec = text_vectors(texts)
-        blank = ~vec.any(axis=1)
-        if names:
-            cos = vec @ shared.value.T
-            best = cos.argmax(1)
-            e = np.exp(SHARPNESS * (cos - cos.max(1, keepdims=True)))
-            score = np.where(blank, 0.0, 1 / e.sum(1))
-            cosine = np.where(blank, 0.0, cos.max(1))
-            pred = [UNKNOWN if z else names[i] for z, i in zip(blank, best)]
-        else:
-            pred, score, cosine = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+        pred, score, cosine = decide(texts_of(b), names, shared.value)
         return pa.RecordBatch.from_arrays(
             [b.column(0), *[b.column(2 + i) for i in range(len(keep))], pa.array(pred, pa.string()),
              pa.array(score, pa.float64()), pa.array(cosine, pa.float64())],
@@ -166,13 +177,16 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: tuple[st
                       + "lang_pred string, score double, cosine double", run, step=STEP)
 
 
-def keep_known(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text has a recognised language."""
-    names, _ = model
+def keep_known(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text",
+               min_cosine: float = MIN_COSINE) -> DataFrame:
+    """The rows, with all their columns, whose text has a recognised language: a
+    prediction other than ``und`` that is nearer its prototype than unrelated texts are."""
+    names, proto = model
     at = docs.columns.index(text)
     ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(proto)  # languages x DIM numbers
 
     def run(b: pa.RecordBatch):
-        known = text_vectors([t or "" for t in b.column(at).to_pylist()]).any(axis=1) & bool(names)
-        return b.filter(pa.array(known))
+        pred, _, cosine = decide([t or "" for t in b.column(at).to_pylist()], names, shared.value)
+        return b.filter(pa.array([p != UNKNOWN and c >= min_cosine for p, c in zip(pred, cosine)], pa.bool_()))
     return map_slices(docs, docs.schema, run, text=text, step=STEP)
