@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recunify.llm.text import map_slices, pick, ship_package, texts_of
+from recunify.llm.text import free_name, map_slices, pick, ship_package, texts_of
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
@@ -185,9 +185,10 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     first, second = next(blocks), next(blocks, None)
     if second is not None:
         found = _merged(pick(docs, doc_id=doc_id, text=text), [first, second, *blocks], kind)
-        bad = verdicts(found, "row_key").filter("contaminated").select(F.col("doc_id").alias("_bad"), "row_key")
-        return docs.join(bad, F.col(f"`{doc_id}`").eqNullSafe(F.col("_bad"))
-                         & (F.xxhash64(F.col(f"`{text}`")) == F.col("row_key")), "left_anti")
+        bad_id, row = free_name(docs, "bad_id"), free_name(docs, "bad_row")
+        bad = verdicts(found, "row_key").filter("contaminated").select(F.col("doc_id").alias(bad_id), F.col("row_key").alias(row))
+        return docs.join(bad, F.col(f"`{doc_id}`").eqNullSafe(F.col(bad_id))
+                         & (F.xxhash64(F.col(f"`{text}`")) == F.col(row)), "left_anti")
     shared = docs.sparkSession.sparkContext.broadcast(first)  # at most BLOCK_BYTES of benchmark text
     at = docs.columns.index(text)
     ship_package(docs.sparkSession)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from recunify.llm.graph import components
 from recunify.llm.store import split_join
-from recunify.llm.text import map_slices, mix, pick, roll_windows, span_hashes, utf8, words
+from recunify.llm.text import free_name, map_slices, mix, pick, roll_windows, span_hashes, utf8, words
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 40, 5
@@ -185,16 +185,16 @@ def _compare(table: pa.Table) -> pa.Table:
 
 
 def _sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, keys (band keys) of every document."""
+    """doc_id, row (a hash of the text), digest, keys (band keys) of every document."""
     def run(b: pa.RecordBatch):
         sets = shingle_sets(b.column(1))
         keys = band_keys(signatures(sets))
         return pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([digest_of(s) for s in sets], pa.binary()),
+            [b.column(0), b.column(2), pa.array([digest_of(s) for s in sets], pa.binary()),
              pa.array([k if len(s) else [] for k, s in zip(keys, sets)], pa.list_(pa.int64()))],
-            ["doc_id", "digest", "keys"])
+            ["doc_id", "row", "digest", "keys"])
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_slices(docs, f"doc_id {kind}, digest binary, keys array<bigint>", run, step=TEXT_STEP)
+    return map_slices(docs, f"doc_id {kind}, row bigint, digest binary, keys array<bigint>", run, step=TEXT_STEP)
 
 
 def _with_sets(rows: DataFrame) -> DataFrame:
@@ -217,20 +217,24 @@ def _with_sets(rows: DataFrame) -> DataFrame:
 def join(docs: DataFrame, stage, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """doc_id, class_id (smallest doc_id of its connected class), n_links (documents
     linked by a different set), n_copies (other documents with the same set)."""
-    slim = pick(docs, doc_id=doc_id, text=text)
+    # a document is found again by its id and a hash of its text: ids may repeat or be null
+    slim = pick(docs, doc_id=doc_id, text=text).withColumn("row", F.xxhash64("text"))
     sketch = stage(_sketch(slim))
     classes = stage(sketch.filter("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
-        .withColumn("node", F.xxhash64("digest")))
+        F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "row")).alias("sample"), F.count("*").alias("copies"),
+        F.first("keys").alias("keys")).withColumn("node", F.xxhash64("digest")))
     bands = classes.select("node", F.explode("keys").alias("key"))
     shared = (bands.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("n"))
               .filter("n > 1").select("key", "low"))
     meet = split_join(bands, shared, "key").select(F.col("node").alias("a"), F.col("low").alias("b"))
     comps = stage(components(meet, stage))
     sizes = comps.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    candidates = (classes.join(comps, "node").join(sizes, "root")
-                  .select("first_id", "digest", "copies", F.col("root").alias("comp"), "blocks"))
-    sets = _with_sets(slim.join(candidates, slim["doc_id"].eqNullSafe(F.col("first_id")))
+    candidates = (split_join(classes.join(comps, "node"), sizes, "root")
+                  .select(F.col("sample.doc_id").alias("sample_id"), F.col("sample.row").alias("sample_row"), "digest", "copies",
+                          F.col("root").alias("comp"), "blocks"))
+    # one text of each class; of equal rows the partial aggregation keeps one before the shuffle
+    sets = _with_sets(slim.join(candidates, slim["doc_id"].eqNullSafe(F.col("sample_id")) & (slim["row"] == F.col("sample_row")))
+                      .groupBy("digest", "comp", "blocks", "copies").agg(F.min("text").alias("text"))
                       .select("text", "comp", "blocks", "copies", "digest"))
     own = F.pmod(F.xxhash64("digest", F.lit(1)), F.col("blocks")).cast("int")
     dealt = (sets.withColumn("block", own)
@@ -244,7 +248,7 @@ def join(docs: DataFrame, stage, doc_id: str = "doc_id", text: str = "text", blo
                .join(final, F.col("digest") == F.col("node"), "left")
                .withColumn("class", F.coalesce("root", "digest")))
     names = per_set.groupBy("class").agg(F.min("first_id").alias("class_id"))
-    per_set = per_set.join(names, "class").select("digest", "class_id", "copies", "n_links")
+    per_set = split_join(per_set, names, "class").select("digest", "class_id", "copies", "n_links")
     return (sketch.select("doc_id", "digest").join(per_set, "digest", "left")
             .select("doc_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
                     .alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
@@ -257,7 +261,7 @@ def keep_first(docs: DataFrame, stage, doc_id: str = "doc_id", text: str = "text
     Rows of one doc_id are one document and stay or go together; of equal rows one stays.
     """
     classes = join(docs, stage, doc_id, text)
-    first = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias("_first")).distinct()
-    return (docs.join(first, F.col(f"`{doc_id}`").eqNullSafe(F.col("_first")), "left_semi")
+    name = free_name(docs, "first_id")
+    first = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(name)).distinct()
+    return (docs.join(first, F.col(f"`{doc_id}`").eqNullSafe(F.col(name)), "left_semi")
             .dropDuplicates([doc_id, text]))

@@ -195,3 +195,11 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     """
     ship_package(df.sparkSession)
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
