@@ -3,8 +3,7 @@
 Every line is normalised (lower case, runs of digits to ``0``, runs of white
 space to one space) and hashed; a line counts once per document, and the
 documents with the line are counted per host by a partially aggregated sum.
-Lines found in more than ``max(MIN_DOCS, SHARE * documents of the host)``
-documents are removed: the hashes of the frequent lines of a document are joined
+Lines found in more than ``LIMIT`` documents of a host, however large it is, are removed: the hashes of the frequent lines of a document are joined
 back to its text, and a task drops these lines and gives the text that is left
 (``cleaned``).  The same task takes the base statistics of the whole text in
 one numpy pass and counts the words of the cleaned one; a document that keeps
@@ -35,8 +34,8 @@ from recunify.llm.store import split_join
 from recunify.llm.text import (cover, doc_of, map_slices, mix, pick, roll_windows, span_hashes, texts_of, utf8,
                                window_owner, words)
 
-#: A line is frequent on a host above this many documents, and above this share of the host's documents.
-MIN_DOCS, SHARE = 20, 0.02
+#: A line is frequent on a host above this many documents.
+LIMIT = 50
 #: A document that keeps less than this share of its words is depleted.
 KEEP_SHARE = 0.5
 REPEAT_WINDOW = 5
@@ -118,7 +117,7 @@ def document_lines(docs: DataFrame) -> DataFrame:
                       f"host {docs.schema['host'].dataType.simpleString()}, k1 bigint, k2 bigint, lines array<bigint>", run)
 
 
-def cleaned(docs: DataFrame, stage, min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE,
+def cleaned(docs: DataFrame, stage, limit: int = LIMIT, keep_share: float = KEEP_SHARE,
             doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """doc_id, the base columns, kept, words_left, depleted and clean_text (the text
     without frequent lines; a null stays), one row per document.
@@ -129,13 +128,9 @@ def cleaned(docs: DataFrame, stage, min_docs: int = MIN_DOCS, share: float = SHA
     keyed = pick(docs, doc_id=doc_id, host=host, text=text).withColumn("k1", F.xxhash64("host", "text")).withColumn(
         "k2", F.xxhash64(F.lit("second"), "text", "host"))
     base = stage(document_lines(keyed))
-    hosts = base.groupBy("host").agg(F.count("*").alias("docs"))
     per_line = base.select("host", F.struct("k1", "k2").alias("key"), F.explode("lines").alias("code")).withColumn(
         "line", F.xxhash64("host", "code"))
-    frequent = (per_line.groupBy("line").agg(F.count("*").alias("n"), F.first("host").alias("on"))
-                .filter(F.col("n") > min_docs)
-                .join(hosts, F.col("on").eqNullSafe(F.col("host")))
-                .filter(F.col("n") > share * F.col("docs")).select("line"))
+    frequent = per_line.groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") > limit).select("line")
     gone = (split_join(per_line.select("key", "code", "line"), frequent, "line", "left_semi")
             .groupBy("key").agg(F.collect_set("code").alias("gone")))
     whole = split_join(keyed.withColumn("key", F.struct("k1", "k2")).drop("k1", "k2", "host"), gone, "key", "left")

@@ -58,10 +58,7 @@ full_lines as (select r, source, line, len(regexp_extract_all(line, '[^\\x20\\x0
                                      '[0-9]+', '0', 'g') as norm
                from split where regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 dup as (select r, count(*) - count(distinct line) as n from full_lines group by r),
-hosts as (select source, count(*) as n from docs group by source),
-often as (select f.source, f.norm from full_lines f join hosts h on h.source is not distinct from f.source
-          group by f.source, f.norm, h.n
-          having count(distinct f.r) > {lines.MIN_DOCS} and count(distinct f.r) > {lines.SHARE} * h.n),
+often as (select source, norm from full_lines group by source, norm having count(distinct r) > {lines.LIMIT}),
 lost as (select f.r, sum(f.n) as n from full_lines f
          where exists (select 1 from often o where o.norm = f.norm and o.source is not distinct from f.source) group by f.r),
 base as (
