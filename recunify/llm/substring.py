@@ -1,4 +1,4 @@
-"""Substring dedup with prefix-partitioned suffix trees over words.
+"""Substring dedup with prefix-partitioned groups of word suffixes.
 
 The corpus is the set of its word suffixes, cut off at WINDOW words: deeper
 tree levels can't change which windows repeat.  Steps:
@@ -7,31 +7,30 @@ tree levels can't change which windows repeat.  Steps:
    counted by a hash of the prefix in tables of fixed size (2**bits a level).
    A prefix with more than ``group_size`` suffixes is extended to the next
    length; the others are packed into groups of at most about ``group_size``
-   suffixes.  So prefixes have variable length and each group fits in memory.
-2. Subtrees.  Map tasks send every suffix to the group of its prefix: a sorted
-   64-bit code whose leading 16 bits name its node at depth 8 and all 64 bits
-   its node at depth WINDOW, delta-coded, with its document.  A group sorts
-   its suffixes, which is its suffix tree in array form: runs that share 16 or
-   64 leading bits are the internal nodes.  A node at depth WINDOW with a
-   smaller document below it is a repeat for its other documents.
-3. The deep nodes go back to their documents, where overlapping windows join
-   to maximal repeats, whose words are removed.  Texts travel once, compressed.
-
-A window so common that even the longest prefix overfills a group (a third of
-all rows may be copies) is not sent to one task: its smallest document comes
-from a partially aggregated minimum, and these few windows (at most one
-overfull prefix per ``group_size`` suffixes) are broadcast, if they are fewer
-than HOT_LIMIT; else they take the ordinary way.
-
-Words are compared by 64-bit fingerprints of their byte sequences, so of N
-windows about N**2 / 2**65 are wrongly taken for repeats, divided by the number
-of groups; no window is ever missed.
+   suffixes.  A cell that is overfull at full depth too (on a large corpus all
+   are) is cut into parts by further bits of the suffix's hash.  So prefixes
+   have variable length and each group fits in memory, on any corpus.
+2. Groups.  Map tasks send every suffix, as a 64-bit fingerprint of its WINDOW
+   words with its document, to the group of its prefix.  Equal suffixes of a map
+   batch meet there first: all but the smallest document's are repeats for sure
+   and are sent on as such, the smallest goes to the group, once.  So a window
+   that a third of all documents share is a few rows of its group, one a batch.
+   A group sorts its fingerprints; equal ones are a node at depth WINDOW, which
+   is a repeat for its documents but the smallest.  Fingerprints have no order
+   of words, so shallower nodes and extensions are not looked for: longer
+   repeats come from step 3.
+3. The repeats go back to their documents, where overlapping windows join to
+   maximal repeats, whose words are removed.  Texts travel once, compressed.
+
+Of N windows about N**2 / 2**65 pairs are wrongly taken for equal, divided by
+the number of groups; no window is ever missed.
 
 Odd input: a null or empty text has no words, 0 removed, and the hash of the
 empty text; texts shorter than WINDOW lose nothing.  A null doc_id counts as
 larger than all others and equal to other nulls.  Rows with one doc_id are
-parts of one document, none smaller than the other, and each gives a row.  An
-empty table gives an empty table.
+parts of one document, none smaller than the other, and each gives a row; they
+are brought together in one bucket of the last step.  An empty table gives an
+empty table.
 """
 
 from __future__ import annotations
@@ -56,10 +55,8 @@ GROUP_SIZE = 2_000_000
 BITS = 14
 #: Windows of a map batch, and documents of one bucket of the last step, about.
 BATCH, BUCKET_DOCS = 1_000_000, 1024
-#: Common windows that are broadcast at most (16 bytes each).
-HOT_LIMIT = 2_000_000
 NO_ID = np.iinfo(np.int64).max
-_DEEPER, _HOT = -1, -2
+_DEEPER = -1
 
 
 class Suffixes:
@@ -79,36 +76,45 @@ class Suffixes:
         return (mix(self.sums[level][self.at[which]]) >> np.uint64(64 - bits)).astype(np.int64)
 
     def codes(self) -> np.ndarray:
-        """Leading 16 bits: node at depth 8; all bits: node at depth WINDOW."""
-        shallow = mix(self.sums[-2][self.at]) & np.uint64(0xFFFF << 48)
-        return shallow | mix(self.sums[-1][self.at]) >> np.uint64(16)
+        """Fingerprints of the WINDOW words."""
+        return mix(self.sums[-1][self.at])
 
     def docs(self) -> np.ndarray:
         return doc_of(self.first)[self.at]
 
 
-def route(s: Suffixes, plan: np.ndarray, bits: int) -> np.ndarray:
+def route(s: Suffixes, plan: tuple[np.ndarray, np.ndarray], bits: int) -> np.ndarray:
     """Group of every suffix by its shortest prefix that is not overfull."""
-    out = plan[0][s.bucket(0, bits)]
+    groups, parts = plan
+    out = groups[0][s.bucket(0, bits)]
     for level in range(1, len(LEVELS)):
         deeper = np.flatnonzero(out == _DEEPER)
         if not len(deeper):
             break
-        out[deeper] = plan[level][s.bucket(level, bits, deeper)]
+        cell = s.bucket(level, bits, deeper)
+        out[deeper] = groups[level][cell]
+        if level + 1 == len(LEVELS):
+            out[deeper] += (mix(s.codes()[deeper] + np.uint64(7)) % parts[cell]).astype(np.int32)
     return out
 
 
-def make_plan(counts: np.ndarray, group_size: int) -> tuple[np.ndarray, int]:
-    """Group numbers by level and prefix bucket (_DEEPER: extend the prefix), and how many groups there are."""
+def make_plan(counts: np.ndarray, group_size: int) -> tuple[tuple[np.ndarray, np.ndarray], int]:
+    """((first group by level and prefix cell, parts of a cell at full depth), number of groups); _DEEPER: extend the prefix."""
     plan, groups = np.zeros(counts.shape, np.int32), 0
+    parts = np.ones(counts.shape[1], np.uint64)
     for level, row in enumerate(counts):
         over = row > group_size
         filled = np.cumsum(np.where(over, 0, row)) // group_size
-        plan[level] = np.where(over, _DEEPER if level + 1 < len(counts) else _HOT, groups + filled)
+        plan[level] = np.where(over, _DEEPER, groups + filled)
         groups += int(filled[-1]) + 1
+        if level + 1 == len(counts):
+            parts = np.where(over, -(-row // group_size), 1).astype(np.uint64)
+            size = np.where(over, parts.astype(np.int64), 0)
+            plan[level] = np.where(over, groups + np.cumsum(size) - size, plan[level])
+            groups += int(size.sum())
         if not over.any():
             break
-    return plan, groups
+    return (plan, parts), groups
 
 
 def pack(codes: np.ndarray, docs: np.ndarray) -> bytes:
@@ -150,40 +156,39 @@ def _count_prefixes(docs: DataFrame, bits: int) -> np.ndarray:
     return counts
 
 
-def _hot_windows(docs: DataFrame, plan, bits: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """Codes of the windows of overfull longest prefixes, sorted, with their smallest document; None if too many."""
-    def run(batches):
-        for b in slices(batches, "text"):
-            s, ids = Suffixes(*utf8(b.column(1))), ids_of(b)
-            hot = np.flatnonzero(route(s, plan.value, bits) == _HOT)
-            if len(hot):
-                codes, at = np.unique(s.codes()[hot], return_inverse=True)
-                low = np.full(len(codes), NO_ID)
-                np.minimum.at(low, at, ids[s.docs()[hot]])
-                yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int64)), pa.array(low)], ["code", "low"])
-    got = (docs.mapInArrow(run, "code bigint, low bigint").groupBy("code").agg(F.min("low").alias("low"))
-           .limit(HOT_LIMIT + 1).toArrow())  # more than the limit: not used at all
-    if got.num_rows > HOT_LIMIT:
-        return None
-    codes, low = got["code"].to_numpy().astype(np.uint64), got["low"].to_numpy()
-    order = np.argsort(codes)
-    return codes[order], low[order]
-
-
-def _send(docs: DataFrame, plan, bits: int) -> DataFrame:
-    """grp, ids, suffixes: for each map batch and group its suffixes."""
+def _rows_of(doc: np.ndarray, code: np.ndarray, buckets: int) -> list[tuple]:
+    """(bucket, documents, number of codes of each, codes) of repeats, by the bucket of their documents."""
+    to = bucket_of(doc, buckets)
+    order = np.lexsort((code, doc, to))
+    doc, code, to = doc[order], code[order], to[order]
+    edge = np.append(np.flatnonzero(np.diff(to, prepend=-1)), len(to))
+    rows = []
+    for a, z in zip(edge[:-1], edge[1:]):
+        own, n = np.unique(doc[a:z], return_counts=True)
+        rows.append((int(to[a]), own.tobytes(), n.astype(np.uint32).tobytes(), code[a:z].tobytes()))
+    return rows
+
+
+def _send(docs: DataFrame, plan, bits: int, buckets: int) -> DataFrame:
+    """grp, ids, n, suffixes: for each map batch and group one suffix of each kind, with its smallest
+    document; and what a batch knows already, as in ``_rows_of``, under -1 - bucket."""
     def flush(parts):
         codes, grp, doc = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 2))
         ids = np.concatenate([p[3] for p in parts])
-        order = np.lexsort((codes, grp))
+        order = np.lexsort((ids[doc], codes, grp))
         codes, grp, doc = codes[order], grp[order], doc[order]
-        edge = np.flatnonzero(np.diff(grp, prepend=-9))
-        edge = np.append(edge[grp[edge] >= 0], len(grp))
+        first = np.append(True, (codes[1:] != codes[:-1]) | (grp[1:] != grp[:-1]))
+        low = np.repeat(ids[doc[first]], np.diff(np.append(np.flatnonzero(first), len(codes))))
+        later = ids[doc] > low
+        known_doc, known_code = ids[doc[later]], codes[later]
+        codes, grp, doc = codes[first], grp[first], doc[first]
+        edge = np.append(np.flatnonzero(np.diff(grp, prepend=-9)), len(grp))
         blob = zstandard.ZstdCompressor(level=1).compress(ids.tobytes())
-        rows = [(int(grp[a]), blob, pack(codes[a:z], doc[a:z])) for a, z in zip(edge[:-1], edge[1:])]
+        rows = [(int(grp[a]), blob, None, pack(codes[a:z], doc[a:z])) for a, z in zip(edge[:-1], edge[1:])]
+        rows += [(-1 - to, *rest) for to, *rest in _rows_of(known_doc, known_code, buckets)]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
-                                           pa.array([r[1] for r in rows], pa.binary()),
-                                           pa.array([r[2] for r in rows], pa.binary())], ["grp", "ids", "suffixes"])
+                                           *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)]],
+                                          ["grp", "ids", "n", "suffixes"])
 
     def run(batches):
         parts, size, seen = [], 0, 0
@@ -196,7 +201,7 @@ def _send(docs: DataFrame, plan, bits: int) -> DataFrame:
                 parts, size, seen = [], 0, 0
         if size:
             yield flush(parts)
-    return docs.mapInArrow(run, "grp int, ids binary, suffixes binary")
+    return docs.mapInArrow(run, "grp int, ids binary, n binary, suffixes binary")
 
 
 def subtree_repeats(codes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,33 +220,24 @@ def subtree_repeats(codes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _subtrees(sent: DataFrame, buckets: int) -> DataFrame:
-    """bucket, repeats: the repeats found in each group, by the bucket of their documents."""
+    """bucket, ids, n, codes: the repeats found in each group and those known before, as in ``_rows_of``."""
     def run(table: pa.Table) -> pa.Table:
+        group = table["grp"][0].as_py()
+        if group < 0:
+            return pa.table([pa.array([-1 - group] * table.num_rows, pa.int32()),
+                             *[table[c].cast(pa.binary()) for c in ("ids", "n", "suffixes")]], names=names)
         codes, docs = [], []
         for blob, ids in zip(table["suffixes"].to_pylist(), table["ids"].to_pylist()):
             c, d = unpack(blob)
             codes.append(c)
             docs.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(ids), np.int64)[d])
-        doc, code = subtree_repeats(np.concatenate(codes), np.concatenate(docs))
-        to = bucket_of(doc, buckets)
-        order = np.lexsort((code, doc, to))
-        doc, code, to = doc[order], code[order], to[order]
-        edge = np.append(np.flatnonzero(np.diff(to, prepend=-1)), len(to))
-        rows = []
-        for a, z in zip(edge[:-1], edge[1:]):
-            own, n = np.unique(doc[a:z], return_counts=True)
-            own_codes = (code[a:z] & _CODE48).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-            rows.append((int(to[a]), own.tobytes(), n.astype(np.uint32).tobytes(), own_codes))
+        rows = _rows_of(*subtree_repeats(np.concatenate(codes), np.concatenate(docs)), buckets)
         return pa.table([pa.array([r[0] for r in rows], pa.int32()),
-                         *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)]],
-                        names=["bucket", "ids", "n", "codes"])
+                         *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)]], names=names)
+    names = ["bucket", "ids", "n", "codes"]
     return sent.groupBy("grp").applyInArrow(run, "bucket int, ids binary, n binary, codes binary")
 
 
-#: The part of a code that tells the windows of one document apart on the way back.
-_CODE48 = np.uint64((1 << 48) - 1)
-
-
 def _texts(docs: DataFrame, buckets: int) -> DataFrame:
     """bucket, rows: the documents by bucket, a compressed Arrow stream for each map batch."""
     def flush(parts):
@@ -272,20 +268,17 @@ def _texts(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket int, rows binary")
 
 
-def _clean(batch: pa.RecordBatch, found: dict[int, np.ndarray], hot, keep_text: bool) -> pa.RecordBatch:
+def _clean(batch: pa.RecordBatch, found: dict[int, np.ndarray], keep_text: bool) -> pa.RecordBatch:
     """What is left of the documents of a batch, given the codes of their repeated windows."""
     offs, data = utf8(batch.column(1))
     s, ids = Suffixes(offs, data), ids_of(batch)
     codes, doc = s.codes(), s.docs()
     own = np.sort(ids)
     own = own[np.append(True, own[1:] != own[:-1])] if len(own) else own
-    back = [np.uint64(k) << np.uint64(48) | found[i] for k, i in enumerate(own.tolist()) if i in found]
+    salt = mix(np.arange(1, len(own) + 1, dtype=np.uint64))  # a window is looked for in its own document
+    back = [mix(found[i] ^ salt[k]) for k, i in enumerate(own.tolist()) if i in found]
     back = np.concatenate(back) if back else np.zeros(0, np.uint64)
-    number = np.searchsorted(own, ids).astype(np.uint64)
-    hit = np.isin(number[doc] << np.uint64(48) | codes & _CODE48, back)
-    if hot is not None and len(hot[0]):
-        at = np.minimum(np.searchsorted(hot[0], codes), len(hot[0]) - 1)
-        hit |= (hot[0][at] == codes) & (hot[1][at] < ids[doc])
+    hit = np.isin(mix(codes ^ salt[np.searchsorted(own, ids)[doc]]), back) if len(codes) else np.zeros(0, bool)
     hits = np.zeros(len(s.starts), bool)
     hits[s.at[hit]] = True
     gone = cover(hits, WINDOW)
@@ -315,30 +308,22 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group_siz
     sc = docs.sparkSession.sparkContext
     buckets = max(1, slim.count() // BUCKET_DOCS)
     counts = _count_prefixes(slim, bits)
-    plan, groups = make_plan(counts, group_size)
-    hot = None
-    if (plan == _HOT).any():
-        hot = _hot_windows(slim, sc.broadcast(plan), bits)
-        if hot is None:  # too many to broadcast: through groups of their own
-            at = np.flatnonzero(plan[-1] == _HOT)
-            plan[-1][at] = groups + np.arange(len(at))
-    shared, hot_shared = sc.broadcast(plan), sc.broadcast(hot)  # of fixed size; HOT_LIMIT windows at most
-    repeats = _subtrees(_send(slim, shared, bits), buckets)
+    plan, _ = make_plan(counts, group_size)
+    shared = sc.broadcast(plan)  # of fixed size
+    repeats = _subtrees(_send(slim, shared, bits, buckets), buckets)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         found: dict[int, list] = {}
         for ids, n, codes in zip(*[right[c].to_pylist() for c in ("ids", "n", "codes")]):
             n = np.cumsum(np.append(0, np.frombuffer(n, np.uint32)))
-            wide = np.zeros((len(codes) // 6, 8), np.uint8)
-            wide[:, :6] = np.frombuffer(codes, np.uint8).reshape(-1, 6)
-            flat = wide.view(np.uint64).ravel()
+            flat = np.frombuffer(codes, np.uint64)
             for k, i in enumerate(np.frombuffer(ids, np.int64).tolist()):
                 found.setdefault(i, []).append(flat[n[k]:n[k + 1]])
         found = {i: np.concatenate(v) for i, v in found.items()}
         out = []
         for blob in left["rows"].to_pylist():
             with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)) as r:
-                out += [_clean(b, found, hot_shared.value, keep_text) for b in slices(r, "text")]
+                out += [_clean(b, found, keep_text) for b in slices(r, "text")]
         return pa.Table.from_batches(out) if out else empty.empty_table()
     schema = ("doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, spans array<bigint>"
               + ", kept_text string" * keep_text)

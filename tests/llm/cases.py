@@ -10,7 +10,9 @@ import duckdb
 
 SF01 = "/root/testdata/sf0.01"
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, n_words string, bucket int, row string, "
-          "digest string, spans string, score string, held_out string, class_id int, host string, codes string")
+          "digest string, spans string, score string, held_out string, class_id int, host string, codes string, "
+          "_first string, first_id string, row_key string, bad_id string, bad_row string, _bad string, sample string, node string, "
+          "root string, comp string, blocks string, copies string, tag string, shard string, block string, word string, phrase string")
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 
 
@@ -37,7 +39,7 @@ def odd_rows():
     rows = [(i, t, "en", "s1", 1) for i, t in enumerate(texts)]
     rows += [(7, base, "en", "s1", 1), (7, base, "en", "s1", 1), (8, passage, None, None, None), (None, base, None, None, None),
              (None, None, None, None, None), (None, random_text(r, 40), None, "s2", None), (-5, passage, "de", "s2", 2)]
-    return [(*x, *["x"] * 1, 1, "x", "x", "x", "x", "x", 1, "x", "x") for x in rows]
+    return [(*x, *["x"] * 1, 1, "x", "x", "x", "x", "x", 1, "x", "x", *["x"] * 17) for x in rows]
 
 
 def frame(spark, rows=None):
@@ -101,10 +103,10 @@ def brute_jaccard(rows):
     return Counter((x[0], smallest.get(top(i)), links[i], copies[i]) for i, x in enumerate(rows))
 
 
-def brute_quality(rows, min_docs, share, keep_share):
+def brute_quality(rows, limit, keep_share):
     """Multiset of (doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept)."""
     normal = lambda s: re.sub("[0-9]+", "0", re.sub("[\x20\x09-\x0d]+", " ", s).strip(" ").lower())
-    seen, hosts = Counter(), Counter(x[3] for x in rows)
+    seen = Counter()
     lines = []
     for _, t, _, host, *_ in rows:
         own = [s for s in (t or "").split("\n") if s.encode().split()]
@@ -118,7 +120,7 @@ def brute_quality(rows, min_docs, share, keep_share):
             grams[tuple(w[a:a + 5])].append(a)
         hit = {a + k for at in grams.values() if len(at) > 1 for a in at for k in range(5)}
         gone = sum(len(s.encode().split()) for s in own
-                   if seen[host, normal(s)] > min_docs and seen[host, normal(s)] > share * hosts[host])
+                   if seen[host, normal(s)] > limit)
         failed = len(w) < 10 or 100 * len(hit) > 20 * len(w)
         out[i, len(w), sum(len(x.decode()) for x in w), sum((t or "").count(c) for c in "#*$%&|<>"),
             len(own) - len(set(own)), len(hit), failed, not failed and not len(w) - gone < keep_share * len(w)] += 1

@@ -4,6 +4,7 @@ import sys
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -18,9 +19,8 @@ QUALITY = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_rep
 CLEAN = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-@pytest.mark.parametrize("group_size,hot_limit", [(substring.GROUP_SIZE, substring.HOT_LIMIT), (50, substring.HOT_LIMIT), (50, 0)])
-def test_substring_odd_rows(spark, group_size, hot_limit, monkeypatch):
-    monkeypatch.setattr(substring, "HOT_LIMIT", hot_limit)
+@pytest.mark.parametrize("group_size", [substring.GROUP_SIZE, 50, 3])
+def test_substring_odd_rows(spark, group_size):
     got = substring.dedup(cases.frame(spark), group_size=group_size, keep_text=True)
     assert cases.counted(got, *SUBSTRING) == cases.brute_substring(cases.odd_rows())
     for r in got.collect():
@@ -28,6 +28,38 @@ def test_substring_odd_rows(spark, group_size, hot_limit, monkeypatch):
         assert sum(b - a for a, b in zip(r.spans[::2], r.spans[1::2])) == r.n_removed
 
 
+def test_substring_small_table_and_batches(spark, monkeypatch):
+    monkeypatch.setattr(substring, "BATCH", 100)
+    got = substring.dedup(cases.frame(spark), group_size=20, bits=2)
+    assert cases.counted(got, *SUBSTRING) == cases.brute_substring(cases.odd_rows())
+
+
+def test_substring_plan_of_a_huge_corpus_has_no_overfull_group():
+    windows, size = 10**12, substring.GROUP_SIZE
+    counts = np.full((len(substring.LEVELS), 1 << substring.BITS), windows >> substring.BITS)
+    (plan, parts), groups = substring.make_plan(counts, size)
+    assert (plan[:-1] == -1).all() and (plan[-1] >= 0).all()
+    assert (counts[-1] / parts <= size).all() and groups <= 1.1 * windows / size
+    ends = plan[-1] + parts.astype(np.int64)
+    assert (ends[:-1] <= plan[-1][1:]).all() and ends[-1] <= groups
+
+
+def test_a_window_of_every_document_goes_once_a_batch(spark, monkeypatch):
+    r = random.Random(12)
+    shared = cases.random_text(r, 13)
+    rows = [(i, f"{cases.random_text(r, 5)} {shared}") for i in range(400)]
+    sent, send = [], substring._send
+
+    def counting(*args):
+        out = send(*args)
+        sent.append(sum(len(substring.unpack(x.suffixes)[0]) for x in out.filter("grp >= 0").collect()))
+        return out
+    monkeypatch.setattr(substring, "_send", counting)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert cases.counted(substring.dedup(docs), *SUBSTRING) == cases.brute_substring(rows)
+    assert sent[0] <= 400 * 5 + 4
+
+
 def test_substring_whole_table(spark):
     got = QUERIES["op1_substring_dedup"](spark, cases.SF01)
     assert cases.counted(got, *SUBSTRING) == cases.brute_substring(cases.documents())
@@ -53,6 +85,28 @@ def test_jaccard_large_group_in_blocks(spark):
     assert cases.counted(got, *JACCARD) == cases.brute_jaccard(rows)
 
 
+def test_jaccard_null_and_repeated_ids_join_once(spark, monkeypatch):
+    r = random.Random(6)
+    base = cases.random_text(r, 80).split()
+    near = [" ".join(base[:i % 80] + [f"w{i}"] + base[i % 80 + 1:]) for i in range(200)]
+    rows = [(None, t) for t in near] + [(5, t) for t in near[:100]] + [(None, near[0])] * 50
+    seen, with_sets = [], jaccard._with_sets
+
+    def counting(df):
+        seen.append(df.count())
+        return with_sets(df)
+    monkeypatch.setattr(jaccard, "_with_sets", counting)
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), stage)
+    assert cases.counted(got, *JACCARD) == cases.brute_jaccard(rows)
+    assert seen == [200]
+
+
+def test_helper_columns_do_not_clash(spark):
+    docs = cases.frame(spark).withColumnRenamed("bucket", "__key")
+    kept = jaccard.keep_first(docs, stage)
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+
+
 def test_jaccard_whole_table(spark):
     got = QUERIES["op5_jaccard_join"](spark, cases.SF01)
     assert cases.counted(got, *JACCARD) == cases.brute_jaccard(cases.documents())
@@ -65,8 +119,22 @@ def test_posterior_pruning_keeps_likely_pairs():
 
 
 def test_quality_odd_rows(spark):
-    got = lines.quality(cases.frame(spark), stage, min_docs=1, share=0.1)
-    assert cases.counted(got, *QUALITY) == cases.brute_quality(cases.odd_rows(), 1, 0.1, lines.KEEP_SHARE)
+    got = lines.quality(cases.frame(spark), stage, limit=1)
+    assert cases.counted(got, *QUALITY) == cases.brute_quality(cases.odd_rows(), 1, lines.KEEP_SHARE)
+
+
+def test_quality_limit_is_the_same_on_every_host(spark):
+    r = random.Random(10)
+    rows = []
+    for host, size, copies in (("small", 60, 51), ("large", 3000, 51), ("under", 3000, 50)):
+        for i in range(size):
+            own = cases.random_text(r, 30)
+            rows.append((len(rows), own + "\nread more here" * (i < copies), host))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    lost = Counter()
+    for x in lines.cleaned(docs, stage).collect():
+        lost[rows[x.doc_id][2]] += x.clean_text != rows[x.doc_id][1]
+    assert lost == {"small": 51, "large": 51, "under": 0}
 
 
 def test_quality_gives_the_cleaned_text(spark):
@@ -75,7 +143,7 @@ def test_quality_gives_the_cleaned_text(spark):
     rows = [(i % 35, f"{own[i]}\n\n  Page {i} of  99\nlast {own[i][:9]}", "a" if i < 30 else None) for i in range(40)]
     rows += [(90, None, "a"), (91, "Page 1 of 2", "b"), (92, "PAGE 3 of 4", "a"), (92, "PAGE 3 of 4", "a")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
-    got = lines.cleaned(docs, stage, min_docs=20, share=0.02).collect()
+    got = lines.cleaned(docs, stage, limit=20).collect()
     want = Counter()
     for i, t, s in rows:
         gone = t is not None and s == "a"
@@ -86,7 +154,7 @@ def test_quality_gives_the_cleaned_text(spark):
 
 def test_quality_whole_table(spark):
     got = QUERIES["op6_quality_rules"](spark, cases.SF01)
-    assert cases.counted(got, *QUALITY) == cases.brute_quality(cases.documents(), lines.MIN_DOCS, lines.SHARE, lines.KEEP_SHARE)
+    assert cases.counted(got, *QUALITY) == cases.brute_quality(cases.documents(), lines.LIMIT, lines.KEEP_SHARE)
 
 
 ITEMS = [(1, None), (2, ""), (3, "one"), (4, "Epsilon, zeta!"), (5, "!!!"), (10, "línea ÜNÏ code")]

@@ -30,12 +30,66 @@ def test_language_odd_rows(spark):
     assert {0, 1, 2, 3, 18} <= und and all(r.score == 0 for r in rows if r.lang_pred == "und")
     assert {r.lang_pred for r in rows if r.doc_id in (7, 11)} <= set(model[0])
     kept = langid.keep_known(odd, model)
-    assert kept.columns == odd.columns and kept.count() == sum(r.lang_pred != "und" for r in rows)
+    assert kept.columns == odd.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(
+        r.doc_id for r in rows if r.lang_pred != "und" and r.cosine >= langid.MIN_COSINE)
     nothing = langid.fit(docs.limit(0))
     assert {r.lang_pred for r in langid.predict(odd, nothing).collect()} == {"und"}
     assert langid.predict(cases.frame(spark, []), model).count() == 0
 
 
+def test_the_stage_decides_by_the_prediction(spark):
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{cases.SF01}/documents.parquet")
+    texts = ["qqq zzz xxx qxz", "привет как дела сегодня", "the of and to in that it", "12 34", None]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    odd = spark.createDataFrame(rows, docs.schema)
+    model = langid.fit(docs)
+    best = {r.doc_id: (r.lang_pred, r.cosine) for r in langid.predict(odd, model).collect()}
+    assert best[0][0] != "und" and best[0][1] < langid.MIN_COSINE and best[2][1] > 0.2  # letters alone don't do
+    assert [r.doc_id for r in langid.keep_known(odd, model).collect()] == [2]
+    assert 2 not in {r.doc_id for r in langid.keep_known(odd, (model[0], -model[1])).collect()}  # prototypes turned round
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(odd.withColumn("doc_id", odd.doc_id - 9)),
+                                                          cases.SF01).collect()}
+    assert {i for i in kept if i < 0} == {-7} and len(kept) >= 0.97 * docs.count()
+
+
+def test_vectors_against_plain_loops():
+    import numpy as np
+    r = __import__("random").Random(3)
+    for text in ("Ab, ça!", "", "a", "x1y", "Straße 12 ÉTÉ", cases.random_text(r, 30)):
+        want, symbols = np.zeros(langid.DIM), [0]
+        for c in text:
+            code = ord(c.lower()[0]) if c.isalpha() else 0
+            if code or symbols[-1]:
+                symbols.append(code)
+        symbols += [0] if symbols[-1] else []
+        for a, b, c in zip(symbols, symbols[1:], symbols[2:]):
+            if b:
+                v = [langid._letter_vector(x).astype(float) for x in (a, b, c)]
+                want += np.roll(v[0], 2) * np.roll(v[1], 1) * v[2]
+        assert np.allclose(langid.vectors([text])[0], want)
+
+
+def test_many_short_texts_take_little_memory():
+    import tracemalloc
+    r = __import__("random").Random(3)
+    texts = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(15)) for _ in range(1 << 15)]
+    langid.vectors(texts[:10])
+    tracemalloc.start()
+    out = langid.text_vectors(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.shape == (1 << 15, langid.DIM) and peak < 300e6
+
+
+def test_sample_of_a_repeated_id_is_bounded(spark):
+    df = spark.range(3000).selectExpr("7L as doc_id", "id")
+    assert 10 <= langid.bounded_sample(df, 10).count() <= 20
+    mixed = spark.range(3000).selectExpr("if(id % 3 = 0, 7L, id) as doc_id")
+    assert 1 <= langid.bounded_sample(mixed, 100).count() <= 200
+
+
 def test_long_text_is_bundled_in_parts():
     text = cases.random_text(__import__("random").Random(1), 200_000)
     whole, part = langid.text_vectors([text])[0], langid.text_vectors([text[:100_000]])[0]
