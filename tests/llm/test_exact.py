@@ -343,7 +343,7 @@ def test_empty_tables(spark):
     assert decontam.verdicts(decontam.occurrences(none, bench)).count() == 0
     assert decontam.verdicts(decontam.occurrences(cases.frame(spark), bench)).filter("n_hit > 0").count() == 0
     assert pieces.digest(none, piece_model()).count() == 0
-    assert secret_scan.fit(none) is None and secret_scan.findings(none, None).count() == 0
+    assert secret_scan.findings(none, secret_scan.fit(none, 500)).count() == 0 and secret_scan.findings(none, None).count() == 0
     events = spark.createDataFrame([], "key string, verdict string, day int, removes boolean")
     pages = spark.createDataFrame([], "page_id bigint, url string, fetched int")
     assert urls.url_filter(pages, events, stage).count() == 0

@@ -147,6 +147,39 @@ def test_secret_network_finds_unlabelled_secrets(spark):
     assert got == {1: "net:5:27", 2: ""} and net.threshold >= 0.5
 
 
+def test_secret_network_by_kind(spark):
+    """Recall on key formats and false alarms on look-alikes, by kind, in texts the network has not seen."""
+    from recunify.llm import secret_kinds
+    docs = spark.read.parquet(f"{cases.SF01}/documents.parquet")
+    net = secret_scan.fit(docs)
+    made = secret_kinds.examples(1400, seed=123)
+    found = secret_scan.scan_texts([t for t, *_ in made], net)
+    kinds = {}
+    for (_, s, e, label, kind), spans in zip(made, found):
+        kinds.setdefault((label, kind), []).append(any(a < e and s < b for _, a, b in spans))
+    rate = {k: sum(v) / len(v) for k, v in kinds.items()}
+    assert all(v >= 0.85 for (label, _), v in rate.items() if label), rate
+    assert sum(map(sum, (v for (label, _), v in kinds.items() if label))) >= 0.95 * 1400
+    assert all(v <= 0.15 for (label, _), v in rate.items() if not label) and rate[0, "uuid"] <= 0.05, rate
+    assert sum(map(sum, (v for (label, _), v in kinds.items() if not label))) <= 0.02 * 1400
+    quiet = [r.spans for r in secret_scan.findings(docs, net).collect()]
+    assert sum("net:" in s for s in quiet) <= 0.02 * len(quiet)  # hardly any in documents that plant the patterns only
+
+
+def test_secret_network_reads_the_whole_value():
+    import numpy as np
+    net = secret_scan.CharNet()
+    for n in (5, 48, 49, 92, 200):
+        value = "".join(chr(33 + i % 90) for i in range(n))
+        pieces = net.lines(f"before {value} after", 7, 7 + n)
+        assert len({len(p) for p in pieces}) == 1
+        windows = {value[i:i + 5] for i in range(n - 4)}
+        held = {p[24:72][i:i + 5] for p in pieces for i in range(44)}
+        assert windows <= held
+    a, b = "x" * 60 + "Q7" + "x" * 60, "x" * 122
+    assert not np.allclose(*net.line_scores([net.lines(a, 0, 122), net.lines(b, 0, 122)]))
+
+
 def test_secret_network_learns_without_long_candidates(spark):
     import random
     r = random.Random(8)
