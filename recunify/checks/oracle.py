@@ -137,7 +137,12 @@ SELECT * FROM contacts WHERE update_day < strftime(DATE '2024-01-31' - INTERVAL
 SQL["drop_blank"] = f"""WITH {CONTACTS}
 SELECT * FROM contacts WHERE NOT (attr_a IS NULL OR trim(attr_a) = '')"""
 
-SQL["partition_manifest"] = f"""WITH {CONTACTS},
+SQL["partition_manifest"] = f"""WITH {CONTACTS}
+SELECT 'ALTER TABLE dw.contacts ADD IF NOT EXISTS PARTITION (source_type=''' || source_type
+       || ''',update_day=''' || update_day || ''');' AS partition
+FROM (SELECT DISTINCT source_type, update_day FROM contacts)"""
+
+SQL["partition_manifest_odd"] = f"""WITH {CONTACTS},
 named AS (SELECT CASE source_type WHEN 'error' THEN NULL WHEN 'signup' THEN '' WHEN 'view' THEN 'it''s \\ a view'
                  ELSE source_type END AS s, update_day FROM contacts)
 SELECT DISTINCT 'ALTER TABLE dw.contacts ADD IF NOT EXISTS PARTITION (source_type='''

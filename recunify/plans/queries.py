@@ -134,6 +134,12 @@ def drop_blank(spark, d):
 
 @query
 def partition_manifest(spark, d):
+    return writers.partition_manifest(_contacts(spark, d), "dw.contacts",
+                                      ["source_type", "update_day"])
+
+
+@query
+def partition_manifest_odd(spark, d):
     """K3; one source is NULL, one is empty, one has a quote and a backslash."""
     odd = (F.when(F.col("source_type") == "error", F.lit(None)).when(F.col("source_type") == "signup", "")
            .when(F.col("source_type") == "view", "it's \\ a view").otherwise(F.col("source_type")))
