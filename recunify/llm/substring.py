@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recunify.llm.text import (cover, doc_of, map_slices, mix, pick, roll_windows, slices, span_hashes, utf8,
+from recunify.llm.text import (cover, doc_of, mix, pick, roll_windows, slices, span_hashes, utf8,
                                window_owner, words)
 
 WINDOW = 13
