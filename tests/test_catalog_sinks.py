@@ -79,3 +79,25 @@ def test_column_map_excludes_warehouse_names(spark):
     assert [tuple(r) for r in catalog.column_map(cols, "d.t").collect()] == [("city", "city", "9"), ("tel2", "mobile", "10")]
     assert [x.split()[0] for x in catalog.column_ddl(cols.where("dbtable = 'd.t'")).first().cols.split("\n")] == [
         "s", "phone", "st", "city", "mobile"]
+
+
+def test_listed_columns_leave_the_driver_in_parts(spark, monkeypatch):
+    """Columns of all tables, written some tables at a time; none is left out, whichever write was the last."""
+    db = "listed_in_parts"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
+    try:
+        assert catalog.listed_columns(spark, db).collect() == []
+        spark.sql(f"CREATE TABLE {db}.a (x int COMMENT 'of x', v varchar(3), p string) USING parquet PARTITIONED BY (p)")
+        spark.sql(f"CREATE TABLE {db}.b ({', '.join(f'c{i} double' for i in range(30))}) USING parquet")
+        expected = [("a", 1, "x", "int", "of x"), ("a", 2, "v", "string", None), ("a", 3, "p", "string", None)] + [
+            ("b", i + 1, f"c{i}", "double", None) for i in range(30)]
+        sizes = []
+        frame = type(spark).createDataFrame
+        monkeypatch.setattr(type(spark), "createDataFrame", lambda s, data, *a, **k: sizes.append(len(data)) or frame(s, data, *a, **k))
+        for rows, written in ((2, [3, 30]), (1000, [33])):
+            sizes.clear()
+            monkeypatch.setattr(catalog, "LISTED_ROWS", rows)
+            got = catalog.listed_columns(spark, db)
+            assert sorted(tuple(r) for r in got.collect()) == sorted(expected) and sizes == written
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
