@@ -101,3 +101,17 @@ def test_listed_columns_leave_the_driver_in_parts(spark, monkeypatch):
             assert sorted(tuple(r) for r in got.collect()) == sorted(expected) and sizes == written
     finally:
         spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_column_metadata_is_written_by_many_tasks(spark):
+    """One small input task: its targets' folders are still dealt over tasks, one file each, and only theirs are replaced."""
+    path = scratch_path(spark, "col_meta_tasks")
+    rows = spark.createDataFrame([(f"d.t{i % 24}", f"c{i}") for i in range(72)], "dbtable string, buiscolname string").coalesce(1)
+    catalog.write_column_metadata(rows, path)
+    top = path.replace("file:", "")
+    files = {d: [f for f in os.listdir(f"{top}/{d}") if f.endswith(".parquet")] for d in os.listdir(top) if "=" in d}
+    assert len(files) == 24 and all(len(f) == 1 for f in files.values())
+    assert len({f[0].split("-")[1] for f in files.values()}) > 1  # the writing tasks' numbers
+    catalog.write_column_metadata(spark.createDataFrame([("d.t0", "new")], rows.schema), path)
+    back = [(r.dbtable, r.buiscolname) for r in spark.read.schema(rows.schema).parquet(path).collect()]
+    assert sorted(back) == sorted([("d.t0", "new")] + [(f"d.t{i % 24}", f"c{i}") for i in range(72) if i % 24])
