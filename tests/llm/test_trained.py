@@ -271,3 +271,24 @@ def test_pipeline_stages_keep_the_columns(spark):
         for _, fn in corpus_pipeline.STAGES[:-1]:
             assert fn(spark, docs, cases.SF01).columns == docs.columns
         assert corpus_pipeline.STAGES[-1][1](spark, docs, cases.SF01).count() == docs.count()
+
+
+def test_secret_network_learns_from_every_finding(spark):
+    """No example of the documents is left out of the fit and of the threshold, however many there are."""
+    import numpy as np
+    rows = [(i, f"see token = {i:06d}{'abcdef0123'[i % 10]} and word number{i}") for i in range(5000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found = secret_scan.examples(docs)
+    assert found.where(f"sort = {secret_scan.BASE}").count() == 5000  # the fit kept 2,000 of them
+    net = secret_scan.CharNet()
+    r = np.random.Generator(np.random.PCG64(1))
+    z, label = np.abs(r.normal(size=(60, 48))).astype(np.float32), np.arange(60) % 2
+    table = spark.createDataFrame([(int(k), True, bytearray(v.tobytes())) for k, v in zip(label, z)], "label int, back boolean, z binary")
+    w = np.concatenate([net.p["out"], net.p["bias"]])
+    whole = secret_scan.summed(table.repartition(7), lambda z, label: secret_scan.slopes(z, label, w))
+    assert np.allclose(whole, secret_scan.slopes(z.astype(float), label, w))
+    secret_scan.calibrate(net, np.zeros((0, 48)), np.zeros(0, int), table, 1.0, recall=0.9)
+    scores = secret_scan.logits(z.astype(float), w)
+    top = np.sort(scores[label == 1])[int((1 - 0.9) * 30)]
+    below = scores[(label == 0) & (scores < top)]
+    assert abs(np.log(net.threshold / (1 - net.threshold)) - (top + below.max() if len(below) else 2 * top) / 2) < 1e-6
