@@ -279,7 +279,7 @@ def test_secret_network_learns_from_every_finding(spark):
     rows = [(i, f"see token = {i:06d}{'abcdef0123'[i % 10]} and word number{i}") for i in range(5000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
     found = secret_scan.examples(docs)
-    assert found.where(f"sort = {secret_scan.BASE}").count() == 5000  # the fit kept 2,000 of them
+    assert found.where(f"sort = {secret_scan.BASE}").count() == 10000  # with context and without; the fit kept 2,000 of 5,000
     net = secret_scan.CharNet()
     r = np.random.Generator(np.random.PCG64(1))
     z, label = np.abs(r.normal(size=(60, 48))).astype(np.float32), np.arange(60) % 2
