@@ -1,6 +1,6 @@
 """As-of join, sessions, rolling windows and interval overlap: hand-made edges, hot keys, plan shapes."""
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
 import pytest
@@ -170,6 +170,22 @@ def test_overlap_join_matches_brute_force(spark, wide):
     assert overlap.overlap_join(a.limit(0), b, "lo", "hi", "from", "to", on=["g"]).count() == 0
 
 
+def test_overlap_join_spreads_a_crowded_cell(spark, monkeypatch):
+    """Few bytes, many pairs: one input partition, two cells and copies of rows must not leave the pairs to one task."""
+    monkeypatch.setattr(overlap, "BLOCK", 20)
+    left = [(i % 150, 40, 44) for i in range(300)] + [(1000, None, None), (1001, 9, 3)]
+    right = [(j % 50, 41 + j % 3, 42 + j % 5) for j in range(100)] + [(1000, None, 40), (1001, 45, 60)]
+    a = spark.createDataFrame(left, "i int, lo int, hi int").withColumn("tags", F.create_map(F.lit("k"), "i")).coalesce(1)
+    b = spark.createDataFrame(right, "j int, from int, to int").coalesce(1)
+    got = overlap.overlap_join(a, b, "lo", "hi", "from", "to")
+    assert got.columns == ["i", "lo", "hi", "tags", "j", "from", "to"]
+    want = brute_overlap([(*x, "x") for x in left], [(*x, "x") for x in right])
+    rows = got.withColumn("part", F.spark_partition_id()).collect()
+    assert sorted((x.i, x.j) for x in rows) == want
+    assert all(x.tags == {"k": x.i} for x in rows)
+    assert max(Counter(x.part for x in rows).values()) < len(want) / 2
+
+
 def test_overlap_index_entries_do_not_grow_with_length(spark):
     long = spark.createDataFrame([(1, 0, 10**15), (2, 7, 7)], "i int, lo long, hi long")
     entries = overlap._entered(overlap._levelled(long, "lo", "hi", "l"), "l", [0, 3, 50], [])
