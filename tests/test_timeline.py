@@ -186,6 +186,22 @@ def test_overlap_join_spreads_a_crowded_cell(spark, monkeypatch):
     assert max(Counter(x.part for x in rows).values()) < len(want) / 2
 
 
+def test_overlap_join_copies_follow_the_tasks_not_the_tables(spark, monkeypatch):
+    """Shuffles write the copies: the right's are bounded by the tasks, the left's by what a block holds of the right."""
+    monkeypatch.setattr(overlap, "BLOCK", 2)
+    left, right = [(i, 40, 44) for i in range(4000)], [(j, 41, 42) for j in range(200)]
+    a = spark.createDataFrame(left, "i int, lo int, hi int")
+    b = spark.createDataFrame(right, "j int, from int, to int")
+    entries = [overlap._entered(overlap._dealt(overlap._levelled(df, lo, hi, n), n), n, other, [])
+               for df, lo, hi, n, other in ((a, "lo", "hi", "l", [1]), (b, "from", "to", "r", [3]))]
+    cells = overlap._blocks(*entries, ["__level", "__cell"]).collect()
+    assert cells and all(c["__ours"] <= 200 and c["__theirs"] <= 10 for c in cells)  # 2000 and 100 lists of BLOCK rows
+    for name, n in (("ROWS", 3), ("LISTS", 2), ("BLOCKS", 1)):
+        monkeypatch.setattr(overlap, name, n)
+    got = overlap.overlap_join(a.limit(90), b, "lo", "hi", "from", "to").collect()
+    assert len(got) == len({(x.i, x.j) for x in got}) == 90 * 200
+
+
 def test_overlap_index_entries_do_not_grow_with_length(spark):
     long = spark.createDataFrame([(1, 0, 10**15), (2, 7, 7)], "i int, lo long, hi long")
     entries = overlap._entered(overlap._levelled(long, "lo", "hi", "l"), "l", [0, 3, 50], [])
