@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from recunify.operators import catalog, segments as sg
 from recunify.plans.queries import QUERIES
 from recunify.session import scratch_path
+from recunify.sinks import writers
 from recunify.sources import standins as si
 
 from conftest import SF001
@@ -115,3 +116,26 @@ def test_column_metadata_is_written_by_many_tasks(spark):
     catalog.write_column_metadata(spark.createDataFrame([("d.t0", "new")], rows.schema), path)
     back = [(r.dbtable, r.buiscolname) for r in spark.read.schema(rows.schema).parquet(path).collect()]
     assert sorted(back) == sorted([("d.t0", "new")] + [(f"d.t{i % 24}", f"c{i}") for i in range(72) if i % 24])
+
+
+def test_many_partitions_start_no_process_each_and_keep_odd_names(spark):
+    """Folders on a local disk without a chmod process each; NULL, '' and names with marks; others' folders stay."""
+    forks = lambda: int(next(x for x in open("/proc/stat") if x.startswith("processes")).split()[1])
+    path = scratch_path(spark, "odd_names")
+    names = [None, "", "a+b c", "50%", "x/y:z=[1]", "é%2Fü", "q'\"#\\?*{^"] + [f"d.t{i}" for i in range(300)]
+    rows = spark.createDataFrame([(n, f"c{j}") for n in names for j in range(2)], "dbtable string, buiscolname string").coalesce(1)
+    catalog.write_column_metadata(rows.limit(2), path)
+    before = forks()
+    catalog.write_column_metadata(rows, path)
+    assert forks() - before < 300
+    by = lambda df: sorted((r.dbtable or "", r.buiscolname) for r in df.collect())
+    assert by(writers.read_partitions(spark, path, rows.schema, many="dbtable")) == by(rows)
+    assert by(writers.read_partitions(spark, path, rows.schema)) == by(rows)
+    catalog.write_column_metadata(rows.where("dbtable = '50%'").limit(1), path)
+    assert writers.read_partitions(spark, path, rows.schema, many="dbtable").count() == rows.count() - 1
+    numbered = rows.select("dbtable", F.length("buiscolname").alias("n"))  # not all texts: Spark's writer
+    other = scratch_path(spark, "odd_numbers")
+    catalog.write_column_metadata(numbered.where("dbtable like 'd.t1%'"), other)
+    got = writers.read_partitions(spark, other, numbered.schema, many="dbtable")
+    assert sorted(map(tuple, got.select("dbtable", "n").collect())) == sorted(map(tuple, numbered.where("dbtable like 'd.t1%'").collect()))
+    assert writers.read_partitions(spark, other, numbered.schema, many="dbtable").where("dbtable is null").count() == 0
